@@ -20,13 +20,22 @@ _LAKES: dict = {}
 
 
 def _lake(spark: SparkSession, sf_dir: str):
-    """One GovLake (facts + silver plans) per session and data folder."""
+    """One GovLake per session and data folder.
+
+    The facts derived from ``events`` and their decoded silver layer are
+    written once under the session's checkpoint folder (spark.checkpoint.dir)
+    and every view then reads those tables.
+    """
+    import hashlib
+
     from govlake.plans.catalog import GovLake
+    from govlake.session import checkpoint_dir
 
     ensure_session_conf(spark)
     key = (id(spark), sf_dir)
     if key not in _LAKES:
-        _LAKES[key] = GovLake.from_events(spark, sf_dir)
+        root = f"{checkpoint_dir(spark)}/govlake/{hashlib.md5(sf_dir.encode()).hexdigest()[:12]}"
+        _LAKES[key] = GovLake.from_events(spark, sf_dir).materialize(root)
     return _LAKES[key]
 
 

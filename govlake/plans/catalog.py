@@ -46,6 +46,20 @@ class GovLake:
         from govlake.sources.tables import read_facts
         return cls(spark, read_facts(spark, root), cfg)
 
+    def materialize(self, root: str) -> "GovLake":
+        """Write facts and the decoded silver layer under ``root``; return a lake reading them.
+
+        This is the deployed shape: views read the silver table (pruned by
+        method) instead of re-joining and re-decoding the facts every time,
+        and the lineage to the inputs is cut.
+        """
+        from govlake.sources.tables import read_facts, read_silver, write_facts, write_silver
+
+        write_facts(self.facts, root)
+        facts = read_facts(self.spark, root)
+        write_silver(decode_actions(facts.actions, facts.outcomes), root)
+        return GovLake(self.spark, facts, self.cfg, silver=read_silver(self.spark, root))
+
     @cached_property
     def silver(self) -> DataFrame:
         if self._silver is not None:
