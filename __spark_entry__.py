@@ -8,9 +8,11 @@ independent DuckDB query over the same parquet files (oracle/).
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from govlake.session import ensure_session_conf
 
@@ -26,8 +28,6 @@ def _lake(spark: SparkSession, sf_dir: str):
     written once under the session's checkpoint folder (spark.checkpoint.dir)
     and every view then reads those tables.
     """
-    import hashlib
-
     from govlake.plans.catalog import GovLake
     from govlake.session import checkpoint_dir
 
@@ -44,24 +44,139 @@ def entry(spark: SparkSession) -> DataFrame:
     return _lake(spark, SMOKE_DIR).proposals()
 
 
-def _view(name: str) -> Callable[[SparkSession, str], DataFrame]:
-    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-        return getattr(_lake(spark, sf_dir), name)()
-    run.__name__ = name
-    return run
-
-
-VIEW_NAMES = ["delegation_events", "proposal_voting_history", "proposals", "approved_proposals",
-              "registered_voters", "user_activities", "proposal_non_voters"]
+# ---- query bodies (lake -> DataFrame) ---------------------------------------
+
+def _replay_cut(blocks: DataFrame):
+    """Middle height of the stored chain: replays start there."""
+    return blocks.agg(F.expr("(min(height) + max(height)) div 2")).scalar()
+
+
+def _upsert(lake, table: str, key: list[str], marker_col: str):
+    from govlake.operators.upsert import upsert_frames
+    df = getattr(lake.facts, table)
+    hcol = "height" if table == "blocks" else "block_height"
+    replay = df.where(F.col(hcol) >= _replay_cut(lake.facts.blocks)).withColumn(
+        marker_col, F.concat(F.lit("replay:"), F.col(marker_col)))
+    return upsert_frames(df, replay, key)
+
+
+def _progress(lake):
+    """Processing log: all blocks under v1, a 10-block re-run from the cut under v1, then v2 from the cut."""
+    b = lake.facts.blocks.select(F.col("height").alias("block_num"), F.col("hash").alias("block_hash"))
+    cut = _replay_cut(lake.facts.blocks)
+    v1 = b.withColumn("app_version", F.lit("v1")).withColumn("processed_order", F.col("block_num"))
+    rerun = b.where((F.col("block_num") >= cut) & (F.col("block_num") < cut + 10)).withColumn(
+        "app_version", F.lit("v1")).withColumn("processed_order", F.col("block_num") + 10_000_000_000)
+    v2 = b.where(F.col("block_num") >= cut).withColumn("app_version", F.lit("v2")).withColumn(
+        "processed_order", F.col("block_num") + 20_000_000_000)
+    return v1.unionByName(rerun).unionByName(v2)
+
+
+def _contract_receipts(lake):
+    from govlake.operators.flatten import is_contract_account
+    r = lake.nested.select(F.explode("shards").alias("s")).select(
+        F.explode("s.receipt_execution_outcomes").alias("reo")).select("reo.receipt.*")
+    return r.where(is_contract_account(F.col("receiver_id"), lake.cfg)
+                   | is_contract_account(F.col("predecessor_id"), lake.cfg)).select(
+        "receipt_id", "receiver_id", "predecessor_id")
+
+
+def _args_decode(lake):
+    from govlake.functions.json import args_json_text, b64_text, parse_json_strict
+    a = lake.facts.actions
+    return a.select("id", "method_name", b64_text("args_base64").alias("args_text"),
+                    parse_json_strict(b64_text("args_base64")).isNotNull().alias("args_valid"),
+                    args_json_text(F.col("args_base64")).alias("args_json"))
+
+
+def _stages(lake):
+    from govlake.plans.registered_voters import voter_stages
+    return voter_stages(lake.silver, lake.cfg, lake.proposal_voting_history(), lake.delegation_events(),
+                        lake.approved_proposals())
+
+
+def _registry() -> dict[str, Callable]:
+    from govlake.operators.upsert import cursor_latest, resume_height, upsert_frames
+    from govlake.plans import quality as Q
+    from govlake.plans import registered_voters as RV
+    from govlake.plans.approved_proposals import recent_approved
+    from govlake.plans.delegation_events import latest_delegation
+    from govlake.plans.proposals import active_proposals, proposal_votes
+    from govlake.plans.user_activities import branch
+    from govlake.plans.voting_history import top_voters
+
+    r: dict[str, Callable] = {
+        # the seven views
+        "delegation_events": lambda L: L.delegation_events(),
+        "proposal_voting_history": lambda L: L.proposal_voting_history(),
+        "proposals": lambda L: L.proposals(),
+        "approved_proposals": lambda L: L.approved_proposals(),
+        "registered_voters": lambda L: L.registered_voters(),
+        "user_activities": lambda L: L.user_activities(),
+        "proposal_non_voters": lambda L: L.proposal_non_voters(),
+        # ingest: flatten of the nested block feed, decoders, contract filter
+        "blocks_table": lambda L: L.flat.blocks,
+        "actions_flatten": lambda L: L.flat.actions,
+        "outcomes_flatten": lambda L: L.flat.outcomes,
+        "results_decode": lambda L: L.flat.outcomes.select("receipt_id", "status", "results_json"),
+        "args_decode": _args_decode,
+        "decode_quality": lambda L: Q.decode_quality(L.facts.actions),
+        "contract_filter": _contract_receipts,
+        # sinks: keyed upsert, cursor, replay
+        "upsert_blocks": lambda L: _upsert(L, "blocks", ["height"], "author"),
+        "upsert_actions": lambda L: _upsert(L, "actions", ["id"], "author"),
+        "upsert_outcomes": lambda L: _upsert(L, "outcomes", ["receipt_id"], "executor_account_id"),
+        "cursor_latest": lambda L: cursor_latest(_progress(L)),
+        "resume_height": lambda L: resume_height(cursor_latest(_progress(L)), "v1", None, 0),
+        "replay_range": lambda L: upsert_frames(
+            L.facts.actions, L.flat.actions.where(F.col("block_height") >= _replay_cut(L.facts.blocks)), ["id"]),
+        # monitoring and data quality
+        "chain_breaks": lambda L: Q.chain_breaks(L.facts.blocks),
+        "block_gaps": lambda L: Q.block_gaps(L.facts.blocks),
+        "block_age": lambda L: Q.block_age(L.facts.blocks, L.cfg.as_of_column()),
+        "block_rate": lambda L: Q.block_rate(L.facts.blocks),
+        "range_summary": lambda L: Q.range_summary(L.facts.blocks),
+        "coverage": lambda L: Q.coverage(L.facts.actions),
+        "newest_blocks": lambda L: Q.newest_blocks(L.facts.blocks),
+        # view pieces and documented consumer queries
+        "latest_delegation": lambda L: latest_delegation(L.delegation_events()),
+        "delegation_history": lambda L: L.delegation_events().select(
+            "delegator_id", "delegatee_id", "event_timestamp"),
+        "top_voters": lambda L: top_voters(L.proposal_voting_history()),
+        "recent_approved": lambda L: recent_approved(L.silver, L.cfg),
+        "proposal_votes": lambda L: proposal_votes(L.proposal_voting_history()),
+        "active_proposals": lambda L: active_proposals(L.proposals()),
+        "first_registration": lambda L: RV.first_registration(L.silver, L.cfg),
+        "first_deposit": lambda L: RV.first_deposit(L.silver, L.cfg),
+        "latest_lock": lambda L: RV.latest_lock(L.silver, L.cfg).withColumnRenamed(
+            "lk_voter", "registered_voter_id"),
+        "growth_config": lambda L: RV.growth_config(L.silver, L.cfg).withColumnRenamed(
+            "gc_contract", "hos_contract_address"),
+        "participation": lambda L: _stages(L)[0].select("registered_voter_id", "proposal_participation_rate"),
+        "delegated_power": lambda L: _stages(L)[1].withColumnRenamed("dvp_delegatee", "delegatee_id"),
+    }
+    for key, methods in [
+        ("act_lockup_deployed", ["on_lockup_deployed"]), ("act_lock_near", ["lock_near"]),
+        ("act_lockup_update", ["on_lockup_update"]), ("act_delegations", ["delegate_all", "undelegate"]),
+        ("act_begin_unlock", ["begin_unlock_near"]), ("act_relock", ["lock_pending_near"]),
+        ("act_withdraw", ["withdraw_from_staking_pool", "withdraw_all_from_staking_pool"]),
+        ("act_unstake", ["unstake", "unstake_all"]),
+    ]:
+        r[key] = (lambda ms: lambda L: branch(L.user_activities(), ms))(methods)
+    return r
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    q: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
-    for v in VIEW_NAMES:
-        q[v] = _view(v)
-    return q
+    out: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
+    for name, body in _registry().items():
+        def run(spark: SparkSession, sf_dir: str, _body=body) -> DataFrame:
+            return _body(_lake(spark, sf_dir))
+        run.__name__ = name
+        out[name] = run
+    return out
 
 
 def oracle_sql() -> dict[str, str]:
     from oracle import ORACLE_QUERIES
-    return {k: v for k, v in ORACLE_QUERIES.items() if k in queries()}
+    names = set(_registry())
+    return {k: v for k, v in ORACLE_QUERIES.items() if k in names}

@@ -75,7 +75,12 @@ def b64_encode(binary) -> Column:
     return F.replace(F.base64(_c(binary)), F.lit("\r\n"), F.lit(""))
 
 
-def args_json_text(b64) -> Column:
-    """Ingest-side decode: valid JSON text, else the fixed fallback object."""
-    t = b64_text(b64)
+def json_text_or_fallback(text) -> Column:
+    """Ingest-side rule: valid JSON text is kept, anything else becomes the fallback object."""
+    t = _c(text)
     return F.when(parse_json_strict(t).isNotNull(), t).otherwise(F.lit(INVALID_ARGS_JSON))
+
+
+def args_json_text(b64) -> Column:
+    """Ingest-side decode of base64 args (bad base64 / UTF-8 / JSON -> fallback)."""
+    return json_text_or_fallback(b64_text(b64))

@@ -29,9 +29,10 @@ VIEW_ORDER = ["delegation_events", "proposal_voting_history", "proposals", "appr
 
 class GovLake:
     def __init__(self, spark: SparkSession, facts: Facts, cfg: ContractConfig = ContractConfig(),
-                 silver: DataFrame | None = None):
+                 silver: DataFrame | None = None, events: DataFrame | None = None):
         self.spark, self.facts, self.cfg = spark, facts, cfg
         self._silver = silver
+        self.events = events
 
     @classmethod
     def from_events(cls, spark: SparkSession, sf_dir: str, cfg: ContractConfig = ContractConfig(),
@@ -39,7 +40,7 @@ class GovLake:
         events = spark.read.parquet(f"{sf_dir}/events.parquet")
         if as_of_from_events and cfg.as_of is None:
             cfg = cfg.with_as_of(events.agg(F.max("ts")).scalar())
-        return cls(spark, synthetic_facts(events, cfg), cfg)
+        return cls(spark, synthetic_facts(events, cfg), cfg, events=events)
 
     @classmethod
     def from_tables(cls, spark: SparkSession, root: str, cfg: ContractConfig = ContractConfig()) -> "GovLake":
@@ -58,7 +59,18 @@ class GovLake:
         write_facts(self.facts, root)
         facts = read_facts(self.spark, root)
         write_silver(decode_actions(facts.actions, facts.outcomes), root)
-        return GovLake(self.spark, facts, self.cfg, silver=read_silver(self.spark, root))
+        return GovLake(self.spark, facts, self.cfg, silver=read_silver(self.spark, root), events=self.events)
+
+    # -- the block feed (fixture) and its flattening -------------------------
+    @cached_property
+    def nested(self) -> DataFrame:
+        from govlake.sources.blockfeed import nested_blocks
+        return nested_blocks(self.events, self.cfg)
+
+    @cached_property
+    def flat(self) -> Facts:
+        from govlake.operators.flatten import flatten_blocks
+        return flatten_blocks(self.nested, self.cfg)
 
     @cached_property
     def silver(self) -> DataFrame:

@@ -111,8 +111,9 @@ def reward(principal, num, den, now_ns, since_ns):
         .when(exact, F.try_multiply(base, factor)).otherwise(approx)
 
 
-def registered_voters(silver: DataFrame, cfg: ContractConfig, pvh: DataFrame, de: DataFrame,
-                      approved: DataFrame) -> DataFrame:
+def voter_stages(silver: DataFrame, cfg: ContractConfig, pvh: DataFrame, de: DataFrame,
+                 approved: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(per-voter frame with principal and reward, delegated sums per delegatee)."""
     from govlake.plans.delegation_events import latest_delegation
 
     rv = first_registration(silver, cfg).join(first_deposit(silver, cfg), "registered_voter_id")
@@ -141,11 +142,19 @@ def registered_voters(silver: DataFrame, cfg: ContractConfig, pvh: DataFrame, de
     tj = tj.withColumn("extra_venear_on_principal",
                        reward(F.col("principal_balance"), F.col("growth_rate_numerator_ns"),
                               F.col("growth_rate_denominator_ns"), now_ns, since))
+    # One hop, partial aggregation absorbs a delegatee with very many delegators
     dvp = tj.where(F.col("delegatee_id").isNotNull()).groupBy(F.col("delegatee_id").alias("dvp_delegatee")).agg(
         F.sum("principal_balance").cast("decimal(38,0)").alias("delegated_balance"),
         F.sum("extra_venear_on_principal").cast("decimal(38,0)").alias("delegated_extra_venear"),
     )
+    return tj, dvp
+
+
+def registered_voters(silver: DataFrame, cfg: ContractConfig, pvh: DataFrame, de: DataFrame,
+                      approved: DataFrame) -> DataFrame:
+    tj, dvp = voter_stages(silver, cfg, pvh, de, approved)
     out = tj.join(dvp, F.col("registered_voter_id") == F.col("dvp_delegatee"), "left")
+    zero = F.lit(0).cast("decimal(38,0)")
     total = (F.coalesce("principal_balance", zero) + F.coalesce("extra_venear_on_principal", zero)
              + F.coalesce("delegated_balance", zero) + F.coalesce("delegated_extra_venear", zero))
     return out.select(
