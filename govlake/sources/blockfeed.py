@@ -19,7 +19,11 @@ from govlake.sources.fixtures import FAILURE_TEXT, GAS_PRICE, TOTAL_SUPPLY, even
 
 
 def nested_blocks(events: DataFrame, cfg: ContractConfig = ContractConfig()) -> DataFrame:
-    e = event_rows(events, cfg)
+    return nested_from_rows(event_rows(events, cfg))
+
+
+def nested_from_rows(e: DataFrame) -> DataFrame:
+    """Block records from the per-event fixture rows (see fixtures.event_rows)."""
     st = F.col("status")
     status = F.struct(
         F.when(st == "SuccessValue",
