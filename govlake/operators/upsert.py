@@ -36,22 +36,28 @@ def upsert_frames(existing: DataFrame, incoming: DataFrame, keys: list[str],
 
 def upsert_table(spark: SparkSession, incoming: DataFrame, path: str, keys: list[str],
                  partition_col: str, batch_order: int = 1) -> None:
-    """Upsert ``incoming`` into the Parquet table at ``path`` (partitioned by ``partition_col``)."""
+    """Upsert ``incoming`` into the Parquet table at ``path`` (partitioned by ``partition_col``).
+
+    ``incoming`` may carry ``__ingest_order`` (rank within the batch); the
+    stored rows always rank below the batch.
+    """
     from govlake.session import checkpoint_dir
 
     checkpoint_dir(spark)
+    cols = [c for c in incoming.columns if c != INGEST_COL]
     try:
         stored = spark.read.parquet(path)
     except Exception:  # first batch: the table does not exist yet
         stored = None
     if stored is None:
-        merged = incoming
+        ranked = incoming if INGEST_COL in incoming.columns else incoming.withColumn(INGEST_COL, F.lit(batch_order))
+        merged = first_per_key(ranked, keys, [F.col(INGEST_COL).desc()]).select(*cols)
     else:
         touched = incoming.select(partition_col).distinct()
-        # semi-join on the partition column: the scan only opens touched partitions
-        old = stored.join(touched, partition_col, "left_semi")
-        merged = upsert_frames(old, incoming.select(*stored.columns), keys, batch_order)
-    merged = merged.checkpoint(eager=True)
+        # semi-join on the partition column: only touched partitions are read (and rewritten)
+        old = stored.select(*cols).join(touched, partition_col, "left_semi")
+        merged = upsert_frames(old, incoming, keys, batch_order)
+    merged = merged.checkpoint(eager=True)  # reliable checkpoint: the write below never reads `path`
     (merged.sortWithinPartitions(partition_col).write.mode("overwrite")
      .option("partitionOverwriteMode", "dynamic").partitionBy(partition_col).parquet(path))
 

@@ -23,6 +23,8 @@ def build_session(master: str | None = None, app: str = "govlake",
     """Local session used by tests and bench.py (a cluster job gets its own)."""
     master = master or f"local[{os.environ.get('BENCH_CPUS', '8')}]"
     b = (SparkSession.builder.master(master).appName(app)
+         .config("spark.checkpoint.dir", os.environ.get("GOVLAKE_CHECKPOINT_DIR")
+                 or tempfile.mkdtemp(prefix="govlake-ckpt-"))
          .config("spark.ui.enabled", "false")
          .config("spark.ui.showConsoleProgress", "false")
          .config("spark.driver.memory", os.environ.get("GOVLAKE_DRIVER_MEMORY", "8g"))
@@ -49,13 +51,13 @@ def ensure_session_conf(spark: SparkSession) -> None:
 def checkpoint_dir(spark: SparkSession) -> str:
     """The shared folder the cluster names in spark.checkpoint.dir.
 
-    Only when it is unset (local tests) do we create a scratch folder.
+    Read from the session; only when it is unset (local tests) a scratch
+    folder is created and registered as the context's checkpoint folder.
     """
-    d = spark.conf.get("spark.checkpoint.dir", None)
-    if not d:
-        d = spark.sparkContext.getCheckpointDir() if hasattr(spark.sparkContext, "getCheckpointDir") else None
+    sc = spark.sparkContext
+    d = sc.getConf().get("spark.checkpoint.dir", None) or sc.getCheckpointDir()
     if not d:
         d = tempfile.mkdtemp(prefix="govlake-ckpt-")
-        spark.conf.set("spark.checkpoint.dir", d)
-    spark.sparkContext.setCheckpointDir(d)
-    return d
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return d.rstrip("/")
