@@ -23,19 +23,27 @@ def bucketed(df: DataFrame, order_col: str, width: int) -> DataFrame:
 
 
 def with_halo(df: DataFrame, order_col: str, halo: int, width: int) -> DataFrame:
-    """Rows + up to ``halo`` preceding rows from the previous bucket (flag ``__context``).
+    """Rows + the ``halo`` rows preceding each bucket (flag ``__context``), exactly.
 
     Window per ``__bucket`` ordered by ``order_col``, then drop context rows.
-    ``order_col`` must be unique. A bucket holding fewer than ``halo`` rows
-    passes on only the rows it has (exact for ``halo = 1``).
+    ``order_col`` must be unique. Each bucket's last ``halo`` rows are offered
+    to the next ``halo`` non-empty buckets (each non-empty bucket holds at least
+    one row, so that always covers ``halo`` predecessors); a target keeps the
+    last ``halo`` offered rows. Only bucket tails are replicated.
     """
     d = bucketed(df, order_col, width)
-    nxt = d.select(BUCKET).distinct().withColumn(
-        "__next", F.lead(BUCKET).over(Window.orderBy(BUCKET)))  # one row per bucket
+    seq = d.select(BUCKET).distinct().withColumn(
+        "__seq", F.row_number().over(Window.orderBy(BUCKET)))  # one row per bucket
     tail = d.withColumn("__rd", F.row_number().over(
         Window.partitionBy(BUCKET).orderBy(F.col(order_col).desc()))).where(F.col("__rd") <= halo).drop("__rd")
-    ctx = tail.join(nxt, BUCKET).where(F.col("__next").isNotNull()) \
-        .withColumn(BUCKET, F.col("__next")).drop("__next").withColumn(CONTEXT, F.lit(True))
+    targets = seq.select(F.col(BUCKET).alias("__target"), F.col("__seq").alias("__tseq"))
+    ctx = (tail.join(seq, BUCKET)
+           .withColumn("__tseq", F.explode(F.sequence(F.col("__seq") + 1, F.col("__seq") + halo)))
+           .join(targets, "__tseq")
+           .withColumn(BUCKET, F.col("__target")).drop("__seq", "__tseq", "__target"))
+    ctx = ctx.withColumn("__rd", F.row_number().over(
+        Window.partitionBy(BUCKET).orderBy(F.col(order_col).desc()))).where(F.col("__rd") <= halo) \
+        .drop("__rd").withColumn(CONTEXT, F.lit(True))
     return d.withColumn(CONTEXT, F.lit(False)).unionByName(ctx)
 
 
