@@ -153,6 +153,9 @@ class GovLake:
 
     def register_views(self, prefix: str = "") -> dict[str, str]:
         """Register every view as a temp view; a failing view does not stop the rest."""
+        from govlake.functions.sql import register_sql_functions
+
+        register_sql_functions(self.spark)
         status = {}
         for name in VIEW_ORDER:
             try:
