@@ -14,22 +14,22 @@ class ContractConfig:
     """Which contracts the pipeline follows.
 
     ``contract`` is the governance root account; the two contracts the views
-    read are ``<venear_prefix>.<contract>`` and ``<voting_prefix>.<contract>``.
+    read are ``<token_prefix>.<contract>`` and ``<voting_prefix>.<contract>``.
     ``as_of`` replaces the wall clock in reward maths so results are
     reproducible; it may be a datetime, a Column (e.g. a scalar subquery) or
     None (use the current timestamp).
     """
 
     contract: str = "hos.test"
-    venear_prefix: str = "v"
+    token_prefix: str = "v"
     voting_prefix: str = "vote"
     as_of: object = field(default=None, compare=False)
     # bound for the proposal-id list shipped to every task in proposal_non_voters
     max_broadcast_proposals: int = 20_000
 
     @property
-    def venear_contract(self) -> str:
-        return f"{self.venear_prefix}.{self.contract}"
+    def token_contract(self) -> str:
+        return f"{self.token_prefix}.{self.contract}"
 
     @property
     def voting_contract(self) -> str:
@@ -37,7 +37,7 @@ class ContractConfig:
 
     @property
     def view_contracts(self) -> list[str]:
-        return [self.venear_contract, self.voting_contract]
+        return [self.token_contract, self.voting_contract]
 
     @property
     def suffix(self) -> str:
@@ -54,5 +54,5 @@ class ContractConfig:
         return F.lit(str(self.as_of)).cast("timestamp_ntz")
 
     def with_as_of(self, as_of) -> "ContractConfig":
-        return ContractConfig(self.contract, self.venear_prefix, self.voting_prefix,
+        return ContractConfig(self.contract, self.token_prefix, self.voting_prefix,
                               as_of, self.max_broadcast_proposals)

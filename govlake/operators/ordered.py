@@ -54,5 +54,5 @@ def global_row_number(df: DataFrame, order_col: str, width: int, name: str = "ro
     offs = counts.withColumn("__off", F.sum("__n").over(
         Window.orderBy(BUCKET).rowsBetween(Window.unboundedPreceding, -1))).fillna(0, ["__off"])
     w = Window.partitionBy(BUCKET).orderBy(order_col)
-    return d.join(F.broadcast(offs.select(BUCKET, "__off")), BUCKET) \
+    return d.join(offs.select(BUCKET, "__off"), BUCKET) \
         .withColumn(name, F.row_number().over(w) + F.col("__off")).drop(BUCKET, "__off")

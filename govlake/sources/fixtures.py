@@ -49,7 +49,7 @@ def _sql_list(xs):
 
 def event_rows(events: DataFrame, cfg: ContractConfig = ContractConfig()) -> DataFrame:
     """One row per event with every derived fact column (before the contract filter)."""
-    v, vote = cfg.venear_contract, cfg.voting_contract
+    v, vote = cfg.token_contract, cfg.voting_contract
     purchase = ", ".join(f"'{m}'" for m in PURCHASE_METHODS)
     e = events.select(
         "event_id", "ts", "user_id", "event_type", "value",
