@@ -46,6 +46,12 @@ def ensure_session_conf(spark: SparkSession) -> None:
                 spark.conf.set(k, v)
             except Exception:  # static conf on a managed cluster: leave as is
                 pass
+    # single-JVM local runs left at Spark's default of 200 shuffle partitions pay for
+    # thousands of tiny shuffle files per stage; size them to the cores instead.
+    # Cluster sessions keep whatever the job was configured with.
+    sc = spark.sparkContext
+    if sc.master.startswith("local") and spark.conf.get("spark.sql.shuffle.partitions", "200") == "200":
+        spark.conf.set("spark.sql.shuffle.partitions", str(max(1, sc.defaultParallelism)))
 
 
 def checkpoint_dir(spark: SparkSession) -> str:
