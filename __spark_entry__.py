@@ -9,6 +9,7 @@ independent DuckDB query over the same parquet files (oracle/).
 from __future__ import annotations
 
 import hashlib
+import threading
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -19,6 +20,7 @@ from govlake.session import ensure_session_conf
 SMOKE_DIR = "/root/testdata/sf0.001"
 
 _LAKES: dict = {}
+_LOCK = threading.Lock()
 
 
 def _lake(spark: SparkSession, sf_dir: str):
@@ -33,10 +35,11 @@ def _lake(spark: SparkSession, sf_dir: str):
 
     ensure_session_conf(spark)
     key = (id(spark), sf_dir)
-    if key not in _LAKES:
-        root = f"{checkpoint_dir(spark)}/govlake/{hashlib.md5(sf_dir.encode()).hexdigest()[:12]}"
-        _LAKES[key] = GovLake.from_events(spark, sf_dir).materialize(root)
-    return _LAKES[key]
+    with _LOCK:  # concurrent callers share one materialization
+        if key not in _LAKES:
+            root = f"{checkpoint_dir(spark)}/govlake/{hashlib.md5(sf_dir.encode()).hexdigest()[:12]}"
+            _LAKES[key] = GovLake.from_events(spark, sf_dir).materialize(root)
+        return _LAKES[key]
 
 
 def entry(spark: SparkSession) -> DataFrame:

@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 from govlake.operators.latest import first_per_key
 
 INGEST_COL = "__ingest_order"
+MAX_TOUCHED = 1000  # partition values a batch may name for static pruning
 
 
 def upsert_frames(existing: DataFrame, incoming: DataFrame, keys: list[str],
@@ -53,9 +54,14 @@ def upsert_table(spark: SparkSession, incoming: DataFrame, path: str, keys: list
         ranked = incoming if INGEST_COL in incoming.columns else incoming.withColumn(INGEST_COL, F.lit(batch_order))
         merged = first_per_key(ranked, keys, [F.col(INGEST_COL).desc()]).select(*cols)
     else:
+        # only touched partitions are read (and rewritten). A batch covers a bounded height
+        # range, so its partition values are few: fetch at most MAX_TOUCHED of them and prune
+        # statically; a larger backfill falls back to a semi-join (correct, reads more).
         touched = incoming.select(partition_col).distinct()
-        # semi-join on the partition column: only touched partitions are read (and rewritten)
-        old = stored.select(*cols).join(touched, partition_col, "left_semi")
+        vals = [r[0] for r in touched.limit(MAX_TOUCHED + 1).collect()]
+        base = stored.select(*cols)
+        old = base.where(F.col(partition_col).isin(vals)) if len(vals) <= MAX_TOUCHED \
+            else base.join(touched, partition_col, "left_semi")
         merged = upsert_frames(old, incoming, keys, batch_order)
     merged = merged.checkpoint(eager=True)  # reliable checkpoint: the write below never reads `path`
     (merged.sortWithinPartitions(partition_col).write.mode("overwrite")

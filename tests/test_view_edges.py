@@ -129,3 +129,17 @@ def test_non_voters_bucket_path_equals_literal_path(spark):
     voted = lake.proposal_voting_history().join(
         lake.registered_voters().select(F.col("registered_voter_id").alias("voter_id")), "voter_id").count()
     assert a.count() + voted == n_p * n_v
+
+
+def test_two_growth_configs_double_voters_and_amount_text(spark):
+    fb = FactBuilder()
+    for n in range(2):
+        fb.call(f"new{n}", "new", {"venear_growth_config": {"annual_growth_rate_ns": {
+            "numerator": "1", "denominator": "1000000000000000000000000000000"}}}, signer="v.hos.test", sec=n)
+    _voter_setup(fb, "a.near", 10)
+    assert fb.lake(spark).registered_voters().count() == 2      # not de-duplicated, as in the reference
+    fb = FactBuilder()
+    for rid, amount in [("x38", "9" * 38), ("x39", "9" * 39), ("half", "1.5"), ("bad", "abc")]:
+        fb.call(rid, "begin_unlock_near", {"amount": amount}, receiver="lk.v.hos.test")
+    got = {r["receipt_id"]: r["near_amount"] for r in fb.lake(spark).user_activities().collect()}
+    assert got["x38"] == int("9" * 38) and got["x39"] is None and got["half"] == 2 and got["bad"] is None
