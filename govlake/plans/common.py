@@ -15,8 +15,3 @@ def on_contracts(cfg: ContractConfig, col: str = "receiver_id") -> Column:
 
 def on_contracts_after_dot(cfg: ContractConfig, col: str = "receiver_id") -> Column:
     return after_first_dot(F.col(col)).isin(*cfg.view_contracts)
-
-
-def ts_ns_to_timestamp(ns: Column) -> Column:
-    from govlake.functions.time import ns_to_timestamp
-    return ns_to_timestamp(ns)

@@ -21,7 +21,6 @@ from govlake.config import ContractConfig
 from govlake.functions.json import jnum, jstr
 from govlake.functions.time import epoch_ns, floor_div
 from govlake.operators.decode import calls, successful
-from govlake.operators.latest import first_per_key
 from govlake.plans.common import on_contracts
 
 METHODS = ["new", "storage_deposit", "on_lockup_update", "on_lockup_deployed"]
@@ -51,38 +50,54 @@ def growth_config(silver: DataFrame, cfg: ContractConfig) -> DataFrame:
     )
 
 
-def first_registration(silver: DataFrame, cfg: ContractConfig) -> DataFrame:
-    r = _base(silver, cfg).where(F.col("method_name") == "on_lockup_deployed").select(
-        "receipt_id", "receiver_id", "block_timestamp", "block_height", "block_hash",
-        F.coalesce(jstr(F.col("log0"), "$.data[0].account_id"), jstr(F.col("args"), "$.account_id"))
-        .alias("registered_voter_id"),
-        epoch_ns("block_timestamp").alias("registered_at_ns"),
-    ).where(F.col("registered_voter_id").isNotNull())
-    return first_per_key(r, ["registered_voter_id"], [F.col("block_timestamp").asc(), F.col("receipt_id").asc()])
-
-
-def first_deposit(silver: DataFrame, cfg: ContractConfig) -> DataFrame:
-    d = _base(silver, cfg).where(F.col("method_name") == "storage_deposit").select(
-        "receipt_id", "block_timestamp",
-        F.coalesce(jstr(F.col("log0"), "$.data[0].owner_id"), jstr(F.col("args"), "$.account_id"))
-        .alias("registered_voter_id"),
-        jnum(F.col("log0"), "$.data[0].amount").alias("voting_power_from_vote_registration"),
-    ).where(F.col("voting_power_from_vote_registration").isNotNull())
-    d = first_per_key(d, ["registered_voter_id"], [F.col("block_timestamp").asc(), F.col("receipt_id").asc()])
-    return d.select("registered_voter_id", "voting_power_from_vote_registration")
-
-
-def latest_lock(silver: DataFrame, cfg: ContractConfig) -> DataFrame:
-    lg = F.col("log0")
-    u = _base(silver, cfg).where(F.col("method_name") == "on_lockup_update").select(
-        "block_timestamp", "receipt_id",
-        jstr(lg, "$.data[0].account_id").alias("registered_voter_id"),
-        jnum(lg, "$.data[0].locked_near_balance").alias("voting_power_from_locks_unlocks"),
-        jnum(lg, "$.data[0].timestamp").alias("lockup_update_at_ns"),
-    )
-    u = first_per_key(u, ["registered_voter_id"], [F.col("block_timestamp").desc(), F.col("receipt_id").desc()])
-    return u.select(F.col("registered_voter_id").alias("lk_voter"), "voting_power_from_locks_unlocks",
-                    "lockup_update_at_ns")
+REG, DEP, LOCK = "on_lockup_deployed", "storage_deposit", "on_lockup_update"
+
+
+def voter_events(silver: DataFrame, cfg: ContractConfig) -> DataFrame:
+    """W3-W5 in ONE scan and ONE shuffle: per (method, voter) the first and the last event.
+
+    Registration and deposit keep the earliest (time, receipt) row, lock updates
+    the latest; min/max of a struct ordered (time, receipt, payload) are partial
+    aggregates, so a voter with very many events sends one row per map task.
+    The three slices below read the same aggregate (one exchange, reused).
+    """
+    m, lg, a = F.col("method_name"), F.col("log0"), F.col("args")
+    voter = (F.when(m == REG, F.coalesce(jstr(lg, "$.data[0].account_id"), jstr(a, "$.account_id")))
+             .when(m == DEP, F.coalesce(jstr(lg, "$.data[0].owner_id"), jstr(a, "$.account_id")))
+             .otherwise(jstr(lg, "$.data[0].account_id")))
+    amount = F.when(m == DEP, jnum(lg, "$.data[0].amount")) \
+        .when(m == LOCK, jnum(lg, "$.data[0].locked_near_balance"))
+    ev = _base(silver, cfg).where(m.isin(REG, DEP, LOCK)).select(
+        "method_name", voter.alias("registered_voter_id"),
+        F.struct("block_timestamp", "receipt_id", "receiver_id", "block_height", "block_hash",
+                 amount.alias("amount"),
+                 F.when(m == LOCK, jnum(lg, "$.data[0].timestamp")).alias("lock_ns")).alias("e"))
+    # DISTINCT ON inputs: registrations need a voter, deposits an amount; lock updates keep NULL voters
+    ev = ev.where(~((m == REG) & F.col("registered_voter_id").isNull())
+                  & ~((m == DEP) & F.col("e.amount").isNull()))
+    return ev.groupBy("method_name", "registered_voter_id").agg(
+        F.min("e").alias("first"), F.max("e").alias("last"))
+
+
+def first_registration(silver: DataFrame, cfg: ContractConfig, events: DataFrame | None = None) -> DataFrame:
+    g = (events if events is not None else voter_events(silver, cfg)).where(F.col("method_name") == REG)
+    f = F.col("first")
+    return g.select(f["receipt_id"].alias("receipt_id"), f["receiver_id"].alias("receiver_id"),
+                    f["block_timestamp"].alias("block_timestamp"), f["block_height"].alias("block_height"),
+                    f["block_hash"].alias("block_hash"), "registered_voter_id",
+                    epoch_ns(f["block_timestamp"]).alias("registered_at_ns"))
+
+
+def first_deposit(silver: DataFrame, cfg: ContractConfig, events: DataFrame | None = None) -> DataFrame:
+    g = (events if events is not None else voter_events(silver, cfg)).where(F.col("method_name") == DEP)
+    return g.select("registered_voter_id", F.col("first.amount").alias("voting_power_from_vote_registration"))
+
+
+def latest_lock(silver: DataFrame, cfg: ContractConfig, events: DataFrame | None = None) -> DataFrame:
+    g = (events if events is not None else voter_events(silver, cfg)).where(F.col("method_name") == LOCK)
+    return g.select(F.col("registered_voter_id").alias("lk_voter"),
+                    F.col("last.amount").alias("voting_power_from_locks_unlocks"),
+                    F.col("last.lock_ns").alias("lockup_update_at_ns"))
 
 
 def participation(rv_ids: DataFrame, pvh: DataFrame, recent: DataFrame) -> DataFrame:
@@ -116,14 +131,15 @@ def voter_stages(silver: DataFrame, cfg: ContractConfig, pvh: DataFrame, de: Dat
     """(per-voter frame with principal and reward, delegated sums per delegatee)."""
     from govlake.plans.delegation_events import latest_delegation
 
-    rv = first_registration(silver, cfg).join(first_deposit(silver, cfg), "registered_voter_id")
+    ve = voter_events(silver, cfg)
+    rv = first_registration(silver, cfg, ve).join(first_deposit(silver, cfg, ve), "registered_voter_id")
     recent = approved.orderBy(F.col("proposal_approved_at").desc(), F.col("receipt_id").desc()) \
         .limit(RECENT_APPROVALS).select("proposal_id")
     pp = participation(rv.select("registered_voter_id"), pvh, recent)
     ld = latest_delegation(de).withColumnRenamed("delegatee_id", "de_delegatee_id")
     now_ns = epoch_ns(cfg.as_of_column())
     tj = (rv.join(growth_config(silver, cfg), F.col("receiver_id") == F.col("gc_contract"), "left")
-          .join(latest_lock(silver, cfg), F.col("registered_voter_id") == F.col("lk_voter"), "left")
+          .join(latest_lock(silver, cfg, ve), F.col("registered_voter_id") == F.col("lk_voter"), "left")
           .join(pp, "registered_voter_id", "left")
           .join(ld, F.col("registered_voter_id") == F.col("delegator_id"), "left"))
     zero = F.lit(0).cast("decimal(38,0)")
