@@ -15,6 +15,9 @@ REQUIRED_CONF = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.sources.partitionOverwriteMode": "dynamic",
+    # A whole-stage method above HotSpot's 8000-byte JIT limit runs interpreted; let Spark
+    # fall back to per-operator codegen instead (wide JSON projections hit this).
+    "spark.sql.codegen.hugeMethodLimit": "8000",
 }
 
 
