@@ -143,3 +143,13 @@ def test_two_growth_configs_double_voters_and_amount_text(spark):
         fb.call(rid, "begin_unlock_near", {"amount": amount}, receiver="lk.v.hos.test")
     got = {r["receipt_id"]: r["near_amount"] for r in fb.lake(spark).user_activities().collect()}
     assert got["x38"] == int("9" * 38) and got["x39"] is None and got["half"] == 2 and got["bad"] is None
+
+
+def test_unvoted_keeps_repeats_and_nulls(spark):
+    from decimal import Decimal as D
+
+    from govlake.plans.non_voters import DEC, _unvoted
+    ids = [D(1), D(2), D(2), None, D(3)]
+    df = spark.createDataFrame([([D(2)],), ([],)], f"voted array<{DEC}>")
+    got = [sorted(r[0], key=lambda x: (x is None, x)) for r in df.select(_unvoted(ids, F.col("voted"))).collect()]
+    assert got == [[D(1), D(3), None], [D(1), D(2), D(2), D(3), None]]
