@@ -36,7 +36,7 @@ def upsert_frames(existing: DataFrame, incoming: DataFrame, keys: list[str],
 
 
 def upsert_table(spark: SparkSession, incoming: DataFrame, path: str, keys: list[str],
-                 partition_col: str, batch_order: int = 1) -> None:
+                 partition_col: str | list[str], batch_order: int = 1) -> None:
     """Upsert ``incoming`` into the Parquet table at ``path`` (partitioned by ``partition_col``).
 
     ``incoming`` may carry ``__ingest_order`` (rank within the batch); the
@@ -45,6 +45,7 @@ def upsert_table(spark: SparkSession, incoming: DataFrame, path: str, keys: list
     from govlake.session import checkpoint_dir
 
     checkpoint_dir(spark)
+    pcols = [partition_col] if isinstance(partition_col, str) else list(partition_col)
     cols = [c for c in incoming.columns if c != INGEST_COL]
     try:
         stored = spark.read.parquet(path)
@@ -57,15 +58,23 @@ def upsert_table(spark: SparkSession, incoming: DataFrame, path: str, keys: list
         # only touched partitions are read (and rewritten). A batch covers a bounded height
         # range, so its partition values are few: fetch at most MAX_TOUCHED of them and prune
         # statically; a larger backfill falls back to a semi-join (correct, reads more).
-        touched = incoming.select(partition_col).distinct()
-        vals = [r[0] for r in touched.limit(MAX_TOUCHED + 1).collect()]
+        touched = incoming.select(*pcols).distinct()
+        vals = [tuple(r) for r in touched.limit(MAX_TOUCHED + 1).collect()]
         base = stored.select(*cols)
-        old = base.where(F.col(partition_col).isin(vals)) if len(vals) <= MAX_TOUCHED \
-            else base.join(touched, partition_col, "left_semi")
+        if len(vals) <= MAX_TOUCHED:
+            cond = F.lit(False)
+            for v in vals:  # a handful of partition tuples: a static, prunable predicate
+                one = F.lit(True)
+                for c, x in zip(pcols, v):
+                    one = one & (F.col(c).isNull() if x is None else (F.col(c) == F.lit(x)))
+                cond = cond | one
+            old = base.where(cond)
+        else:
+            old = base.join(touched, pcols, "left_semi")
         merged = upsert_frames(old, incoming, keys, batch_order)
     merged = merged.checkpoint(eager=True)  # reliable checkpoint: the write below never reads `path`
-    (merged.sortWithinPartitions(partition_col).write.mode("overwrite")
-     .option("partitionOverwriteMode", "dynamic").partitionBy(partition_col).parquet(path))
+    (merged.sortWithinPartitions(*pcols).write.mode("overwrite")
+     .option("partitionOverwriteMode", "dynamic").partitionBy(*pcols).parquet(path))
 
 
 def cursor_latest(progress: DataFrame) -> DataFrame:

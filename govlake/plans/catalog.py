@@ -48,8 +48,9 @@ class GovLake:
 
     @classmethod
     def from_tables(cls, spark: SparkSession, root: str, cfg: ContractConfig = ContractConfig()) -> "GovLake":
-        from govlake.sources.tables import read_facts
-        return cls(spark, read_facts(spark, root), cfg)
+        from govlake.sources.tables import has_table, read_facts, read_silver
+        silver = read_silver(spark, root) if has_table(spark, f"{root}/silver") else None
+        return cls(spark, read_facts(spark, root), cfg, silver=silver)
 
     def materialize(self, root: str) -> "GovLake":
         """Write facts and the decoded silver layer under ``root``; return a lake reading them.

@@ -5,8 +5,9 @@ Layout under one root folder:
   receipt_actions/     partitioned by height_bucket
   execution_outcomes/  partitioned by height_bucket
   cursors/             one row per app version
-  silver/              decoded actions, partitioned by method_name (each view
-                       prunes to its methods at the scan)
+  silver/              decoded actions, partitioned by method_name and height
+                       bucket (views prune to their methods at the scan; the
+                       streaming ingest rewrites only the buckets it touches)
 
 Height buckets let a replay/upsert rewrite only the partitions it touches
 (dynamic partition overwrite).
@@ -31,12 +32,13 @@ def with_bucket(df: DataFrame, height_col: str) -> DataFrame:
     return df.withColumn("height_bucket", height_bucket(height_col))
 
 
-def write_table(df: DataFrame, path: str, partition_by: str | None, mode: str = "overwrite") -> None:
+def write_table(df: DataFrame, path: str, partition_by: str | list[str] | None, mode: str = "overwrite") -> None:
     w = df.write.mode(mode)
     if partition_by:
+        cols = [partition_by] if isinstance(partition_by, str) else list(partition_by)
         # cluster rows of one partition value inside each task: few files per task, no shuffle
-        df = df.sortWithinPartitions(partition_by)
-        w = df.write.mode(mode).partitionBy(partition_by)
+        df = df.sortWithinPartitions(*cols)
+        w = df.write.mode(mode).partitionBy(*cols)
     w.parquet(path)
 
 
@@ -54,9 +56,20 @@ def read_facts(spark: SparkSession, root: str) -> Facts:
     )
 
 
+SILVER_PARTITIONS = ["method_name", "height_bucket"]
+
+
 def write_silver(silver: DataFrame, root: str) -> None:
-    write_table(silver, f"{root}/silver", "method_name")
+    write_table(with_bucket(silver, "block_height"), f"{root}/silver", SILVER_PARTITIONS)
 
 
 def read_silver(spark: SparkSession, root: str) -> DataFrame:
-    return spark.read.parquet(f"{root}/silver")
+    return spark.read.parquet(f"{root}/silver").drop("height_bucket")
+
+
+def has_table(spark: SparkSession, path: str) -> bool:
+    try:
+        spark.read.parquet(path).schema
+        return True
+    except Exception:
+        return False

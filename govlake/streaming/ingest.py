@@ -4,8 +4,9 @@
     q.awaitTermination()
 
 Each micro-batch (``foreachBatch``) flattens its block records and upserts
-blocks, actions and outcomes by key (last write wins), then records the
-cursor for the app version and appends chain-continuity findings. A replayed
+blocks, actions, outcomes and the decoded silver rows by key (last write
+wins), then records the cursor for the app version and appends
+chain-continuity findings. A replayed
 or late block is absorbed by the keyed upsert, so re-running a range (new
 ``app_version`` = new checkpoint folder) changes nothing but the replayed
 rows. The stream's own checkpoint (under spark.checkpoint.dir) gives
@@ -25,7 +26,8 @@ from govlake.config import ContractConfig
 from govlake.operators.flatten import flatten_blocks
 from govlake.operators.upsert import INGEST_COL, upsert_table
 from govlake.schemas import BLOCK_RECORD
-from govlake.sources.tables import with_bucket
+from govlake.operators.decode import decode_actions
+from govlake.sources.tables import SILVER_PARTITIONS, with_bucket
 
 ORDER_SCALE = 10 ** 12  # batch id * scale + height: later batches win, then higher blocks
 
@@ -79,6 +81,10 @@ def ingest_batch(spark: SparkSession, records: DataFrame, batch_id: int, root: s
                      f"{root}/receipt_actions", ["id"], "height_bucket")
         upsert_table(spark, _ordered(with_bucket(facts.outcomes, "block_height"), batch_id, "block_height"),
                      f"{root}/execution_outcomes", ["receipt_id"], "height_bucket")
+        # silver for this batch: a receipt and its outcome arrive in the same block record
+        silver = decode_actions(facts.actions, facts.outcomes)
+        upsert_table(spark, _ordered(with_bucket(silver, "block_height"), batch_id, "block_height"),
+                     f"{root}/silver", ["id"], SILVER_PARTITIONS)
         # ST4: the cursor is written last and names the last block of the batch
         last = blocks.orderBy(F.col("height").desc()).limit(1).select(
             F.lit(app_version).alias("id"), F.col("hash").alias("cursor"), F.col("height").alias("block_num"),
