@@ -37,7 +37,8 @@ def _lake(spark: SparkSession, sf_dir: str):
     key = (id(spark), sf_dir)
     with _LOCK:  # concurrent callers share one materialization
         if key not in _LAKES:
-            root = f"{checkpoint_dir(spark)}/govlake/{hashlib.md5(sf_dir.encode()).hexdigest()[:12]}"
+            app = spark.sparkContext.applicationId  # jobs sharing the checkpoint folder never collide
+            root = f"{checkpoint_dir(spark)}/govlake/{app}/{hashlib.md5(sf_dir.encode()).hexdigest()[:12]}"
             _LAKES[key] = GovLake.from_events(spark, sf_dir).materialize(root)
         return _LAKES[key]
 
