@@ -1,3 +1,3 @@
 """Structured Streaming ingest of the block feed."""
 
-from govlake.streaming.ingest import ingest_batch, start_ingest  # noqa: F401
+from govlake.streaming.ingest import ingest_batch, replay, resume_start, start_ingest  # noqa: F401

@@ -34,3 +34,17 @@ def test_stream_equals_batch_and_replay_is_idempotent(spark, tmp_path):
     for view in ["proposals", "registered_voters", "user_activities"]:
         x, y = getattr(a, view)(), getattr(b, view)()
         assert x.exceptAll(y).count() == 0 and y.exceptAll(x).count() == 0, view
+
+
+def test_replay_and_resume(spark, tmp_path):
+    from govlake.streaming import replay, resume_start
+    d = str(tmp_path)
+    ev = spark.read.parquet("/root/testdata/sf0.001/events.parquet")
+    nested_blocks(ev).write.parquet(d + "/landing")
+    assert resume_start(spark, d + "/lake", "v1", None, 5) == 5
+    replay(spark, d + "/landing", d + "/lake", 1050, app_version="v1")
+    got = read_facts(spark, d + "/lake")
+    want = GovLake.from_events(spark, "/root/testdata/sf0.001").facts
+    assert got.blocks.count() == want.blocks.where("height >= 1050").count()
+    assert resume_start(spark, d + "/lake", "v1") == want.blocks.agg({"height": "max"}).first()[0] + 1
+    assert resume_start(spark, d + "/lake", "v1", 7) == 7
