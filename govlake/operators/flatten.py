@@ -104,3 +104,47 @@ def flatten_blocks(blocks: DataFrame, cfg: ContractConfig = ContractConfig()) ->
         results_json(o["status"]).alias("results_json"), F.col("timestamp").alias("block_timestamp"),
     ).select(*OUTCOME_COLUMNS)
     return Facts(out_blocks, actions, outcomes)
+
+
+def flatten_silver(blocks: DataFrame, cfg: ContractConfig = ContractConfig()) -> DataFrame:
+    """Silver rows straight from block records: no actions-outcomes join.
+
+    A receipt and its execution outcome travel in the same element of the
+    record, so every FunctionCall row can carry the outcome's status, logs and
+    result as it is exploded. Equals ``decode_actions(actions, outcomes)`` over
+    the flattened facts (a left join on receipt_id), without the shuffle of
+    both fact tables that the join would need.
+    """
+    from govlake.operators.decode import SILVER_ACTION_COLUMNS, add_decoded
+
+    h = F.col("block.header")
+    shards = blocks.select(h["height"].alias("height"), h["hash"].alias("hash"),
+                           ns_to_block_time(h["timestamp_nanosec"]).alias("timestamp"),
+                           F.explode("shards").alias("s"))
+    reos = shards.select("height", "hash", "timestamp", F.explode("s.receipt_execution_outcomes").alias("reo"))
+    reos = reos.where(is_contract_account(F.col("reo.receipt.receiver_id"), cfg)
+                      | is_contract_account(F.col("reo.receipt.predecessor_id"), cfg))
+    act = F.col("reo.receipt.receipt.Action")
+    o = F.col("reo.execution_outcome.outcome")
+    rows = reos.where(act.isNotNull()).select(
+        "height", "hash", "timestamp",
+        F.col("reo.receipt.receipt_id").alias("receipt_id"),
+        F.col("reo.receipt.receiver_id").alias("receiver_id"),
+        F.col("reo.receipt.predecessor_id").alias("predecessor_id"),
+        act["signer_id"].alias("signer_account_id"),
+        F.when(o.isNotNull(), status_tag(o["status"])).alias("status"),
+        o["logs"].alias("logs"),
+        F.when(o.isNotNull(), results_json(o["status"])).alias("results_json"),
+        F.posexplode(act["actions"]).alias("action_index", "action"),
+    ).where(F.col("action.FunctionCall").isNotNull())
+    fc = F.col("action.FunctionCall")
+    rows = rows.select(
+        F.concat_ws("-", F.col("receipt_id"), F.col("action_index").cast("string")).alias("id"),
+        "receipt_id", F.col("height").alias("block_height"), F.col("hash").alias("block_hash"),
+        F.col("timestamp").alias("block_timestamp"), "signer_account_id", "predecessor_id", "receiver_id",
+        fc["method_name"].alias("method_name"), F.lit("FunctionCall").alias("action_kind"),
+        F.col("action_index").cast("int").alias("action_index"),
+        b64_encode(fc["args"]).alias("args_base64"),
+        "status", "logs", "results_json",
+    )
+    return add_decoded(rows.select(*SILVER_ACTION_COLUMNS, "status", "logs", "results_json"))

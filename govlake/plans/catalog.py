@@ -74,7 +74,11 @@ class GovLake:
             if self._rows is not None:
                 self._rows.unpersist()
         facts = read_facts(self.spark, root)
-        write_silver(decode_actions(facts.actions, facts.outcomes), root)
+        if nested is not None:  # from the landed records: receipt and outcome are together, no join
+            from govlake.operators.flatten import flatten_silver
+            write_silver(flatten_silver(nested, self.cfg), root)
+        else:
+            write_silver(decode_actions(facts.actions, facts.outcomes), root)
         return GovLake(self.spark, facts, self.cfg, silver=read_silver(self.spark, root), events=self.events,
                        nested=nested)
 
