@@ -1,3 +1,5 @@
 """Structured Streaming ingest of the block feed."""
 
-from govlake.streaming.ingest import ingest_batch, replay, resume_start, start_ingest  # noqa: F401
+from govlake.streaming.ingest import (  # noqa: F401
+    ingest_batch, progress_report, replay, resume_start, start_ingest,
+)

@@ -141,3 +141,16 @@ def start_ingest(spark: SparkSession, landing_dir: str, root: str, cfg: Contract
         .option("checkpointLocation", ckpt).queryName(f"govlake-ingest-{app_version}"))
     w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime="10 seconds")
     return w.start()
+
+
+def progress_report(spark: SparkSession, query) -> DataFrame:
+    """ST7: per micro-batch input rows, rate and duration from the query's own progress log.
+
+    ``recentProgress`` is the bounded history Spark keeps on the driver
+    (spark.sql.streaming.numRecentProgressUpdates), not data.
+    """
+    rows = [(p["batchId"], p["numInputRows"], float(p.get("inputRowsPerSecond") or 0.0),
+             float(p.get("processedRowsPerSecond") or 0.0), int(p["durationMs"].get("triggerExecution", 0)))
+            for p in query.recentProgress]
+    return spark.createDataFrame(rows, "batch_id long, input_rows long, input_rows_per_second double, "
+                                       "processed_rows_per_second double, trigger_ms long")
