@@ -127,14 +127,20 @@ def reward(principal, num, den, now_ns, since_ns):
 
 
 def voter_stages(silver: DataFrame, cfg: ContractConfig, pvh: DataFrame, de: DataFrame,
-                 approved: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """(per-voter frame with principal and reward, delegated sums per delegatee)."""
+                 approved: DataFrame, distinct_recent: bool = False) -> tuple[DataFrame, DataFrame]:
+    """(per-voter frame with principal and reward, delegated sums per delegatee).
+
+    ``distinct_recent=True`` counts a proposal approved twice once among the ten
+    most recent approvals (the default keeps the reference's double count).
+    """
     from govlake.plans.delegation_events import latest_delegation
 
     ve = voter_events(silver, cfg)
     rv = first_registration(silver, cfg, ve).join(first_deposit(silver, cfg, ve), "registered_voter_id")
     recent = approved.orderBy(F.col("proposal_approved_at").desc(), F.col("receipt_id").desc()) \
         .limit(RECENT_APPROVALS).select("proposal_id")
+    if distinct_recent:
+        recent = recent.distinct()
     pp = participation(rv.select("registered_voter_id"), pvh, recent)
     ld = latest_delegation(de).withColumnRenamed("delegatee_id", "de_delegatee_id")
     now_ns = epoch_ns(cfg.as_of_column())
@@ -167,8 +173,8 @@ def voter_stages(silver: DataFrame, cfg: ContractConfig, pvh: DataFrame, de: Dat
 
 
 def registered_voters(silver: DataFrame, cfg: ContractConfig, pvh: DataFrame, de: DataFrame,
-                      approved: DataFrame) -> DataFrame:
-    tj, dvp = voter_stages(silver, cfg, pvh, de, approved)
+                      approved: DataFrame, distinct_recent: bool = False) -> DataFrame:
+    tj, dvp = voter_stages(silver, cfg, pvh, de, approved, distinct_recent)
     out = tj.join(dvp, F.col("registered_voter_id") == F.col("dvp_delegatee"), "left")
     zero = F.lit(0).cast("decimal(38,0)")
     total = (F.coalesce("principal_balance", zero) + F.coalesce("extra_venear_on_principal", zero)

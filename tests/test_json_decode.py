@@ -36,6 +36,9 @@ def test_strict_parse(spark):
     assert _one(spark, lambda c: parse_json_strict(c).isNull(), '{"a":1}, {"b":2}') is True
     assert _one(spark, lambda c: parse_json_strict(c).isNull(), "") is True
     assert _one(spark, lambda c: parse_json_strict(c).isNull(), '[1, null]') is False
+    # known residual of the array-wrap check: "1],[2" wraps to "[1],[2]", whose
+    # leading complete value "[1]" is accepted; the result is the element 1
+    assert _one(spark, lambda c: jstr(parse_json_strict(c), "$"), '1],[2') == "1"
 
 
 def test_error_guard(spark):

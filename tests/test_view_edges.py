@@ -153,3 +153,17 @@ def test_unvoted_keeps_repeats_and_nulls(spark):
     df = spark.createDataFrame([([D(2)],), ([],)], f"voted array<{DEC}>")
     got = [sorted(r[0], key=lambda x: (x is None, x)) for r in df.select(_unvoted(ids, F.col("voted"))).collect()]
     assert got == [[D(1), D(3), None], [D(1), D(2), D(2), D(3), None]]
+
+
+def test_duplicate_recent_approval_counts_twice_unless_distinct(spark):
+    from govlake.plans.registered_voters import registered_voters
+    fb = FactBuilder()
+    _voter_setup(fb, "a.near", 10)
+    for n in range(2):
+        fb.call(f"ap{n}", "approve_proposal", {"proposal_id": 1}, receiver="vote.hos.test", sec=20 + n,
+                status="SuccessReceiptId", results={"receipt_id": f"s{n}", "status_type": "SuccessReceiptId"})
+    fb.call("v1", "vote", {"proposal_id": 1, "vote": 0}, receiver="vote.hos.test", predecessor="a.near", sec=30)
+    lake = fb.lake(spark)
+    args = (lake.silver, lake.cfg, lake.proposal_voting_history(), lake.delegation_events(), lake.approved_proposals())
+    assert registered_voters(*args).first()["proposal_participation_rate"] == 0.2
+    assert registered_voters(*args, distinct_recent=True).first()["proposal_participation_rate"] == 0.1
