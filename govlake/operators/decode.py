@@ -1,9 +1,11 @@
-"""Silver layer: actions joined to their outcome, with JSON decoded once.
-
-``decode_actions`` is the one join every view starts from. The outcome table
-is keyed by receipt_id, so a left join keeps every action and adds at most one
-outcome; each view then applies its own status set (an inner join with a
-status predicate equals "status IN (...)" on this left join).
+"""Silver layer: each action with its outcome, JSON decoded once.
+
+Every view starts from silver. Built from block records it needs no join
+(``operators.flatten.flatten_silver``); built from the two fact tables it is
+``decode_actions``: the outcome table is keyed by receipt_id, so a left join
+keeps every action and adds at most one outcome. Each view then applies its
+own status set (an inner join with a status predicate equals
+"status IN (...)" on this left join).
 
 Decoded columns (VARIANT, NULL when unusable — see functions.json):
   args      call arguments (base64 -> UTF-8 -> strict JSON, error-guarded)
