@@ -80,6 +80,7 @@ def ingest_batch(spark: SparkSession, records: DataFrame, batch_id: int, root: s
     if start_height is not None:
         records = records.where(F.col("block.header.height") >= start_height)
     records = records.persist()  # read by three flattens; recomputed from the batch files on loss
+    blocks = None
     try:
         facts = flatten_blocks(records, cfg)
         blocks = facts.blocks.persist()
@@ -115,8 +116,9 @@ def ingest_batch(spark: SparkSession, records: DataFrame, batch_id: int, root: s
             F.col("hash").alias("block_id"), F.lit("cursor").alias("part"),
             F.lit(batch_id * ORDER_SCALE).cast("bigint").alias(INGEST_COL))
         upsert_table(spark, last, f"{root}/cursors", ["id"], "part")
-        blocks.unpersist()
     finally:
+        if blocks is not None:
+            blocks.unpersist()
         records.unpersist()
 
 
