@@ -54,12 +54,14 @@ REG, DEP, LOCK = "on_lockup_deployed", "storage_deposit", "on_lockup_update"
 
 
 def voter_events(silver: DataFrame, cfg: ContractConfig) -> DataFrame:
-    """W3-W5 in ONE scan and ONE shuffle: per (method, voter) the first and the last event.
-
-    Registration and deposit keep the earliest (time, receipt) row, lock updates
-    the latest; min/max of a struct ordered (time, receipt, payload) are partial
-    aggregates, so a voter with very many events sends one row per map task.
-    The three slices below read the same aggregate (one exchange, reused).
+    """W3-W5 in ONE scan and ONE shuffle: per voter the first registration, the first
+    deposit and the latest lock update.
+
+    Each is the min (or max) of a struct ordered (time, receipt, payload) taken
+    over that method's rows only; these are partial aggregates, so a voter with
+    very many events sends one row per map task. Registration and deposit need
+    their own key / amount (DISTINCT ON inputs); rows without a voter keep a
+    NULL group that never joins, as in the reference.
     """
     m, lg, a = F.col("method_name"), F.col("log0"), F.col("args")
     voter = (F.when(m == REG, F.coalesce(jstr(lg, "$.data[0].account_id"), jstr(a, "$.account_id")))
@@ -72,42 +74,61 @@ def voter_events(silver: DataFrame, cfg: ContractConfig) -> DataFrame:
         F.struct("block_timestamp", "receipt_id", "receiver_id", "block_height", "block_hash",
                  amount.alias("amount"),
                  F.when(m == LOCK, jnum(lg, "$.data[0].timestamp")).alias("lock_ns")).alias("e"))
-    # DISTINCT ON inputs: registrations need a voter, deposits an amount; lock updates keep NULL voters
-    ev = ev.where(~((m == REG) & F.col("registered_voter_id").isNull())
-                  & ~((m == DEP) & F.col("e.amount").isNull()))
-    return ev.groupBy("method_name", "registered_voter_id").agg(
-        F.min("e").alias("first"), F.max("e").alias("last"))
+    e = F.col("e")
+    return ev.groupBy("registered_voter_id").agg(
+        F.min(F.when(m == REG, e)).alias("reg"),
+        F.min(F.when((m == DEP) & e["amount"].isNotNull(), e)).alias("dep"),
+        F.max(F.when(m == LOCK, e)).alias("lock"),
+    )
 
 
 def first_registration(silver: DataFrame, cfg: ContractConfig, events: DataFrame | None = None) -> DataFrame:
-    g = (events if events is not None else voter_events(silver, cfg)).where(F.col("method_name") == REG)
-    f = F.col("first")
-    return g.select(f["receipt_id"].alias("receipt_id"), f["receiver_id"].alias("receiver_id"),
-                    f["block_timestamp"].alias("block_timestamp"), f["block_height"].alias("block_height"),
-                    f["block_hash"].alias("block_hash"), "registered_voter_id",
-                    epoch_ns(f["block_timestamp"]).alias("registered_at_ns"))
+    g = (events if events is not None else voter_events(silver, cfg))
+    f = F.col("reg")
+    return g.where(f.isNotNull() & F.col("registered_voter_id").isNotNull()).select(
+        f["receipt_id"].alias("receipt_id"), f["receiver_id"].alias("receiver_id"),
+        f["block_timestamp"].alias("block_timestamp"), f["block_height"].alias("block_height"),
+        f["block_hash"].alias("block_hash"), "registered_voter_id",
+        epoch_ns(f["block_timestamp"]).alias("registered_at_ns"))
 
 
 def first_deposit(silver: DataFrame, cfg: ContractConfig, events: DataFrame | None = None) -> DataFrame:
-    g = (events if events is not None else voter_events(silver, cfg)).where(F.col("method_name") == DEP)
-    return g.select("registered_voter_id", F.col("first.amount").alias("voting_power_from_vote_registration"))
+    g = (events if events is not None else voter_events(silver, cfg))
+    return g.where(F.col("dep").isNotNull()).select(
+        "registered_voter_id", F.col("dep.amount").alias("voting_power_from_vote_registration"))
 
 
 def latest_lock(silver: DataFrame, cfg: ContractConfig, events: DataFrame | None = None) -> DataFrame:
-    g = (events if events is not None else voter_events(silver, cfg)).where(F.col("method_name") == LOCK)
-    return g.select(F.col("registered_voter_id").alias("lk_voter"),
-                    F.col("last.amount").alias("voting_power_from_locks_unlocks"),
-                    F.col("last.lock_ns").alias("lockup_update_at_ns"))
-
-
-def participation(rv_ids: DataFrame, pvh: DataFrame, recent: DataFrame) -> DataFrame:
+    g = (events if events is not None else voter_events(silver, cfg))
+    return g.where(F.col("lock").isNotNull()).select(
+        F.col("registered_voter_id").alias("lk_voter"),
+        F.col("lock.amount").alias("voting_power_from_locks_unlocks"),
+        F.col("lock.lock_ns").alias("lockup_update_at_ns"))
+
+
+def registered(silver: DataFrame, cfg: ContractConfig, events: DataFrame) -> DataFrame:
+    """First registration that also has a deposit, with the voter's latest lock (one row per voter)."""
+    f = F.col("reg")
+    return events.where(f.isNotNull() & F.col("registered_voter_id").isNotNull() & F.col("dep").isNotNull()) \
+        .select(f["receipt_id"].alias("receipt_id"), f["receiver_id"].alias("receiver_id"),
+                f["block_timestamp"].alias("block_timestamp"), f["block_height"].alias("block_height"),
+                f["block_hash"].alias("block_hash"), "registered_voter_id",
+                epoch_ns(f["block_timestamp"]).alias("registered_at_ns"),
+                F.col("dep.amount").alias("voting_power_from_vote_registration"),
+                F.col("lock").isNotNull().alias("has_locked_unlocked_near"),
+                F.col("lock.amount").alias("voting_power_from_locks_unlocks"),
+                F.col("lock.lock_ns").alias("lockup_update_at_ns"))
+
+
+def participation(pvh: DataFrame, recent: DataFrame) -> DataFrame:
     """Votes on the ten most recent approvals per voter, as a rate out of 10.
 
+    Computed for every voter with a vote; the left join onto registered voters
+    keeps exactly the registered ones (NULL rate when a voter never voted).
     ``recent`` has at most ten rows, so it is broadcast; duplicates in it
     (a proposal approved twice) count twice, as in the reference.
     """
-    votes = rv_ids.join(pvh.select(F.col("voter_id").alias("registered_voter_id"), "proposal_id"),
-                        "registered_voter_id")
+    votes = pvh.select(F.col("voter_id").alias("registered_voter_id"), "proposal_id")
     tagged = votes.join(F.broadcast(recent.select(F.col("proposal_id").alias("t_pid"))),
                         F.col("proposal_id") == F.col("t_pid"), "left")
     s = F.sum(F.when(F.col("t_pid").isNull(), F.lit(0)).otherwise(F.lit(1)))
@@ -135,17 +156,15 @@ def voter_stages(silver: DataFrame, cfg: ContractConfig, pvh: DataFrame, de: Dat
     """
     from govlake.plans.delegation_events import latest_delegation
 
-    ve = voter_events(silver, cfg)
-    rv = first_registration(silver, cfg, ve).join(first_deposit(silver, cfg, ve), "registered_voter_id")
+    rv = registered(silver, cfg, voter_events(silver, cfg))
     recent = approved.orderBy(F.col("proposal_approved_at").desc(), F.col("receipt_id").desc()) \
         .limit(RECENT_APPROVALS).select("proposal_id")
     if distinct_recent:
         recent = recent.distinct()
-    pp = participation(rv.select("registered_voter_id"), pvh, recent)
+    pp = participation(pvh, recent)
     ld = latest_delegation(de).withColumnRenamed("delegatee_id", "de_delegatee_id")
     now_ns = epoch_ns(cfg.as_of_column())
     tj = (rv.join(growth_config(silver, cfg), F.col("receiver_id") == F.col("gc_contract"), "left")
-          .join(latest_lock(silver, cfg, ve), F.col("registered_voter_id") == F.col("lk_voter"), "left")
           .join(pp, "registered_voter_id", "left")
           .join(ld, F.col("registered_voter_id") == F.col("delegator_id"), "left"))
     zero = F.lit(0).cast("decimal(38,0)")
@@ -153,7 +172,6 @@ def voter_stages(silver: DataFrame, cfg: ContractConfig, pvh: DataFrame, de: Dat
     initial = F.coalesce(F.col("voting_power_from_vote_registration"), zero)
     tj = tj.select(
         "*",
-        F.col("lk_voter").isNotNull().alias("has_locked_unlocked_near"),
         F.col("delegator_id").isNotNull().alias("is_actively_delegating"),
         F.col("de_delegatee_id").alias("delegatee_id"),
         locks.alias("vp_locks"), initial.alias("vp_initial"),
