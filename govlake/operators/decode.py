@@ -35,12 +35,13 @@ def decode_actions(actions: DataFrame, outcomes: DataFrame) -> DataFrame:
 
 
 def add_decoded(df: DataFrame) -> DataFrame:
-    return df.withColumns({
+    docs = df.withColumns({
         "args": safe_json(b64_text("args_base64")),
-        "log0": log_event_json(F.get(F.col("logs"), 0)),
         "log_docs": F.transform("logs", lambda l: log_event_json(l)),
         "results": safe_json("results_json"),
     })
+    # the first log is the first parsed document: no second parse of logs[0]
+    return docs.withColumn("log0", F.get(F.col("log_docs"), 0))
 
 
 def successful(df: DataFrame, statuses=("SuccessReceiptId", "SuccessValue")) -> DataFrame:
