@@ -9,13 +9,19 @@ independent DuckDB query over the same parquet files (oracle/).
 from __future__ import annotations
 
 import hashlib
+import os
+import sys
 import threading
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from govlake.session import ensure_session_conf
+_HERE = os.path.dirname(os.path.abspath(__file__))
+if _HERE not in sys.path:  # importable when loaded by file path from another working directory
+    sys.path.insert(0, _HERE)
+
+from govlake.session import ensure_session_conf  # noqa: E402
 
 SMOKE_DIR = "/root/testdata/sf0.001"
 
