@@ -30,6 +30,8 @@ def main(argv=None) -> int:
     p.add_argument("--token-prefix", default="v")
     p.add_argument("--voting-prefix", default="vote")
     p.add_argument("--as-of", default=None, help="timestamp used instead of the wall clock")
+    p.add_argument("--size-partitions", action="store_true",
+                   help="set spark.sql.shuffle.partitions from the input size (about 256 MB each)")
     sub = p.add_subparsers(dest="cmd", required=True)
     ing = sub.add_parser("ingest")
     ing.add_argument("--landing", required=True)
@@ -63,6 +65,9 @@ def main(argv=None) -> int:
     from govlake.session import ensure_session_conf
     spark = SparkSession.builder.appName(f"govlake-{a.cmd}").getOrCreate()
     ensure_session_conf(spark)
+    if a.size_partitions:
+        from govlake.session import size_shuffle_partitions
+        size_shuffle_partitions(spark, [getattr(a, "landing", None) or a.root])
     cfg = _cfg(a)
     if a.cmd == "ingest":
         from govlake.streaming import start_ingest

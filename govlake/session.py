@@ -70,3 +70,29 @@ def checkpoint_dir(spark: SparkSession) -> str:
     if not sc.getCheckpointDir():
         sc.setCheckpointDir(d)
     return d.rstrip("/")
+
+
+def input_bytes(spark: SparkSession, paths: list[str]) -> int:
+    """Total size of the given folders/files (file-system metadata only, no data read)."""
+    jvm = spark.sparkContext._jvm
+    conf = spark.sparkContext._jsc.hadoopConfiguration()
+    total = 0
+    for p in paths:
+        path = jvm.org.apache.hadoop.fs.Path(p)
+        fs = path.getFileSystem(conf)
+        if fs.exists(path):
+            total += fs.getContentSummary(path).getLength()
+    return total
+
+
+def size_shuffle_partitions(spark: SparkSession, paths: list[str], target_bytes: int = 256 << 20,
+                            floor: int = 200, ceiling: int = 100_000) -> int:
+    """Set spark.sql.shuffle.partitions from the input size (about ``target_bytes`` per partition).
+
+    AQE then coalesces small partitions and splits skewed ones at run time; the
+    initial count only has to be large enough that no partition must spill.
+    """
+    n = max(floor, min(ceiling, -(-input_bytes(spark, paths) // target_bytes)))
+    spark.conf.set("spark.sql.shuffle.partitions", str(n))
+    spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", str(target_bytes))
+    return n

@@ -12,5 +12,8 @@ def test_cli_ingest_sql_report(spark, tmp_path, capsys):
     assert cli.main(["--as-of", "2024-02-01 00:00:00", "sql", "--root", d + "/lake", "--out", d + "/out",
                      "SELECT proposal_id, num_for_votes FROM proposals"]) == 0
     assert spark.read.parquet(d + "/out").count() == 3
-    assert cli.main(["report", "--root", d + "/lake", "block_gaps", "--out", d + "/gaps"]) == 0
+    assert cli.main(["--size-partitions", "report", "--root", d + "/lake", "block_gaps", "--out", d + "/gaps"]) == 0
+    assert spark.conf.get("spark.sql.shuffle.partitions") == "200"   # tiny input: the floor
+    spark.conf.set("spark.sql.shuffle.partitions", "4")
+    spark.conf.unset("spark.sql.adaptive.advisoryPartitionSizeInBytes")
     assert spark.read.parquet(d + "/gaps").count() == 0
