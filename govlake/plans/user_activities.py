@@ -93,7 +93,7 @@ def _lockup_updates(ra: DataFrame, cfg: ContractConfig) -> DataFrame:
     ft = F.filter(docs, lambda d: ev(d).isin("ft_mint", "ft_burn"))
     upd = F.filter(docs, lambda d: ev(d) == "lockup_update")
     per_action = ra.where((F.col("method_name") == "on_lockup_update") & on_contracts(cfg)
-                          & (F.size("logs") > 0)).select(
+                          & (F.size("log_docs") > 0)).select(
         F.col("receipt_id").alias("id"), "receipt_id", F.col("block_timestamp").alias("event_timestamp"),
         "method_name", "event_status", F.col("signer_account_id").alias("account_id"),
         F.col("receiver_id").alias("hos_contract_address"), "block_hash", "block_height",

@@ -57,10 +57,16 @@ def read_facts(spark: SparkSession, root: str) -> Facts:
 
 
 SILVER_PARTITIONS = ["method_name", "height_bucket"]
+# raw texts stay in the fact tables; silver stores only their decoded documents
+SILVER_RAW = ["args_base64", "logs", "results_json"]
+
+
+def silver_for_storage(silver: DataFrame) -> DataFrame:
+    return with_bucket(silver.drop(*SILVER_RAW), "block_height")
 
 
 def write_silver(silver: DataFrame, root: str) -> None:
-    write_table(with_bucket(silver, "block_height"), f"{root}/silver", SILVER_PARTITIONS)
+    write_table(silver_for_storage(silver), f"{root}/silver", SILVER_PARTITIONS)
 
 
 def read_silver(spark: SparkSession, root: str) -> DataFrame:

@@ -26,7 +26,7 @@ from govlake.config import ContractConfig
 from govlake.operators.flatten import flatten_blocks, flatten_silver
 from govlake.operators.upsert import INGEST_COL, append_new, upsert_table
 from govlake.schemas import BLOCK_RECORD
-from govlake.sources.tables import SILVER_PARTITIONS, with_bucket
+from govlake.sources.tables import SILVER_PARTITIONS, silver_for_storage, with_bucket
 
 ORDER_SCALE = 10 ** 12  # batch id * scale + height: later batches win, then higher blocks
 
@@ -108,7 +108,7 @@ def ingest_batch(spark: SparkSession, records: DataFrame, batch_id: int, root: s
         # silver for this batch: a receipt and its outcome arrive in the same block record,
         # so the decoded rows come straight from the records (no join)
         silver = flatten_silver(records, cfg)
-        write(_ordered(with_bucket(silver, "block_height"), batch_id, "block_height"),
+        write(_ordered(silver_for_storage(silver), batch_id, "block_height"),
               f"{root}/silver", ["id"], SILVER_PARTITIONS)
         # ST4: the cursor is written last and names the last block of the batch
         last = blocks.orderBy(F.col("height").desc()).limit(1).select(
