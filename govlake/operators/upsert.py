@@ -77,17 +77,22 @@ def upsert_table(spark: SparkSession, incoming: DataFrame, path: str, keys: list
      .option("partitionOverwriteMode", "dynamic").partitionBy(*pcols).parquet(path))
 
 
-def append_new(incoming: DataFrame, path: str, keys: list[str], partition_col: str | list[str]) -> None:
+def append_new(incoming: DataFrame, path: str, keys: list[str], partition_col: str | list[str],
+               dedupe: bool = True) -> None:
     """Append rows whose keys cannot exist yet (live ingest of new heights).
 
-    Duplicates inside the batch are resolved first (latest by ingest order).
-    The caller decides that no stored key can collide; anything else goes
-    through ``upsert_table``.
+    With ``dedupe`` duplicates inside the batch are resolved first (latest by
+    ingest order); callers that know the batch has none skip that shuffle. The
+    caller decides that no stored key can collide; anything else goes through
+    ``upsert_table``.
     """
     pcols = [partition_col] if isinstance(partition_col, str) else list(partition_col)
     cols = [c for c in incoming.columns if c != INGEST_COL]
-    ranked = incoming if INGEST_COL in incoming.columns else incoming.withColumn(INGEST_COL, F.lit(1))
-    rows = first_per_key(ranked, keys, [F.col(INGEST_COL).desc()]).select(*cols)
+    if dedupe:
+        ranked = incoming if INGEST_COL in incoming.columns else incoming.withColumn(INGEST_COL, F.lit(1))
+        rows = first_per_key(ranked, keys, [F.col(INGEST_COL).desc()]).select(*cols)
+    else:
+        rows = incoming.select(*cols)
     rows.sortWithinPartitions(*pcols).write.mode("append").partitionBy(*pcols).parquet(path)
 
 

@@ -53,17 +53,16 @@ def chain_findings(blocks: DataFrame, last_hash: str | None) -> DataFrame:
 
 def _last_cursor(spark: SparkSession, root: str, app_version: str):
     try:
-        r = spark.read.parquet(f"{root}/cursors").where(F.col("id") == app_version).select("block_id").take(1)
+        r = _cursors(spark, root).where(F.col("id") == app_version).select("block_id").take(1)
     except Exception:
         return None
     return r[0][0] if r else None
 
 
-def _is_fresh(spark: SparkSession, root: str, blocks: DataFrame) -> bool:
-    """True when no stored block has a height >= the batch's lowest height."""
+def _is_fresh(spark: SparkSession, root: str, h0: int) -> bool:
+    """True when no stored block has a height >= the batch's lowest height ``h0``."""
     from govlake.sources.tables import HEIGHT_BUCKET
 
-    h0 = blocks.agg(F.min("height")).first()[0]
     try:
         stored = spark.read.parquet(f"{root}/blocks")
     except Exception:
@@ -73,6 +72,20 @@ def _is_fresh(spark: SparkSession, root: str, blocks: DataFrame) -> bool:
     return stored.where((F.col("height_bucket") >= b0) & (F.col("height") >= h0)).limit(1).count() == 0
 
 
+CURSOR_SCHEMA = "cursor string, block_num bigint, block_id string, id string"
+
+
+def _cursors(spark: SparkSession, root: str) -> DataFrame:
+    """The cursor table (partitioned by app version; the schema keeps the version a string)."""
+    return spark.read.schema(CURSOR_SCHEMA).parquet(f"{root}/cursors")
+
+
+def _write_cursor(last: DataFrame, root: str) -> None:
+    """ST4: one row per app version; the version's partition is replaced, nothing else is read."""
+    (last.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("id")
+     .parquet(f"{root}/cursors"))
+
+
 def ingest_batch(spark: SparkSession, records: DataFrame, batch_id: int, root: str,
                  cfg: ContractConfig = ContractConfig(), app_version: str = "v1",
                  start_height: int | None = None) -> None:
@@ -84,7 +97,9 @@ def ingest_batch(spark: SparkSession, records: DataFrame, batch_id: int, root: s
     try:
         facts = flatten_blocks(records, cfg)
         blocks = facts.blocks.persist()
-        if blocks.isEmpty():
+        # one pass over the batch's blocks: emptiness, lowest height, repeated heights
+        n, n_heights, h0 = blocks.agg(F.count(F.lit(1)), F.count_distinct("height"), F.min("height")).first()
+        if n == 0:
             return
         last_hash = _last_cursor(spark, root, app_version)
         (chain_findings(blocks, last_hash).withColumn("app_version", F.lit(app_version))
@@ -96,9 +111,11 @@ def ingest_batch(spark: SparkSession, records: DataFrame, batch_id: int, root: s
         # appended. A replay or a retried batch finds its heights stored and takes the upsert
         # path, which rewrites only the touched buckets. Blocks are written first, so a crash
         # part-way through a batch always sends its retry down the upsert path.
-        fresh = _is_fresh(spark, root, blocks)
-        write = (lambda df, path, keys, parts: append_new(df, path, keys, parts)) if fresh else \
-            (lambda df, path, keys, parts: upsert_table(spark, df, path, keys, parts))
+        fresh = _is_fresh(spark, root, h0)
+        # a block delivered twice in one batch is the only source of repeated keys
+        unique = n == n_heights
+        write = (lambda df, path, keys, parts: append_new(df, path, keys, parts, dedupe=not unique)) if fresh \
+            else (lambda df, path, keys, parts: upsert_table(spark, df, path, keys, parts))
         write(_ordered(with_bucket(blocks, "height"), batch_id, "height"), f"{root}/blocks",
               ["height"], "height_bucket")
         write(_ordered(with_bucket(facts.actions, "block_height"), batch_id, "block_height"),
@@ -112,10 +129,9 @@ def ingest_batch(spark: SparkSession, records: DataFrame, batch_id: int, root: s
               f"{root}/silver", ["id"], SILVER_PARTITIONS)
         # ST4: the cursor is written last and names the last block of the batch
         last = blocks.orderBy(F.col("height").desc()).limit(1).select(
-            F.lit(app_version).alias("id"), F.col("hash").alias("cursor"), F.col("height").alias("block_num"),
-            F.col("hash").alias("block_id"), F.lit("cursor").alias("part"),
-            F.lit(batch_id * ORDER_SCALE).cast("bigint").alias(INGEST_COL))
-        upsert_table(spark, last, f"{root}/cursors", ["id"], "part")
+            F.col("hash").alias("cursor"), F.col("height").alias("block_num"),
+            F.col("hash").alias("block_id"), F.lit(app_version).alias("id"))
+        _write_cursor(last, root)
     finally:
         if blocks is not None:
             blocks.unpersist()
@@ -128,7 +144,7 @@ def resume_start(spark: SparkSession, root: str, app_version: str, explicit: int
     if explicit is not None:
         return explicit
     try:
-        r = spark.read.parquet(f"{root}/cursors").where(F.col("id") == app_version) \
+        r = _cursors(spark, root).where(F.col("id") == app_version) \
             .agg(F.max("block_num")).first()[0]
     except Exception:
         r = None
