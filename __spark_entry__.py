@@ -176,8 +176,18 @@ def _registry() -> dict[str, Callable]:
     return r
 
 
+def _llm():
+    """The training-data queries; None when their subpackage is not installed."""
+    try:
+        from govlake.llm import queries as llm
+    except ImportError:
+        return None
+    return llm
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    out: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
+    llm = _llm()
+    out: dict[str, Callable[[SparkSession, str], DataFrame]] = dict(llm.QUERIES) if llm else {}
     for name, body in _registry().items():
         def run(spark: SparkSession, sf_dir: str, _body=body) -> DataFrame:
             return _body(_lake(spark, sf_dir))
@@ -189,4 +199,5 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 def oracle_sql() -> dict[str, str]:
     from oracle import ORACLE_QUERIES
     names = set(_registry())
-    return {k: v for k, v in ORACLE_QUERIES.items() if k in names}
+    llm = _llm()
+    return {k: v for k, v in ORACLE_QUERIES.items() if k in names} | (dict(llm.ORACLES) if llm else {})
