@@ -62,11 +62,13 @@ def utf8(batch: pa.RecordBatch, name: str) -> tuple[np.ndarray, np.ndarray]:
     return raw[offsets[0]:offsets[-1]], offsets - offsets[0]
 
 
-def pieces(offsets: np.ndarray, limit: int) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+def pieces(offsets: np.ndarray, limit: int, raw: np.ndarray | None = None) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
     """Cut texts into work of at most about ``limit`` bytes: (row, begin, end) arrays.
 
     Short texts travel together; a text above the limit is cut into several
-    pieces, so the memory of a task does not depend on the longest text.
+    pieces, so the memory of a task does not depend on the longest text; with ``raw``
+    the cuts are after the last white space of a piece, where there is one. A piece of a
+    cut text travels alone.
     """
     rows: list[int] = []
     begins: list[int] = []
@@ -76,13 +78,17 @@ def pieces(offsets: np.ndarray, limit: int) -> Iterator[tuple[np.ndarray, np.nda
         a, b = int(offsets[r]), int(offsets[r + 1])
         while True:
             take = min(b - a, limit)
-            if rows and size + take > limit:
+            if raw is not None and take < b - a:
+                spaces = np.flatnonzero(raw[a:a + take] <= 32)
+                take = int(spaces[-1]) + 1 if len(spaces) else take
+            cut_text = offsets[r + 1] - offsets[r] > limit
+            if rows and (size + take > limit or cut_text):
                 yield np.array(rows), np.array(begins), np.array(ends)
                 rows, begins, ends, size = [], [], [], 0
             rows.append(r)
             begins.append(a)
             ends.append(a + take)
-            size += take
+            size += limit + 1 if cut_text else take
             a += take
             if a >= b:
                 break
@@ -90,6 +96,12 @@ def pieces(offsets: np.ndarray, limit: int) -> Iterator[tuple[np.ndarray, np.nda
         yield np.array(rows), np.array(begins), np.array(ends)
 
 
+def sorted_unique(keys: np.ndarray) -> np.ndarray:
+    """Distinct integers in order (np.unique without counts hashes, which is far slower)."""
+    keys = np.sort(keys)
+    return keys[np.concatenate([[True], keys[1:] != keys[:-1]])] if len(keys) else keys
+
+
 def arrow_out(schema: pa.Schema, columns: dict) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(columns[f.name], f.type) if not isinstance(columns[f.name], pa.Array)
                                        else columns[f.name].cast(f.type) for f in schema], schema=schema)

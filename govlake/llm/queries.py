@@ -9,14 +9,57 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from . import language_id, quality, toxicity
+from .bpe import encode_documents
 from .common import crc_fold, table
 from .exact_dedup import exact_dedup
+from .ftrl import labelled_sample
 from .sharding import shard_rows
 from .simhash import near_groups
 
 SHARDS = 16
 
 
+VOCABULARY = "byte_bpe_50k.json"
+ACCEPT = 0.3
+
+
+def vocabulary_path() -> str:
+    """Where the public vocabulary file lies (driver and executors have the same installation)."""
+    import public_tokenizers
+
+    return public_tokenizers.path(VOCABULARY)
+
+
+def op2_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    held_out = crc_fold(F.col("doc_id"), 4) == 2
+    model = language_id.train(docs.where(~held_out))
+    pred = language_id.predict(docs, model)
+    return pred.select("doc_id", (crc_fold(F.col("doc_id"), 4) == 2).alias("held_out"), "lang_pred", "score", "bits_per_byte")
+
+
+def op3_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return encode_documents(table(spark, sf_dir, "documents"), vocabulary_path(), with_ids=False)
+
+
+def _scored(scores: DataFrame, held_out) -> DataFrame:
+    return scores.select("doc_id", held_out.alias("held_out"), "score", (F.col("score") >= ACCEPT).cast("int").alias("predicted"))
+
+
+def op4_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
+    held_out = crc_fold(F.col("doc_id"), 5) == 0
+    model = quality.fit(labelled_sample(docs, labels.where(~held_out), "quality", quality.SAMPLE_ROWS))
+    return _scored(quality.score(docs, model), held_out)
+
+
+def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
+    held_out = crc_fold(F.col("doc_id"), 4) == 2
+    return _scored(toxicity.score(docs, toxicity.learn(docs, labels.where(~held_out))), held_out)
+
+
 def op5_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup(table(spark, sf_dir, "documents")).select(
         "doc_id", "keep_id", "group_size", "kept", "text_sha256")
@@ -37,7 +80,11 @@ def op9_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op2_language_id": op2_language_id,
+    "op3_bpe": op3_bpe,
+    "op4_quality": op4_quality,
     "op5_exact_dedup": op5_exact_dedup,
+    "op7_toxicity": op7_toxicity,
     "op8_sharding": op8_sharding,
     "op9_simhash": op9_simhash,
 }
