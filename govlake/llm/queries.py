@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from . import language_id, quality, toxicity
 from .bpe import encode_documents
+from .chunk_dedup import chunk_report
 from .common import crc_fold, table
 from .exact_dedup import exact_dedup
 from .ftrl import labelled_sample
@@ -79,6 +80,10 @@ def op9_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return groups.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
+def op10_chunk_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return chunk_report(table(spark, sf_dir, "documents"))
+
+
 QUERIES = {
     "op2_language_id": op2_language_id,
     "op3_bpe": op3_bpe,
@@ -87,6 +92,7 @@ QUERIES = {
     "op7_toxicity": op7_toxicity,
     "op8_sharding": op8_sharding,
     "op9_simhash": op9_simhash,
+    "op10_chunk_dedup": op10_chunk_dedup,
 }
 
 ORACLES = {
