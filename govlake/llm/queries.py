@@ -13,6 +13,7 @@ from . import language_id, quality, toxicity
 from .bpe import encode_documents
 from .chunk_dedup import chunk_report
 from .common import crc_fold, table
+from .decontaminate import contamination
 from .exact_dedup import exact_dedup
 from .ftrl import labelled_sample
 from .sharding import shard_rows
@@ -32,6 +33,10 @@ def vocabulary_path() -> str:
     return public_tokenizers.path(VOCABULARY)
 
 
+def op1_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def op2_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     held_out = crc_fold(F.col("doc_id"), 4) == 2
@@ -85,6 +90,7 @@ def op10_chunk_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_decontaminate": op1_decontaminate,
     "op2_language_id": op2_language_id,
     "op3_bpe": op3_bpe,
     "op4_quality": op4_quality,
