@@ -18,6 +18,7 @@ from .exact_dedup import exact_dedup
 from .ftrl import labelled_sample
 from .sharding import shard_rows
 from .simhash import near_groups
+from .suffix_dedup import suffix_dedup
 
 SHARDS = 16
 
@@ -60,6 +61,10 @@ def op4_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _scored(quality.score(docs, model), held_out)
 
 
+def op6_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix_dedup(table(spark, sf_dir, "documents")).drop("spans")
+
+
 def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
     held_out = crc_fold(F.col("doc_id"), 4) == 2
@@ -89,16 +94,24 @@ def op10_chunk_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chunk_report(table(spark, sf_dir, "documents"))
 
 
+def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import corpus_pipeline
+
+    return corpus_pipeline.run(spark, sf_dir)
+
+
 QUERIES = {
     "op1_decontaminate": op1_decontaminate,
     "op2_language_id": op2_language_id,
     "op3_bpe": op3_bpe,
     "op4_quality": op4_quality,
     "op5_exact_dedup": op5_exact_dedup,
+    "op6_suffix_dedup": op6_suffix_dedup,
     "op7_toxicity": op7_toxicity,
     "op8_sharding": op8_sharding,
     "op9_simhash": op9_simhash,
     "op10_chunk_dedup": op10_chunk_dedup,
+    "pipeline": pipeline,
 }
 
 ORACLES = {
