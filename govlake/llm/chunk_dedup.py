@@ -30,11 +30,12 @@ import random
 from collections.abc import Iterator
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import arrow_out, staged, utf8
+from .common import arrow_out, free_names, staged, utf8
 
 MIN_CHUNK, MAX_CHUNK = 24, 256
 MASK_BITS = 5  # a place ends a chunk with chance 2^-5
@@ -175,9 +176,9 @@ def cut_spans(text: str | None, spans: list) -> str | None:
     if not spans or text is None:
         return text
     data, out, at = text.encode(), [], 0
-    for s in spans:
+    for s in sorted(spans, key=lambda s: s["begin"]):
         out.append(data[at:s["begin"]])
-        at = s["end"]
+        at = max(at, s["end"])
     return b"".join([*out, data[at:]]).decode("utf-8", "ignore")
 
 
@@ -186,14 +187,13 @@ def remove_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
 
     Needs one row per doc_id (rows that repeat an id lose the spans of each).
     """
-    import pandas as pd
-
-    report = staged(chunk_report(docs, id_col, text_col, min_run).where("n_spans > 0").groupBy(F.col(id_col).alias("__id")).agg(
-        F.flatten(F.collect_list("spans")).alias("__spans")), "spans")
+    own_id, own_spans = free_names(docs, "__id", "__spans")
+    report = staged(chunk_report(docs, id_col, text_col, min_run).where("n_spans > 0").groupBy(F.col(id_col).alias(own_id)).agg(
+        F.flatten(F.collect_list("spans")).alias(own_spans)), "spans")
 
     @F.pandas_udf("string")
     def kept(text: pd.Series, spans: pd.Series) -> pd.Series:
-        return pd.Series([cut_spans(t, [] if s is None else list(s)) for t, s in zip(text, spans)])
+        return pd.Series([cut_spans(t, [] if s is None else list(s)) for t, s in zip(text, spans)], dtype=object)
 
-    joined = docs.join(report, F.col(id_col).eqNullSafe(F.col("__id")), "left")
-    return joined.withColumn(text_col, kept(F.col(text_col), F.col("__spans"))).select(*docs.columns)
+    joined = docs.join(report, F.col(id_col).eqNullSafe(F.col(own_id)), "left")
+    return joined.withColumn(text_col, kept(F.col(text_col), F.col(own_spans))).select(*[f"`{c}`" for c in docs.columns])

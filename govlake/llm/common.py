@@ -38,6 +38,18 @@ def cut(df: DataFrame) -> DataFrame:
     return df.checkpoint()
 
 
+def free_names(df: DataFrame, *names: str) -> list[str]:
+    """Column names that ``df`` doesn't have, made from the given ones (names compare without case)."""
+    taken = {c.lower() for c in df.columns}
+    out = []
+    for n in names:
+        while n.lower() in taken:
+            n += "_"
+        taken.add(n.lower())
+        out.append(n)
+    return out
+
+
 def crc_fold(key: Column, n: int) -> Column:
     """crc32 of the key as text, modulo ``n``: the folds of the query contracts."""
     return F.pmod(F.crc32(key.cast("string").cast("binary")), F.lit(n))

@@ -35,7 +35,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import arrow_out, pieces, sorted_unique, staged, utf8
+from .common import arrow_out, free_names, pieces, sorted_unique, staged, utf8
 from .quality import KIND, mixed, span_hashes
 
 MIN_MATCH = 5
@@ -263,6 +263,7 @@ def contamination(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id",
 
 def drop_leaks(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text", **how) -> DataFrame:
     """The rows of ``docs`` that are not contaminated, with all their columns."""
+    (own,) = free_names(docs, "__id")
     leaked = staged(contamination(docs, benchmark, id_col, text_col, **how).where("contaminated").select(
-        F.col(id_col).alias("__id")).distinct(), "leaked")
-    return docs.join(leaked, F.col(id_col).eqNullSafe(F.col("__id")), "left_anti")
+        F.col(id_col).alias(own)).distinct(), "leaked")
+    return docs.join(leaked, F.col(id_col).eqNullSafe(F.col(own)), "left_anti")

@@ -32,7 +32,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import staged
+from .common import free_names, staged
 
 BLOCK_BYTES = 2048
 
@@ -116,14 +116,13 @@ def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
 
 def drop_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """The rows of ``docs`` that exact dedup keeps, with all their columns."""
-    keep = exact_dedup(docs, id_col, text_col).where("kept").select(
-        F.col(id_col).alias("__id"), F.col("text_sha256").alias("__sha"), F.col("copies").alias("__copies"))
-    keep = staged(keep, "kept")
+    own_id, own_sha, own_copies = free_names(docs, "__id", "__sha", "__copies")
+    keep = staged(exact_dedup(docs, id_col, text_col).where("kept").select(
+        F.col(id_col).alias(own_id), F.col("text_sha256").alias(own_sha), F.col("copies").alias(own_copies)), "kept")
     sha = F.sha2(F.coalesce(F.col(text_col), F.lit("")).cast("binary"), 256)
-    out = docs.join(keep, F.col(id_col).eqNullSafe(F.col("__id")) & (sha == F.col("__sha")))
-    once = out.where("__copies = 1").select(*docs.columns)
-    repeated = keep.where("__copies > 1")
+    same = F.col(id_col).eqNullSafe(F.col(own_id)) & (sha == F.col(own_sha))
+    once = docs.join(keep.where(F.col(own_copies) == 1), same, "left_semi")
+    repeated = keep.where(F.col(own_copies) > 1)
     if repeated.isEmpty():
         return once
-    more = docs.join(repeated, F.col(id_col).eqNullSafe(F.col("__id")) & (sha == F.col("__sha")))
-    return once.unionByName(more.dropDuplicates(["__id", "__sha"]).select(*docs.columns))
+    return once.unionByName(docs.join(repeated, same).dropDuplicates([own_id, own_sha]).select(*[f"`{c}`" for c in docs.columns]))

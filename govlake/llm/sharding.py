@@ -28,7 +28,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from .common import staged
+from .common import free_names, staged
 
 ROWS_PER_CELL = 100_000
 MIN_CELLS, MAX_CELLS = 64, 65_536
@@ -87,31 +87,28 @@ def communication_matrix(counts: dict[int, int], shards: int, seed: int) -> list
 def shard_rows(rows: DataFrame, shards: int, seed: int = 17, rows_per_cell: int = ROWS_PER_CELL) -> DataFrame:
     """``rows`` with two more columns: ``shard`` (int, from 0) and ``slot`` (long, gapless from 0 in each shard)."""
     spark = rows.sparkSession
-    if clash := {"shard", "slot"} & set(rows.columns):
+    if clash := {"shard", "slot"} & {c.lower() for c in rows.columns}:
         raise ValueError(f"input has columns named {sorted(clash)}")
-    cols = rows.columns
-    mixed = [F.xxhash64(F.lit(seed + i), *[F.col(f"`{c}`") for c in cols]) for i in range(3)]
+    cols = [F.col(f"`{c}`") for c in rows.columns]
+    cell, first, second, place, sub, to = free_names(rows, "__cell", "__first", "__second", "__place", "__sub", "__to")
+    mixed = [F.xxhash64(F.lit(seed + i), *cols) for i in range(3)]
     n = rows.count()
     cells = min(max(n // rows_per_cell, MIN_CELLS), MAX_CELLS)
-    keyed = rows.select("*", F.pmod(mixed[0], F.lit(cells)).cast("int").alias("__cell"),
-                        mixed[1].alias("__first"), mixed[2].alias("__second"))
-    counts = {r["__cell"]: r["n"] for r in keyed.groupBy("__cell").agg(F.count("*").alias("n")).collect()}
-    matrix = spark.createDataFrame(communication_matrix(counts, shards, seed),
-                                   "__cell int, shard int, __from long, __to long")
+    keyed = rows.select("*", F.pmod(mixed[0], F.lit(cells)).cast("int").alias(cell), mixed[1].alias(first), mixed[2].alias(second))
+    counts = {r[cell]: r["n"] for r in keyed.groupBy(cell).agg(F.count("*").alias("n")).collect()}
+    matrix = spark.createDataFrame(communication_matrix(counts, shards, seed), "cell int, shard int, begin long, to long")
     # one row per cell: the upper bounds of its shards, so that each row finds its shard without a range join
-    bounds = matrix.groupBy("__cell").agg(F.sort_array(F.collect_list(F.struct("__to", "shard"))).alias("__bounds"))
-
-    place = F.row_number().over(Window.partitionBy("__cell").orderBy("__first", "__second")).cast("long")
-    dealt = keyed.withColumn("__place", place).join(F.broadcast(bounds), "__cell")
-    dealt = dealt.withColumn("shard", F.filter(
-        "__bounds", lambda b: b["__to"] >= F.col("__place"))[0]["shard"]).drop("__bounds", "__place", "__cell", "__first")
+    bounds = matrix.groupBy(F.col("cell").alias(cell)).agg(F.sort_array(F.collect_list(F.struct("to", "shard"))).alias(to))
 
+    at = F.row_number().over(Window.partitionBy(cell).orderBy(first, second)).cast("long")
+    dealt = keyed.withColumn(place, at).join(F.broadcast(bounds), cell)
+    shard = F.filter(F.col(to), lambda b: b["to"] >= F.col(place))[0]["shard"]
     # permute again inside each shard
-    dealt = staged(dealt.withColumn("__sub", F.pmod(F.xxhash64(F.lit(seed), "__second"), F.lit(max(1, cells // shards))).cast("int")),
-                   "dealt")
-    sizes = dealt.groupBy("shard", "__sub").agg(F.count("*").alias("__n"))
-    before = F.sum("__n").over(Window.partitionBy("shard").orderBy("__sub")) - F.col("__n")
-    offsets = sizes.select("shard", "__sub", before.alias("__before"))
-    order = F.row_number().over(Window.partitionBy("shard", "__sub").orderBy(F.xxhash64(F.lit(seed + 9), "__second"), "__second"))
-    out = dealt.withColumn("__row", order).join(F.broadcast(offsets), ["shard", "__sub"])
-    return out.select(*[F.col(f"`{c}`") for c in cols], "shard", (F.col("__before") + F.col("__row") - 1).alias("slot"))
+    again = F.pmod(F.xxhash64(F.lit(seed), second), F.lit(max(1, cells // shards))).cast("int")
+    dealt = staged(dealt.select(*cols, second, shard.alias("shard"), again.alias(sub)), "dealt")
+    sizes = dealt.groupBy("shard", sub).agg(F.count("*").alias("n"))
+    before = F.sum("n").over(Window.partitionBy("shard").orderBy(sub)) - F.col("n")
+    offsets = sizes.select("shard", sub, before.alias(to))
+    order = F.row_number().over(Window.partitionBy("shard", sub).orderBy(F.xxhash64(F.lit(seed + 9), second), second))
+    out = dealt.withColumn(place, order).join(F.broadcast(offsets), ["shard", sub])
+    return out.select(*cols, "shard", (F.col(to) + F.col(place) - 1).alias("slot"))

@@ -41,7 +41,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import arrow_out, cut, staged, utf8
+from .common import arrow_out, cut, free_names, staged, utf8
 
 LOWER = bytes(b + 32 if 65 <= b <= 90 else b for b in range(256))
 PIVOTS = 16
@@ -180,7 +180,8 @@ def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", k:
     (they stay if one of them is the smallest of its component). Rows with a null
     doc_id stay: nothing can name them.
     """
+    (own,) = free_names(docs, "__id")
     groups = near_groups(docs, id_col, text_col, k, max_bits)
     keep = staged(groups.where(F.col(id_col).isNull() | (F.col(id_col) == F.col("component_id"))).select(
-        F.col(id_col).alias("__id")).distinct(), "keep")
-    return docs.join(keep, F.col(id_col).eqNullSafe(F.col("__id")), "left_semi")
+        F.col(id_col).alias(own)).distinct(), "keep")
+    return docs.join(keep, F.col(id_col).eqNullSafe(F.col(own)), "left_semi")
