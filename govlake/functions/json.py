@@ -9,15 +9,19 @@ SQL NULL, so every later path read yields NULL exactly where the guarded
 expression would.
 
 Parsing goes to VARIANT (parsed once, binary-encoded; later path reads do not
-re-parse). ``try_parse_json`` tolerates trailing text after a complete value,
-so the text is wrapped in ``[...]`` and must come back as a one-element array.
+re-parse). ``try_parse_json`` tolerates trailing text after a complete value, so
+a text counts as JSON only if it parses inside ``[...]``, as a one-element array,
+and inside ``{"v":...}`` too: whatever closes the first kind of bracket early is
+an error in the other. A repeated key keeps its last value; that is the session setting
+``spark.sql.variant.allowDuplicateKeys`` (see session.py), checked here.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from pyspark.sql import Column, SparkSession
 from pyspark.sql import functions as F
 
+DUPLICATE_KEYS = "spark.sql.variant.allowDuplicateKeys"
 # Fixed values of the data format.
 EVENT_PREFIX = "EVENT_JSON:"
 INVALID_ARGS_JSON = '{"value":"invalid json"}'
@@ -27,11 +31,26 @@ def _c(x) -> Column:
     return F.col(x) if isinstance(x, str) else x
 
 
+def strict_json_sql(text: str) -> str:
+    """SQL expression of the strict rule: VARIANT of a text expression, or NULL."""
+    one = f"try_variant_get(try_parse_json(concat('[', {text}, ']')), '$', 'array<variant>')"
+    member = f"try_parse_json(concat('{{\"v\":', {text}, '}}'))"
+    return f"CASE WHEN size({one}) = 1 AND {member} IS NOT NULL THEN get({one}, 0) END"
+
+
+def _require_duplicate_keys() -> None:
+    spark = SparkSession.getActiveSession()
+    if spark is not None and spark.conf.get(DUPLICATE_KEYS, "false") != "true":
+        raise RuntimeError(f"{DUPLICATE_KEYS} must be true: a document that repeats a key would be dropped")
+
+
 def parse_json_strict(text) -> Column:
     """Strict JSON text -> VARIANT; NULL for NULL, empty, invalid or trailing text."""
+    _require_duplicate_keys()
     t = _c(text)
-    arr = F.try_variant_get(F.try_parse_json(F.concat(F.lit("["), t, F.lit("]"))), "$", "array<variant>")
-    return F.when(F.size(arr) == 1, F.get(arr, 0))
+    one = F.try_variant_get(F.try_parse_json(F.concat(F.lit("["), t, F.lit("]"))), "$", "array<variant>")
+    member = F.try_parse_json(F.concat(F.lit('{"v":'), t, F.lit("}")))
+    return F.when((F.size(one) == 1) & member.isNotNull(), F.get(one, 0))
 
 
 def guard(v: Column) -> Column:

@@ -10,19 +10,20 @@ from __future__ import annotations
 
 from pyspark.sql import SparkSession
 
+from govlake.functions.json import strict_json_sql
+
 # Fixed values of the helper's error object.
 ERROR_VALUE = "invalid_json"
 ERROR_MESSAGE = "Failed to parse as JSON"
 
 
 def register_sql_functions(spark: SparkSession) -> None:
+    parsed = strict_json_sql("input_text")
     spark.sql(f"""
         CREATE OR REPLACE TEMPORARY FUNCTION safe_json_parse(input_text STRING)
         RETURNS VARIANT
         RETURN CASE
           WHEN input_text IS NULL OR input_text = '' THEN NULL
-          WHEN size(try_variant_get(try_parse_json(concat('[', input_text, ']')), '$', 'array<variant>')) = 1
-            THEN try_variant_get(try_parse_json(concat('[', input_text, ']')), '$[0]', 'variant')
-          ELSE to_variant_object(named_struct('error', '{ERROR_VALUE}', 'original_text', input_text,
-                                              'message', '{ERROR_MESSAGE}'))
+          ELSE coalesce({parsed}, to_variant_object(named_struct(
+            'error', '{ERROR_VALUE}', 'original_text', input_text, 'message', '{ERROR_MESSAGE}')))
         END""")

@@ -48,6 +48,25 @@ def successful(df: DataFrame, statuses=("SuccessReceiptId", "SuccessValue")) ->
     return df.where(F.col("status").isin(*statuses))
 
 
+# The methods that the views read. Each has a storage folder of its own; every
+# other method name (free text of foreign callers) is kept as a column under "other".
+VIEW_METHODS = [
+    "new", "storage_deposit", "on_lockup_update", "on_lockup_deployed", "create_proposal", "approve_proposal",
+    "on_get_snapshot", "reject_proposal", "vote", "delegate_all", "undelegate", "lock_near", "begin_unlock_near",
+    "lock_pending_near", "withdraw_from_staking_pool", "withdraw_all_from_staking_pool", "unstake", "unstake_all",
+]
+OTHER_METHODS = "other"
+METHOD_PART = "method_part"
+
+
+def method_part(col: str = "method_name") -> F.Column:
+    """Storage folder of a method name."""
+    return F.when(F.col(col).isin(*VIEW_METHODS), F.col(col)).otherwise(F.lit(OTHER_METHODS))
+
+
 def calls(df: DataFrame, methods) -> DataFrame:
+    """Function calls of the given methods; a stored table is pruned to their folders."""
     methods = [methods] if isinstance(methods, str) else list(methods)
+    if METHOD_PART in df.columns:
+        df = df.where(F.col(METHOD_PART).isin(*[m if m in VIEW_METHODS else OTHER_METHODS for m in methods]))
     return df.where((F.col("action_kind") == "FunctionCall") & F.col("method_name").isin(*methods))

@@ -2,11 +2,11 @@
 
 Plain Parquet has no MERGE, so an upsert is: rows of the touched storage
 partitions + the incoming rows, one row per key by ingest order (latest
-wins), written back with dynamic partition overwrite. Only partitions that
-the batch touches are read and rewritten; the merged result is checkpointed
-to the shared checkpoint folder first, so the write never reads the files it
-replaces and a lost executor recomputes from the checkpoint, not from the
-whole lineage.
+wins), written back with dynamic partition overwrite. A partition is touched when it
+holds a key of the batch or gets a row of it; no other is read in full or
+rewritten. The merged result is checkpointed to the shared checkpoint folder
+first, so the write never reads the files it replaces and a lost executor
+recomputes from the checkpoint, not from the whole lineage.
 """
 
 from __future__ import annotations
@@ -15,9 +15,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from govlake.operators.latest import first_per_key
+from govlake.session import checkpoint_dir, delete_path, path_exists
 
 INGEST_COL = "__ingest_order"
-MAX_TOUCHED = 1000  # partition values a batch may name for static pruning
 
 
 def upsert_frames(existing: DataFrame, incoming: DataFrame, keys: list[str],
@@ -39,63 +39,45 @@ def upsert_table(spark: SparkSession, incoming: DataFrame, path: str, keys: list
                  partition_col: str | list[str], batch_order: int = 1) -> None:
     """Upsert ``incoming`` into the Parquet table at ``path`` (partitioned by ``partition_col``).
 
-    ``incoming`` may carry ``__ingest_order`` (rank within the batch); the
-    stored rows always rank below the batch.
+    The batch's keys are looked up among all stored keys (a semi-join that reads the key
+    and partition columns only), so a key is replaced wherever it is stored. No stored key:
+    the batch is appended. Otherwise the partitions that hold one and those of the batch
+    are merged and rewritten, and partitions that lost all their rows are deleted.
+    ``incoming`` may carry ``__ingest_order`` (rank within the batch); stored rows rank
+    below the batch. A retry after a crash finds its own rows by key and repeats the merge.
     """
-    from govlake.session import checkpoint_dir
-
     checkpoint_dir(spark)
     pcols = [partition_col] if isinstance(partition_col, str) else list(partition_col)
     cols = [c for c in incoming.columns if c != INGEST_COL]
-    try:
-        stored = spark.read.parquet(path)
-    except Exception:  # first batch: the table does not exist yet
-        stored = None
-    if stored is None:
-        ranked = incoming if INGEST_COL in incoming.columns else incoming.withColumn(INGEST_COL, F.lit(batch_order))
-        merged = first_per_key(ranked, keys, [F.col(INGEST_COL).desc()]).select(*cols)
-    else:
-        # only touched partitions are read (and rewritten). A batch covers a bounded height
-        # range, so its partition values are few: fetch at most MAX_TOUCHED of them and prune
-        # statically; a larger backfill falls back to a semi-join (correct, reads more).
-        touched = incoming.select(*pcols).distinct()
-        vals = [tuple(r) for r in touched.limit(MAX_TOUCHED + 1).collect()]
-        base = stored.select(*cols)
-        if len(vals) <= MAX_TOUCHED:
-            cond = F.lit(False)
-            for v in vals:  # a handful of partition tuples: a static, prunable predicate
-                one = F.lit(True)
-                for c, x in zip(pcols, v):
-                    one = one & (F.col(c).isNull() if x is None else (F.col(c) == F.lit(x)))
-                cond = cond | one
-            old = base.where(cond)
-        else:
-            old = base.join(touched, pcols, "left_semi")
-        merged = upsert_frames(old, incoming, keys, batch_order)
-    merged = merged.checkpoint(eager=True)  # reliable checkpoint: the write below never reads `path`
-    (merged.sortWithinPartitions(*pcols).write.mode("overwrite")
+    ranked = incoming if INGEST_COL in incoming.columns else incoming.withColumn(INGEST_COL, F.lit(batch_order).cast("bigint"))
+    batch = first_per_key(ranked, keys, [F.col(INGEST_COL).desc()]).select(*cols)
+    stored = None
+    if path_exists(spark, path):
+        stored = spark.read.schema(batch.schema).parquet(path)
+        hit = stored.join(batch.select(*keys).distinct(), keys, "left_semi").select(*pcols).distinct().checkpoint()
+    if stored is None or hit.isEmpty():
+        _write(batch, path, pcols, "append")
+        return
+    touched = hit.unionByName(batch.select(*pcols)).distinct().checkpoint()
+    same = [stored[c].eqNullSafe(touched[c]) for c in pcols]
+    old = stored.join(touched, same, "left_semi")
+    merged = upsert_frames(old.select(*cols), batch, keys).checkpoint(eager=True)  # the write never reads ``path``
+    # folders whose rows all moved elsewhere: an overwrite would not touch them
+    folder = F.regexp_replace(F.col("_metadata.file_path"), "/[^/]*$", "")
+    old_folders = old.select(*pcols, folder.alias("__folder")).distinct()
+    left = merged.select(*pcols).distinct()
+    emptied = [r[0] for r in old_folders.join(left, [old_folders[c].eqNullSafe(left[c]) for c in pcols], "left_anti")
+               .select("__folder").collect()]  # folder names only, no data
+    _write(merged, path, pcols, "overwrite")
+    for f in emptied:
+        delete_path(spark, f)
+
+
+def _write(rows: DataFrame, path: str, pcols: list[str], mode: str) -> None:
+    (rows.hint("rebalance", *pcols).sortWithinPartitions(*pcols).write.mode(mode)
      .option("partitionOverwriteMode", "dynamic").partitionBy(*pcols).parquet(path))
 
 
-def append_new(incoming: DataFrame, path: str, keys: list[str], partition_col: str | list[str],
-               dedupe: bool = True) -> None:
-    """Append rows whose keys cannot exist yet (live ingest of new heights).
-
-    With ``dedupe`` duplicates inside the batch are resolved first (latest by
-    ingest order); callers that know the batch has none skip that shuffle. The
-    caller decides that no stored key can collide; anything else goes through
-    ``upsert_table``.
-    """
-    pcols = [partition_col] if isinstance(partition_col, str) else list(partition_col)
-    cols = [c for c in incoming.columns if c != INGEST_COL]
-    if dedupe:
-        ranked = incoming if INGEST_COL in incoming.columns else incoming.withColumn(INGEST_COL, F.lit(1))
-        rows = first_per_key(ranked, keys, [F.col(INGEST_COL).desc()]).select(*cols)
-    else:
-        rows = incoming.select(*cols)
-    rows.sortWithinPartitions(*pcols).write.mode("append").partitionBy(*pcols).parquet(path)
-
-
 def cursor_latest(progress: DataFrame) -> DataFrame:
     """One cursor per app version = the LAST processed block (not the highest).
 

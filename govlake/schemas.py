@@ -86,3 +86,17 @@ BLOCK_RECORD = T.StructType([
     ])),
     _f("shards", T.ArrayType(SHARD)),
 ])
+
+
+def _json_form(t: T.DataType, name: str = "") -> T.DataType:
+    """The landed JSON form of a type: sum types as VARIANT, nanoseconds as text (a number or a string)."""
+    if t in (ACTION_VIEW, EXECUTION_STATUS):
+        return T.VariantType()
+    if isinstance(t, T.StructType):
+        return T.StructType([_f(f.name, _json_form(f.dataType, f.name)) for f in t.fields])
+    if isinstance(t, T.ArrayType):
+        return T.ArrayType(_json_form(t.elementType))
+    return S if name == "timestamp_nanosec" else t
+
+
+JSON_RECORD = _json_form(BLOCK_RECORD)

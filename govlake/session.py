@@ -7,14 +7,17 @@ import tempfile
 
 from pyspark.sql import SparkSession
 
-# Settings every job in this package relies on (UTC wall clock for the
-# TIMESTAMP_NTZ <-> epoch conversions, AQE for skew and partition sizing).
+# Settings without which results are wrong: UTC wall clock for the TIMESTAMP_NTZ <-> epoch
+# conversions, and JSON documents that repeat a key keep its last value.
 REQUIRED_CONF = {
     "spark.sql.session.timeZone": "UTC",
+    "spark.sql.variant.allowDuplicateKeys": "true",
+}
+# What our own sessions add for speed; a session that somebody else built keeps its own.
+TUNING_CONF = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
-    "spark.sql.sources.partitionOverwriteMode": "dynamic",
     # A whole-stage method above HotSpot's 8000-byte JIT limit runs interpreted; let Spark
     # fall back to per-operator codegen instead (wide JSON projections hit this).
     "spark.sql.codegen.hugeMethodLimit": "8000",
@@ -33,7 +36,7 @@ def build_session(master: str | None = None, app: str = "govlake",
          .config("spark.driver.memory", os.environ.get("GOVLAKE_DRIVER_MEMORY", "8g"))
          .config("spark.sql.shuffle.partitions", str(shuffle_partitions or 8))
          .config("spark.sql.execution.arrow.pyspark.enabled", "true"))
-    for k, v in {**REQUIRED_CONF, **(extra or {})}.items():
+    for k, v in {**TUNING_CONF, **REQUIRED_CONF, **(extra or {})}.items():
         b = b.config(k, v)
     spark = b.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
@@ -42,57 +45,72 @@ def build_session(master: str | None = None, app: str = "govlake",
 
 
 def ensure_session_conf(spark: SparkSession) -> None:
-    """Apply the settings the jobs need on a session someone else built."""
+    """Apply the settings that results depend on; raises where the session does not take them."""
     for k, v in REQUIRED_CONF.items():
         if spark.conf.get(k, None) != v:
-            try:
-                spark.conf.set(k, v)
-            except Exception:  # static conf on a managed cluster: leave as is
-                pass
-    # single-JVM local runs left at Spark's default of 200 shuffle partitions pay for
-    # thousands of tiny shuffle files per stage; size them to the cores instead.
-    # Cluster sessions keep whatever the job was configured with.
-    sc = spark.sparkContext
-    if sc.master.startswith("local") and spark.conf.get("spark.sql.shuffle.partitions", "200") == "200":
-        spark.conf.set("spark.sql.shuffle.partitions", str(max(1, sc.defaultParallelism)))
+            spark.conf.set(k, v)
+        if spark.conf.get(k) != v:
+            raise RuntimeError(f"{k} must be {v}")
+
+
+def is_local(master: str) -> bool:
+    """True when driver and executors are one process on one machine."""
+    return master == "local" or master.startswith("local[")
 
 
 def checkpoint_dir(spark: SparkSession) -> str:
     """The shared folder the cluster names in spark.checkpoint.dir.
 
-    Read from the session; only when it is unset (local tests) a scratch
-    folder is created and registered as the context's checkpoint folder.
+    Read from the session. When it is unset, a scratch folder of this machine is
+    created in local mode only; on a cluster every machine would see another
+    folder, so that is an error.
     """
     sc = spark.sparkContext
     d = sc.getConf().get("spark.checkpoint.dir", None) or sc.getCheckpointDir()
     if not d:
+        if not is_local(sc.master):
+            raise RuntimeError(f"set spark.checkpoint.dir to a folder that all machines share (master {sc.master})")
         d = tempfile.mkdtemp(prefix="govlake-ckpt-")
     if not sc.getCheckpointDir():
         sc.setCheckpointDir(d)
     return d.rstrip("/")
 
 
+def _file_system(spark: SparkSession, path: str):
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), p
+
+
+def path_exists(spark: SparkSession, path: str) -> bool:
+    """Whether a file or folder is there; any other trouble with the store is an error."""
+    fs, p = _file_system(spark, path)
+    return fs.exists(p)
+
+
+def delete_path(spark: SparkSession, path: str) -> None:
+    fs, p = _file_system(spark, path)
+    if fs.exists(p) and not fs.delete(p, True):
+        raise RuntimeError(f"could not delete {path}")
+
+
 def input_bytes(spark: SparkSession, paths: list[str]) -> int:
     """Total size of the given folders/files (file-system metadata only, no data read)."""
-    jvm = spark.sparkContext._jvm
-    conf = spark.sparkContext._jsc.hadoopConfiguration()
     total = 0
     for p in paths:
-        path = jvm.org.apache.hadoop.fs.Path(p)
-        fs = path.getFileSystem(conf)
+        fs, path = _file_system(spark, p)
         if fs.exists(path):
             total += fs.getContentSummary(path).getLength()
     return total
 
 
 def size_shuffle_partitions(spark: SparkSession, paths: list[str], target_bytes: int = 256 << 20,
-                            floor: int = 200, ceiling: int = 100_000) -> int:
+                            floor: int = 200) -> int:
     """Set spark.sql.shuffle.partitions from the input size (about ``target_bytes`` per partition).
 
     AQE then coalesces small partitions and splits skewed ones at run time; the
     initial count only has to be large enough that no partition must spill.
     """
-    n = max(floor, min(ceiling, -(-input_bytes(spark, paths) // target_bytes)))
+    n = max(floor, -(-input_bytes(spark, paths) // target_bytes))
     spark.conf.set("spark.sql.shuffle.partitions", str(n))
     spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", str(target_bytes))
     return n

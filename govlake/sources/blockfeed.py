@@ -10,11 +10,12 @@ grouping receipts per (block, shard) and shards per block, so that
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from govlake.config import ContractConfig
-from govlake.schemas import BLOCK_RECORD
+from govlake.schemas import BLOCK_RECORD, JSON_RECORD
 from govlake.sources.fixtures import FAILURE_TEXT, GAS_PRICE, TOTAL_SUPPLY, event_rows
 
 
@@ -92,6 +93,60 @@ def nested_from_rows(e: DataFrame) -> DataFrame:
     )
 
 
+def landing_schema(fmt: str) -> T.StructType:
+    """Schema of landed files. JSON writes a variant without fields as a bare string, so the sum types are read as VARIANT."""
+    return BLOCK_RECORD if fmt != "json" else JSON_RECORD
+
+
+def _from_json(shards: Column) -> Column:
+    """Shards of a JSON record as in BLOCK_RECORD; every action keeps its place in the receipt."""
+    def text(v, path):
+        return F.try_variant_get(v, path, "string")
+
+    def action(a):
+        call = F.struct(text(a, "$.FunctionCall.method_name").alias("method_name"),
+                        F.unbase64(text(a, "$.FunctionCall.args")).alias("args"),
+                        F.try_variant_get(a, "$.FunctionCall.gas", "bigint").alias("gas"),
+                        text(a, "$.FunctionCall.deposit").alias("deposit"))
+        return F.struct(
+            F.when(text(a, "$.FunctionCall").isNotNull(), call).alias("FunctionCall"),
+            F.when(text(a, "$.Transfer").isNotNull(), F.struct(text(a, "$.Transfer.deposit").alias("deposit"))).alias("Transfer"),
+            F.when(text(a, "$.Stake").isNotNull(), F.struct(
+                text(a, "$.Stake.stake").alias("stake"), text(a, "$.Stake.public_key").alias("public_key"))).alias("Stake"))
+
+    def status(st):
+        return F.struct(F.unbase64(text(st, "$.SuccessValue")).alias("SuccessValue"),
+                        text(st, "$.SuccessReceiptId").alias("SuccessReceiptId"), text(st, "$.Failure").alias("Failure"),
+                        F.when(text(st, "$") == "Unknown", F.lit(True)).alias("Unknown"))
+
+    def pair(p):
+        call, o = p["receipt"]["receipt"]["Action"], p["execution_outcome"]["outcome"]
+        named = F.when(call.isNotNull(), call.withField("actions", F.transform(call["actions"], action)))
+        receipt = p["receipt"].withField("receipt", p["receipt"]["receipt"].withField("Action", named))
+        outcome = F.when(o.isNotNull(), F.struct(o.withField("status", status(o["status"])).alias("outcome")))
+        return F.struct(receipt.alias("receipt"), outcome.alias("execution_outcome"))
+
+    return F.transform(shards, lambda s: s.withField(
+        "receipt_execution_outcomes", F.transform(s["receipt_execution_outcomes"], pair)))
+
+
+def landing_records(landed: DataFrame, fmt: str) -> DataFrame:
+    """Block records of landed files with their order of arrival; a record without height, hash or time is an error."""
+    at = F.struct(F.col("_metadata.file_modification_time").alias("at"), F.col("_metadata.file_path").alias("file"),
+                  F.col("_metadata.file_block_start").alias("start"))
+    out = landed.select("block", "shards", at.alias("__arrival"))
+    if fmt == "json":
+        header = F.col("block.header")
+        ns = header["timestamp_nanosec"].cast("bigint")
+        out = out.select(F.col("block").withField("header", header.withField("timestamp_nanosec", ns)).alias("block"),
+                         _from_json(F.col("shards")).alias("shards"), "__arrival")
+    h = F.col("block.header")
+    missing = h["height"].isNull() | h["hash"].isNull() | h["timestamp_nanosec"].isNull()
+    checked = F.when(missing, F.raise_error(F.concat(
+        F.lit("block record without height, hash or time in "), F.col("__arrival.file")))).otherwise(F.col("block"))
+    return out.withColumn("block", checked)
+
+
 def read_blocks(spark: SparkSession, path: str, fmt: str = "parquet") -> DataFrame:
-    """Batch read of landed block files with the fixed nested schema."""
-    return spark.read.schema(BLOCK_RECORD).format(fmt).load(path)
+    """Batch read of landed block files."""
+    return landing_records(spark.read.schema(landing_schema(fmt)).option("mode", "FAILFAST").format(fmt).load(path), fmt).drop("__arrival")

@@ -5,9 +5,11 @@ Layout under one root folder:
   receipt_actions/     partitioned by height_bucket
   execution_outcomes/  partitioned by height_bucket
   cursors/             one row per app version
-  silver/              decoded actions, partitioned by method_name and height
+  silver/              decoded actions, partitioned by method_part and height
                        bucket (views prune to their methods at the scan; the
-                       streaming ingest rewrites only the buckets it touches)
+                       streaming ingest rewrites only the buckets it touches).
+                       method_part is one of the view methods or "other": names
+                       are free text, so they stay a column
 
 Height buckets let a replay/upsert rewrite only the partitions it touches
 (dynamic partition overwrite).
@@ -17,8 +19,11 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from govlake.schemas import ACTION_COLUMNS, BLOCK_COLUMNS, OUTCOME_COLUMNS
+from govlake.operators.decode import METHOD_PART, decode_actions, method_part
+from govlake.schemas import ACTION_COLUMNS, BLOCK_COLUMNS, BLOCKS, EXECUTION_OUTCOMES, OUTCOME_COLUMNS, RECEIPT_ACTIONS
+from govlake.session import path_exists
 from govlake.sources.fixtures import Facts
 
 HEIGHT_BUCKET = 100_000  # blocks per storage partition
@@ -48,34 +53,44 @@ def write_facts(facts: Facts, root: str) -> None:
     write_table(with_bucket(facts.outcomes, "block_height"), f"{root}/execution_outcomes", "height_bucket")
 
 
+def _read(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
+    """A stored table by its known schema (an empty one has no file to take it from)."""
+    return spark.read.schema(T.StructType([*schema.fields, T.StructField("height_bucket", T.LongType())])).parquet(path)
+
+
 def read_facts(spark: SparkSession, root: str) -> Facts:
     return Facts(
-        spark.read.parquet(f"{root}/blocks").select(*BLOCK_COLUMNS),
-        spark.read.parquet(f"{root}/receipt_actions").select(*ACTION_COLUMNS),
-        spark.read.parquet(f"{root}/execution_outcomes").select(*OUTCOME_COLUMNS),
+        _read(spark, f"{root}/blocks", BLOCKS).select(*BLOCK_COLUMNS),
+        _read(spark, f"{root}/receipt_actions", RECEIPT_ACTIONS).select(*ACTION_COLUMNS),
+        _read(spark, f"{root}/execution_outcomes", EXECUTION_OUTCOMES).select(*OUTCOME_COLUMNS),
     )
 
 
-SILVER_PARTITIONS = ["method_name", "height_bucket"]
+SILVER_PARTITIONS = [METHOD_PART, "height_bucket"]
 # raw texts stay in the fact tables; silver stores only their decoded documents
 SILVER_RAW = ["args_base64", "logs", "results_json"]
 
 
 def silver_for_storage(silver: DataFrame) -> DataFrame:
-    return with_bucket(silver.drop(*SILVER_RAW), "block_height")
+    return with_bucket(silver.drop(*SILVER_RAW), "block_height").withColumn(METHOD_PART, method_part())
 
 
 def write_silver(silver: DataFrame, root: str) -> None:
-    write_table(silver_for_storage(silver), f"{root}/silver", SILVER_PARTITIONS)
+    # one shuffle brings the rows of a folder together (AQE splits a large folder into files
+    # of the advisory size), instead of one file per task and folder
+    write_table(silver_for_storage(silver).hint("rebalance", *SILVER_PARTITIONS), f"{root}/silver", SILVER_PARTITIONS)
+
+
+def silver_schema(spark: SparkSession) -> T.StructType:
+    """Schema of the stored silver table; folder names are not guessed into numbers or dates."""
+    actions = spark.createDataFrame([], RECEIPT_ACTIONS)
+    outcomes = spark.createDataFrame([], EXECUTION_OUTCOMES)
+    return silver_for_storage(decode_actions(actions, outcomes)).schema
 
 
 def read_silver(spark: SparkSession, root: str) -> DataFrame:
-    return spark.read.parquet(f"{root}/silver").drop("height_bucket")
+    return spark.read.schema(silver_schema(spark)).parquet(f"{root}/silver").drop("height_bucket")
 
 
 def has_table(spark: SparkSession, path: str) -> bool:
-    try:
-        spark.read.parquet(path).schema
-        return True
-    except Exception:
-        return False
+    return path_exists(spark, path)

@@ -4,162 +4,154 @@
     q.awaitTermination()
 
 Each micro-batch (``foreachBatch``) flattens its block records and upserts
-blocks, actions, outcomes and the decoded silver rows by key (last write
-wins), then records the cursor for the app version and appends
-chain-continuity findings. A replayed
-or late block is absorbed by the keyed upsert, so re-running a range (new
-``app_version`` = new checkpoint folder) changes nothing but the replayed
-rows. The stream's own checkpoint (under spark.checkpoint.dir) gives
-exactly-once progress across restarts; each batch write is an overwrite of
-the partitions it touches, so a retried batch is harmless.
-
-No watermark is needed: the feed is final and ordered, and no state is kept
-between batches except the cursor table.
+blocks, actions, outcomes and the decoded silver rows by key over the whole table
+(last write wins), then records the cursor for the app version and
+chain-continuity findings. A replayed or late block is absorbed by the keyed upsert, so
+re-running a range (new ``app_version`` = new checkpoint folder) changes nothing but
+the replayed rows.
+
+Which files are unread is known to the stream's own checkpoint (under
+spark.checkpoint.dir), and to nothing else: a restart with a checkpoint reads every file it has not
+read, whatever heights it holds. Only a stream without a checkpoint starts at a height
+(explicit, else the version's cursor + 1, else configured).
+
+A height delivered twice in one batch: the record that arrived last (file
+modification time, then file name, then place in the file) wins in all tables.
+
+No watermark is needed: the feed is final and no state is kept between batches
+except the cursor table.
 """
 
 from __future__ import annotations
 
+import time
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from govlake.config import ContractConfig
 from govlake.operators.flatten import flatten_blocks, flatten_silver
-from govlake.operators.upsert import INGEST_COL, append_new, upsert_table
-from govlake.schemas import BLOCK_RECORD
+from govlake.operators.latest import first_per_key
+from govlake.operators.upsert import INGEST_COL, cursor_latest, resume_height, upsert_table
+from govlake.schemas import BLOCKS
+from govlake.session import checkpoint_dir, ensure_session_conf, path_exists
+from govlake.sources.blockfeed import landing_records, landing_schema
 from govlake.sources.tables import SILVER_PARTITIONS, silver_for_storage, with_bucket
 
-ORDER_SCALE = 10 ** 12  # batch id * scale + height: later batches win, then higher blocks
+ARRIVAL = "__arrival"
 
 
-def _ordered(df: DataFrame, batch_id: int, height_col: str) -> DataFrame:
-    return df.withColumn(INGEST_COL, F.lit(batch_id * ORDER_SCALE).cast("bigint") + F.col(height_col))
+def _ordered(df: DataFrame, height_col: str) -> DataFrame:
+    """Rank within a batch: one record per height is left, so a key that comes twice goes to the higher block."""
+    return df.withColumn(INGEST_COL, F.col(height_col).cast("bigint"))
 
 
-def chain_findings(blocks: DataFrame, last_hash: str | None) -> DataFrame:
-    """ST3: blocks of this batch whose parent is neither in the batch nor the last stored block.
+def _stored_blocks(spark: SparkSession, root: str) -> DataFrame:
+    if path_exists(spark, f"{root}/blocks"):
+        return spark.read.parquet(f"{root}/blocks").select("height", "hash")
+    return spark.createDataFrame([], BLOCKS).select("height", "hash")
 
-    A distributed anti-join on the parent hash (no ordered scan); rows are kept
-    in the tables and only reported here.
-    """
-    known = blocks.select(F.col("hash").alias("parent_hash"))
-    if last_hash is not None:
-        known = known.unionByName(blocks.sparkSession.createDataFrame([(last_hash,)], "parent_hash string"))
-    first = blocks.agg(F.min("height").alias("h0"))
-    out = blocks.join(known, blocks.prev_hash == known.parent_hash, "left_anti")
-    if last_hash is None:  # the first block after a (re)start is unchecked, as in the reference
-        out = out.join(first, out.height == first.h0, "left_anti")
-    return out.select("height", "hash", "prev_hash")
 
+def chain_findings(blocks: DataFrame, stored: DataFrame) -> DataFrame:
+    """ST3: blocks of this batch whose parent is neither in the batch nor stored.
 
-def _last_cursor(spark: SparkSession, root: str, app_version: str):
-    try:
-        r = _cursors(spark, root).where(F.col("id") == app_version).select("block_id").take(1)
-    except Exception:
-        return None
-    return r[0][0] if r else None
-
-
-def _is_fresh(spark: SparkSession, root: str, h0: int) -> bool:
-    """True when no stored block has a height >= the batch's lowest height ``h0``."""
-    from govlake.sources.tables import HEIGHT_BUCKET
-
-    try:
-        stored = spark.read.parquet(f"{root}/blocks")
-    except Exception:
-        return True
-    b0 = h0 - h0 % HEIGHT_BUCKET
-    # partition-pruned probe of the newest buckets only
-    return stored.where((F.col("height_bucket") >= b0) & (F.col("height") >= h0)).limit(1).count() == 0
+    Distributed anti-joins on the parent hash (no ordered scan); rows are kept in the
+    tables and only reported here. The lowest block of the batch is unchecked when no stored
+    block lies below it: there its parent is not known yet, as at the start of a run.
+    """
+    first = blocks.agg(F.min("height").alias("h0"))
+    orphans = blocks.join(blocks.select(F.col("hash").alias("parent_hash")), F.col("prev_hash") == F.col("parent_hash"), "left_anti")
+    orphans = orphans.join(stored.select(F.col("hash").alias("stored_hash")), F.col("prev_hash") == F.col("stored_hash"), "left_anti")
+    start = first.join(stored.agg(F.min("height").alias("s0")), F.lit(True)).where("s0 is null or s0 >= h0").select("h0")
+    return orphans.join(start, F.col("height") == F.col("h0"), "left_anti").select("height", "hash", "prev_hash")
 
 
 CURSOR_SCHEMA = "cursor string, block_num bigint, block_id string, id string"
 
 
-def _cursors(spark: SparkSession, root: str) -> DataFrame:
+def cursors(spark: SparkSession, root: str) -> DataFrame:
     """The cursor table (partitioned by app version; the schema keeps the version a string)."""
-    return spark.read.schema(CURSOR_SCHEMA).parquet(f"{root}/cursors")
+    if path_exists(spark, f"{root}/cursors"):
+        return spark.read.schema(CURSOR_SCHEMA).parquet(f"{root}/cursors")
+    return spark.createDataFrame([], CURSOR_SCHEMA)
+
+
+def _write_cursor(blocks: DataFrame, root: str, app_version: str) -> None:
+    """ST4: the last block of the batch, one row per app version; only the version's partition is replaced."""
+    log = blocks.select(F.lit(app_version).alias("app_version"), F.col("height").alias("block_num"),
+                        F.col("hash").alias("block_hash"), F.col("height").alias("processed_order"))
+    (cursor_latest(log).select("cursor", "block_num", "block_id", "id").write.mode("overwrite")
+     .option("partitionOverwriteMode", "dynamic").partitionBy("id").parquet(f"{root}/cursors"))
 
 
-def _write_cursor(last: DataFrame, root: str) -> None:
-    """ST4: one row per app version; the version's partition is replaced, nothing else is read."""
-    (last.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("id")
-     .parquet(f"{root}/cursors"))
+def last_arrivals(records: DataFrame) -> DataFrame:
+    """One record per height: the one that arrived last (``__arrival``, where the reader gave one)."""
+    if ARRIVAL not in records.columns:
+        records = records.withColumn(ARRIVAL, F.struct(F.lit(0).alias("at")))
+    order = F.struct(ARRIVAL, F.monotonically_increasing_id().alias("place"))
+    ranked = records.withColumn("__height", F.col("block.header.height")).withColumn(ARRIVAL, order)
+    return first_per_key(ranked, ["__height"], [F.col(ARRIVAL).desc()]).drop("__height", ARRIVAL)
 
 
 def ingest_batch(spark: SparkSession, records: DataFrame, batch_id: int, root: str,
                  cfg: ContractConfig = ContractConfig(), app_version: str = "v1",
                  start_height: int | None = None) -> None:
     """One micro-batch (also usable for a bounded replay)."""
+    ensure_session_conf(spark)
     if start_height is not None:
         records = records.where(F.col("block.header.height") >= start_height)
-    records = records.persist()  # read by three flattens; recomputed from the batch files on loss
-    blocks = None
+    records = records.persist()  # read by several flattens; recomputed from the batch's files on loss
     try:
-        facts = flatten_blocks(records, cfg)
-        blocks = facts.blocks.persist()
-        # one pass over the batch's blocks: emptiness, lowest height, repeated heights
-        n, n_heights, h0 = blocks.agg(F.count(F.lit(1)), F.count_distinct("height"), F.min("height")).first()
+        n, distinct = records.agg(F.count(F.lit(1)), F.count_distinct("block.header.height")).first()
         if n == 0:
             return
-        last_hash = _last_cursor(spark, root, app_version)
-        (chain_findings(blocks, last_hash).withColumn("app_version", F.lit(app_version))
-         .withColumn("batch_id", F.lit(batch_id)).write.mode("overwrite")
-         .option("partitionOverwriteMode", "dynamic").partitionBy("app_version", "batch_id")
-         .parquet(f"{root}/chain_findings"))  # a retried batch replaces its own findings
-        # Live ingest only adds new heights: when no stored block sits at or above the batch's
-        # lowest height, no key can collide (receipts belong to one block) and the batch is
-        # appended. A replay or a retried batch finds its heights stored and takes the upsert
-        # path, which rewrites only the touched buckets. Blocks are written first, so a crash
-        # part-way through a batch always sends its retry down the upsert path.
-        fresh = _is_fresh(spark, root, h0)
-        # a block delivered twice in one batch is the only source of repeated keys
-        unique = n == n_heights
-        write = (lambda df, path, keys, parts: append_new(df, path, keys, parts, dedupe=not unique)) if fresh \
-            else (lambda df, path, keys, parts: upsert_table(spark, df, path, keys, parts))
-        write(_ordered(with_bucket(blocks, "height"), batch_id, "height"), f"{root}/blocks",
-              ["height"], "height_bucket")
-        write(_ordered(with_bucket(facts.actions, "block_height"), batch_id, "block_height"),
-              f"{root}/receipt_actions", ["id"], "height_bucket")
-        write(_ordered(with_bucket(facts.outcomes, "block_height"), batch_id, "block_height"),
-              f"{root}/execution_outcomes", ["receipt_id"], "height_bucket")
-        # silver for this batch: a receipt and its outcome arrive in the same block record,
-        # so the decoded rows come straight from the records (no join)
-        silver = flatten_silver(records, cfg)
-        write(_ordered(silver_for_storage(silver), batch_id, "block_height"),
-              f"{root}/silver", ["id"], SILVER_PARTITIONS)
-        # ST4: the cursor is written last and names the last block of the batch
-        last = blocks.orderBy(F.col("height").desc()).limit(1).select(
-            F.col("hash").alias("cursor"), F.col("height").alias("block_num"),
-            F.col("hash").alias("block_id"), F.lit(app_version).alias("id"))
-        _write_cursor(last, root)
+        if n != distinct:
+            checkpoint_dir(spark)
+            once = last_arrivals(records).checkpoint()  # one winner for all tables
+        else:
+            once = records
+        _store_batch(spark, once, batch_id, root, cfg, app_version)
     finally:
-        if blocks is not None:
-            blocks.unpersist()
         records.unpersist()
 
 
+def _store_batch(spark: SparkSession, records: DataFrame, batch_id: int, root: str, cfg: ContractConfig, app_version: str) -> None:
+    facts = flatten_blocks(records, cfg)
+    blocks = facts.blocks
+    (chain_findings(blocks, _stored_blocks(spark, root)).withColumn("app_version", F.lit(app_version))
+     .withColumn("batch_id", F.lit(batch_id)).write.mode("overwrite")
+     .option("partitionOverwriteMode", "dynamic").partitionBy("app_version", "batch_id")
+     .parquet(f"{root}/chain_findings"))  # a retried batch replaces its own findings
+    upsert_table(spark, _ordered(with_bucket(facts.actions, "block_height"), "block_height"),
+                 f"{root}/receipt_actions", ["id"], "height_bucket")
+    upsert_table(spark, _ordered(with_bucket(facts.outcomes, "block_height"), "block_height"),
+                 f"{root}/execution_outcomes", ["receipt_id"], "height_bucket")
+    # silver for this batch: a receipt and its outcome arrive in the same block record,
+    # so the decoded rows come straight from the records (no join)
+    upsert_table(spark, _ordered(silver_for_storage(flatten_silver(records, cfg)), "block_height"),
+                 f"{root}/silver", ["id"], SILVER_PARTITIONS)
+    upsert_table(spark, _ordered(with_bucket(blocks, "height"), "height"), f"{root}/blocks", ["height"], "height_bucket")
+    _write_cursor(blocks, root, app_version)  # ST4: the cursor is written last
+
+
 def resume_start(spark: SparkSession, root: str, app_version: str, explicit: int | None = None,
                  configured: int | None = None) -> int | None:
     """ST2: explicit start, else the version's cursor + 1, else the configured start."""
-    if explicit is not None:
-        return explicit
-    try:
-        r = _cursors(spark, root).where(F.col("id") == app_version) \
-            .agg(F.max("block_num")).first()[0]
-    except Exception:
-        r = None
-    return r + 1 if r is not None else configured
+    return resume_height(cursors(spark, root), app_version, explicit, configured).first()["start_height"]
 
 
 def replay(spark: SparkSession, landing_dir: str, root: str, start_height: int,
            cfg: ContractConfig = ContractConfig(), app_version: str = "replay", fmt: str = "parquet",
-           batch_id: int = 1 << 20) -> None:
+           batch_id: int | None = None) -> None:
     """Bounded backfill of landed blocks from ``start_height`` into the same upsert sink.
 
-    ``batch_id`` ranks the replay after the live batches it may overlap.
+    The findings of each replay are kept under a ``batch_id`` of its own (default: milliseconds since 1970).
     """
-    records = spark.read.schema(BLOCK_RECORD).format(fmt).load(landing_dir)
-    ingest_batch(spark, records, batch_id, root, cfg, app_version, start_height)
+    records = landing_records(spark.read.schema(landing_schema(fmt)).options(**READ_OPTIONS).format(fmt).load(landing_dir), fmt)
+    ingest_batch(spark, records, time.time_ns() // 1_000_000 if batch_id is None else batch_id, root, cfg, app_version, start_height)
+
+
+READ_OPTIONS = {"mode": "FAILFAST"}  # a malformed record stops the ingest, it is not skipped
 
 
 def start_ingest(spark: SparkSession, landing_dir: str, root: str, cfg: ContractConfig = ContractConfig(),
@@ -168,18 +160,16 @@ def start_ingest(spark: SparkSession, landing_dir: str, root: str, cfg: Contract
                  configured_start: int | None = None):
     """Start the streaming ingest; returns the StreamingQuery.
 
-    A restart with the same checkpoint continues where it stopped; a fresh
-    checkpoint for an app version that already has a cursor starts after it.
+    A restart with the same checkpoint reads every file it has not read yet, whatever its
+    heights. Without a checkpoint the start height is resolved by ``resume_start``.
     """
-    from govlake.session import checkpoint_dir
-
+    ensure_session_conf(spark)
     ckpt = checkpoint or f"{checkpoint_dir(spark)}/streams/{app_version}"
-    if checkpoint is None or start_height is not None or configured_start is not None:
-        start_height = resume_start(spark, root, app_version, start_height, configured_start)
-    src = (spark.readStream.schema(BLOCK_RECORD).format(fmt)
-           .option("maxFilesPerTrigger", max_files_per_trigger).load(landing_dir))
+    start = None if path_exists(spark, f"{ckpt}/offsets") else resume_start(spark, root, app_version, start_height, configured_start)
+    src = landing_records(spark.readStream.schema(landing_schema(fmt)).options(**READ_OPTIONS).format(fmt)
+                          .option("maxFilesPerTrigger", max_files_per_trigger).load(landing_dir), fmt)
     w = (src.writeStream.foreachBatch(
-        lambda df, bid: ingest_batch(spark, df, bid, root, cfg, app_version, start_height))
+        lambda df, bid: ingest_batch(spark, df, bid, root, cfg, app_version, start))
         .option("checkpointLocation", ckpt).queryName(f"govlake-ingest-{app_version}"))
     w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime="10 seconds")
     return w.start()

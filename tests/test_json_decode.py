@@ -36,9 +36,22 @@ def test_strict_parse(spark):
     assert _one(spark, lambda c: parse_json_strict(c).isNull(), '{"a":1}, {"b":2}') is True
     assert _one(spark, lambda c: parse_json_strict(c).isNull(), "") is True
     assert _one(spark, lambda c: parse_json_strict(c).isNull(), '[1, null]') is False
-    # known residual of the array-wrap check: "1],[2" wraps to "[1],[2]", whose
-    # leading complete value "[1]" is accepted; the result is the element 1
-    assert _one(spark, lambda c: jstr(parse_json_strict(c), "$"), '1],[2') == "1"
+    # text that closes the bracket it is wrapped in
+    for bad in ['1],[2', '{"proposal_id":7}] junk', '1},{"v":2', '{"a":1}]', '1}']:
+        assert _one(spark, lambda c: parse_json_strict(c).isNull(), bad) is True, bad
+    # the last value of a repeated key counts
+    assert _one(spark, lambda c: jstr(parse_json_strict(c), "$.a"), '{"a":1,"b":0,"a":2}') == "2"
+    assert _one(spark, lambda c: jstr(parse_json_strict(c), "$"), " 5 ") == "5"
+
+
+def test_repeated_keys_need_the_session_setting(spark):
+    import pytest
+    spark.conf.set("spark.sql.variant.allowDuplicateKeys", "false")
+    try:
+        with pytest.raises(RuntimeError):
+            parse_json_strict("x")
+    finally:
+        spark.conf.set("spark.sql.variant.allowDuplicateKeys", "true")
 
 
 def test_error_guard(spark):

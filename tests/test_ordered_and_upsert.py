@@ -38,6 +38,16 @@ def test_upsert_table_last_write_wins(spark, tmp_path):
     assert spark.read.parquet(path).count() == 41
 
 
+def test_upsert_moves_a_key_between_partitions_and_deletes_emptied_folders(spark, tmp_path):
+    path = str(tmp_path / "t")
+    schema = "k int, v string, p string"
+    upsert_table(spark, spark.createDataFrame([(1, "a", "007"), (2, "a", ""), (3, "a", "x/y z"), (4, "a", None)], schema), path, ["k"], "p")
+    upsert_table(spark, spark.createDataFrame([(1, "b", "9"), (3, "b", "x/y z"), (4, "b", "n"), (5, "b", "007")], schema), path, ["k"], "p")
+    rows = spark.read.schema(schema).parquet(path).collect()
+    assert {(r["k"], r["v"], r["p"] or None) for r in rows} == {(1, "b", "9"), (2, "a", None), (3, "b", "x/y z"), (4, "b", "n"), (5, "b", "007")}
+    assert len(rows) == 5
+
+
 def test_cursor_is_last_processed_not_max(spark):
     prog = spark.createDataFrame([("v1", 10, "h10", 1), ("v1", 20, "h20", 2), ("v1", 12, "h12", 3)],
                                  "app_version string, block_num bigint, block_hash string, processed_order bigint")
