@@ -33,19 +33,20 @@ def _lake(spark: SparkSession, sf_dir: str):
     """One GovLake per session and data folder.
 
     The facts derived from ``events`` and their decoded silver layer are
-    written once under the session's checkpoint folder (spark.checkpoint.dir)
-    and every view then reads those tables.
+    written under the session's checkpoint folder (spark.checkpoint.dir), each table
+    on first use, and every view reads those tables. The folder ``govlake/<application id>``
+    there can be deleted when the application has ended.
     """
     from govlake.plans.catalog import GovLake
     from govlake.session import checkpoint_dir
 
     ensure_session_conf(spark)
-    key = (id(spark), sf_dir)
-    with _LOCK:  # concurrent callers share one materialization
+    app = spark.sparkContext.applicationId  # jobs sharing the checkpoint folder never collide
+    key = (app, sf_dir)
+    with _LOCK:  # concurrent callers share one lake
         if key not in _LAKES:
-            app = spark.sparkContext.applicationId  # jobs sharing the checkpoint folder never collide
             root = f"{checkpoint_dir(spark)}/govlake/{app}/{hashlib.md5(sf_dir.encode()).hexdigest()[:12]}"
-            _LAKES[key] = GovLake.from_events(spark, sf_dir).materialize(root)
+            _LAKES[key] = GovLake.from_events(spark, sf_dir).stored(root)
         return _LAKES[key]
 
 
@@ -70,16 +71,68 @@ def _upsert(lake, table: str, key: list[str], marker_col: str):
     return upsert_frames(df, replay, key)
 
 
-def _progress(lake):
-    """Processing log: all blocks under v1, a 10-block re-run from the cut under v1, then v2 from the cut."""
-    b = lake.facts.blocks.select(F.col("height").alias("block_num"), F.col("hash").alias("block_hash"))
-    cut = _replay_cut(lake.facts.blocks)
-    v1 = b.withColumn("app_version", F.lit("v1")).withColumn("processed_order", F.col("block_num"))
-    rerun = b.where((F.col("block_num") >= cut) & (F.col("block_num") < cut + 10)).withColumn(
-        "app_version", F.lit("v1")).withColumn("processed_order", F.col("block_num") + 10_000_000_000)
-    v2 = b.where(F.col("block_num") >= cut).withColumn("app_version", F.lit("v2")).withColumn(
-        "processed_order", F.col("block_num") + 20_000_000_000)
-    return v1.unionByName(rerun).unionByName(v2)
+_INGESTED: dict = {}
+
+
+def _ingested(spark: SparkSession, sf_dir: str) -> str:
+    """Root of a lake that ingest itself wrote: upper half of the chain, then the lower half, then a replay.
+
+    Version v1 ends with the lower half, so its cursor is not the highest block; v2 replays from the cut.
+    """
+    from govlake.session import checkpoint_dir
+    from govlake.streaming.ingest import ingest_batch
+
+    lake = _lake(spark, sf_dir)
+    key = (spark.sparkContext.applicationId, sf_dir)
+    with _LOCK:
+        if key not in _INGESTED:
+            root = f"{checkpoint_dir(spark)}/govlake/{key[0]}/{hashlib.md5(sf_dir.encode()).hexdigest()[:12]}-ingested"
+            records, cut = lake.nested, _replay_cut(lake.facts.blocks)
+            height = F.col("block.header.height")
+            ingest_batch(spark, records.where(height >= cut), 0, root, lake.cfg, "v1")
+            ingest_batch(spark, records.where(height < cut), 1, root, lake.cfg, "v1")
+            ingest_batch(spark, records.where(height >= cut), 2, root, lake.cfg, "v2")
+            _INGESTED[key] = root
+    return _INGESTED[key]
+
+
+def _storage_queries() -> dict[str, Callable]:
+    """Queries over tables that ingest wrote, (spark, sf_dir) -> DataFrame."""
+    from govlake.operators.upsert import resume_height
+    from govlake.sources.tables import read_fact
+    from govlake.streaming.ingest import cursors
+
+    def fact(name):
+        return lambda spark, sf_dir: read_fact(spark, _ingested(spark, sf_dir), name)
+
+    return {
+        "ingest_storage_blocks": fact("blocks"),
+        "ingest_storage_actions": fact("receipt_actions"),
+        "ingest_storage_outcomes": fact("execution_outcomes"),
+        "cursor_latest": lambda spark, sf_dir: cursors(spark, _ingested(spark, sf_dir)).select("id", "cursor", "block_num", "block_id"),
+        "resume_height": lambda spark, sf_dir: resume_height(cursors(spark, _ingested(spark, sf_dir)), "v1", None, 0),
+    }
+
+
+def _decode_join(lake):
+    """Actions with their outcomes from the two fact tables."""
+    from govlake.functions.json import jstr
+    from govlake.operators.decode import decode_actions
+    d = decode_actions(lake.facts.actions, lake.facts.outcomes)
+    return d.select("id", "receipt_id", "status", jstr("args", "$.proposal_id").alias("args_proposal_id"),
+                    jstr("log0", "$.event").alias("first_event"), F.size("log_docs").alias("n_logs"),
+                    jstr("results", "$.status_type").alias("result_type"))
+
+
+def _safe_parse(lake):
+    """UD1 over every call's argument text."""
+    from govlake.functions.json import b64_text, jstr
+    from govlake.functions.sql import register_sql_functions
+    register_sql_functions(lake.spark)
+    t = lake.facts.actions.select("id", b64_text("args_base64").alias("t"))
+    p = t.select("id", "t", F.expr("safe_json_parse(t)").alias("v"))
+    return p.select("id", F.col("v").isNull().alias("is_absent"), jstr("v", "$.error").alias("error"),
+                    jstr("v", "$.original_text").alias("original_text"), jstr("v", "$.proposal_id").alias("proposal_id"))
 
 
 def _contract_receipts(lake):
@@ -105,13 +158,19 @@ def _stages(lake):
                         lake.approved_proposals())
 
 
+def _proposal_votes(lake):
+    from govlake.plans.proposals import proposal_votes
+    from govlake.plans.voting_history import latest_votes, proposal_metadata
+    return proposal_votes(latest_votes(lake.silver, lake.cfg), proposal_metadata(lake.silver, lake.cfg))
+
+
 def _registry() -> dict[str, Callable]:
-    from govlake.operators.upsert import cursor_latest, resume_height, upsert_frames
+    from govlake.operators.upsert import upsert_frames
     from govlake.plans import quality as Q
     from govlake.plans import registered_voters as RV
     from govlake.plans.approved_proposals import recent_approved
     from govlake.plans.delegation_events import latest_delegation
-    from govlake.plans.proposals import active_proposals, proposal_votes
+    from govlake.plans.proposals import active_proposals
     from govlake.plans.user_activities import branch
     from govlake.plans.voting_history import top_voters
 
@@ -136,8 +195,8 @@ def _registry() -> dict[str, Callable]:
         "upsert_blocks": lambda L: _upsert(L, "blocks", ["height"], "author"),
         "upsert_actions": lambda L: _upsert(L, "actions", ["id"], "author"),
         "upsert_outcomes": lambda L: _upsert(L, "outcomes", ["receipt_id"], "executor_account_id"),
-        "cursor_latest": lambda L: cursor_latest(_progress(L)),
-        "resume_height": lambda L: resume_height(cursor_latest(_progress(L)), "v1", None, 0),
+        "decode_join": _decode_join,
+        "safe_json_parse": _safe_parse,
         "replay_range": lambda L: upsert_frames(
             L.facts.actions, L.flat.actions.where(F.col("block_height") >= _replay_cut(L.facts.blocks)), ["id"]),
         # monitoring and data quality
@@ -154,7 +213,7 @@ def _registry() -> dict[str, Callable]:
             "delegator_id", "delegatee_id", "event_timestamp"),
         "top_voters": lambda L: top_voters(L.proposal_voting_history()),
         "recent_approved": lambda L: recent_approved(L.silver, L.cfg),
-        "proposal_votes": lambda L: proposal_votes(L.proposal_voting_history()),
+        "proposal_votes": _proposal_votes,
         "active_proposals": lambda L: active_proposals(L.proposals()),
         "first_registration": lambda L: RV.first_registration(L.silver, L.cfg),
         "first_deposit": lambda L: RV.first_deposit(L.silver, L.cfg),
@@ -162,8 +221,8 @@ def _registry() -> dict[str, Callable]:
             "lk_voter", "registered_voter_id"),
         "growth_config": lambda L: RV.growth_config(L.silver, L.cfg).withColumnRenamed(
             "gc_contract", "hos_contract_address"),
-        "participation": lambda L: _stages(L)[0].select("registered_voter_id", "proposal_participation_rate"),
-        "delegated_power": lambda L: _stages(L)[1].withColumnRenamed("dvp_delegatee", "delegatee_id"),
+        "participation": lambda L: _stages(L).select("registered_voter_id", "proposal_participation_rate"),
+        "delegated_power": lambda L: RV.delegated_power(_stages(L)),
     }
     for key, methods in [
         ("act_lockup_deployed", ["on_lockup_deployed"]), ("act_lock_near", ["lock_near"]),
@@ -193,11 +252,11 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
             return _body(_lake(spark, sf_dir))
         run.__name__ = name
         out[name] = run
-    return out
+    return out | _storage_queries()
 
 
 def oracle_sql() -> dict[str, str]:
     from oracle import ORACLE_QUERIES
-    names = set(_registry())
+    names = set(_registry()) | set(_storage_queries())
     llm = _llm()
     return {k: v for k, v in ORACLE_QUERIES.items() if k in names} | (dict(llm.ORACLES) if llm else {})

@@ -24,8 +24,6 @@ class ContractConfig:
     token_prefix: str = "v"
     voting_prefix: str = "vote"
     as_of: object = field(default=None, compare=False)
-    # bound for the proposal-id list shipped to every task in proposal_non_voters
-    max_broadcast_proposals: int = 20_000
 
     @property
     def token_contract(self) -> str:
@@ -54,5 +52,4 @@ class ContractConfig:
         return F.lit(str(self.as_of)).cast("timestamp_ntz")
 
     def with_as_of(self, as_of) -> "ContractConfig":
-        return ContractConfig(self.contract, self.token_prefix, self.voting_prefix,
-                              as_of, self.max_broadcast_proposals)
+        return ContractConfig(self.contract, self.token_prefix, self.voting_prefix, as_of)

@@ -10,19 +10,25 @@ globally.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 BUCKET = "__bucket"
 CONTEXT = "__context"
 
 
-def bucketed(df: DataFrame, order_col: str, width: int) -> DataFrame:
+def even_width(df: DataFrame, order_col: str, groups: int, least: int) -> Column:
+    """Bucket width that gives about ``groups`` buckets over the column's range, as a scalar subquery."""
+    span = F.max(order_col) - F.min(order_col) + 1
+    return df.agg(F.coalesce(F.greatest(F.ceil(span / F.lit(groups)), F.lit(least)), F.lit(least)).cast("bigint")).scalar()
+
+
+def bucketed(df: DataFrame, order_col: str, width: int | Column) -> DataFrame:
     c = F.col(order_col)
-    return df.withColumn(BUCKET, c - F.pmod(c, F.lit(width)))
+    return df.withColumn(BUCKET, c - F.pmod(c, width if isinstance(width, Column) else F.lit(width)))
 
 
-def with_halo(df: DataFrame, order_col: str, halo: int, width: int) -> DataFrame:
+def with_halo(df: DataFrame, order_col: str, halo: int, width: int | Column) -> DataFrame:
     """Rows + the ``halo`` rows preceding each bucket (flag ``__context``), exactly.
 
     Window per ``__bucket`` ordered by ``order_col``, then drop context rows.
@@ -47,7 +53,7 @@ def with_halo(df: DataFrame, order_col: str, halo: int, width: int) -> DataFrame
     return d.withColumn(CONTEXT, F.lit(False)).unionByName(ctx)
 
 
-def global_row_number(df: DataFrame, order_col: str, width: int, name: str = "row_num") -> DataFrame:
+def global_row_number(df: DataFrame, order_col: str, width: int | Column, name: str = "row_num") -> DataFrame:
     """Exact 1-based row number over ``order_col`` from per-bucket counts + offsets."""
     d = bucketed(df, order_col, width)
     counts = d.groupBy(BUCKET).agg(F.count(F.lit(1)).alias("__n"))

@@ -63,9 +63,6 @@ def delegation_events(silver: DataFrame, cfg: ContractConfig) -> DataFrame:
 
 
 def latest_delegation(de: DataFrame) -> DataFrame:
-    """Latest active delegate_all per delegator (input: delegation_events)."""
-    from govlake.operators.latest import first_per_key
-    act = de.where(F.col("is_latest_delegator_event") & (F.col("delegate_method") == "delegate_all")
-                   & (F.col("delegate_event") == "ft_mint"))
-    return first_per_key(act, ["delegator_id"], [F.col("block_timestamp").desc(), F.col("receipt_id").desc()]) \
-        .select("delegator_id", "delegatee_id")
+    """Latest active delegate_all per delegator (input: delegation_events, which flags one row per delegator)."""
+    return de.where(F.col("is_latest_delegator_event") & (F.col("delegate_method") == "delegate_all")
+                    & (F.col("delegate_event") == "ft_mint")).select("delegator_id", "delegatee_id")

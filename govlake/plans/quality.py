@@ -7,30 +7,55 @@ from pyspark.sql import functions as F
 
 from govlake.functions.json import parse_json_strict, jstr
 from govlake.functions.time import epoch_micros
-from govlake.operators.ordered import BUCKET, CONTEXT, global_row_number, with_halo
+from govlake.operators.ordered import BUCKET, CONTEXT, even_width, global_row_number, with_halo
 
-HEIGHT_WIDTH = 100_000  # heights per task in ordered reports
+GROUPS, LEAST_WIDTH = 1024, 500  # buckets of an ordered report over the stored heights; heights in one at least
 RATE_WINDOW = 10        # blocks in the rolling throughput window
 RANGE_SIZE = 1000       # blocks per processed-range summary row
 
 
+# Argument members that the views read as numbers.
+NUMERIC_ARGS = ["$.proposal_id", "$.vote", "$.amount", "$.lockup_deposit", "$.v_account.V0.balance.near_balance"]
+NUMBER, FRACTION, DIGITS = r"^\s*[+-]?(\d+\.?\d*|\.\d+)([eE][+-]?\d+)?\s*$", r"\.\d*[1-9]", 38
+
+
 def decode_quality(actions: DataFrame) -> DataFrame:
-    """M1: per method, how many args fail each decode step or carry an error key."""
+    """M1: per method, how many args fail each decode step, carry an error key, repeat a key, or hold a bad number.
+
+    Bad numbers: text that is no number; numbers with a fraction (rounded by the views); numbers of more
+    than 38 digits (NULL in the views).
+    """
     raw = F.try_to_binary(F.col("args_base64"), F.lit("base64"))
     text = F.try_validate_utf8(raw.cast("string"))
     doc = parse_json_strict(text)
+    keys = F.json_object_keys(text)
+    found = F.filter(F.array(*[jstr(doc, p) for p in NUMERIC_ARGS]), lambda x: x.isNotNull())
+
+    def some(test):
+        return F.exists(found, test)
+
     a = actions.select("method_name", raw.isNull().alias("bad_b64"),
                        (raw.isNotNull() & text.isNull()).alias("bad_utf8"),
                        (text.isNotNull() & doc.isNull()).alias("bad_json"),
-                       jstr(doc, "$.error").isNotNull().alias("err"))
+                       jstr(doc, "$.error").isNotNull().alias("err"),
+                       (doc.isNotNull() & (F.size(keys) > F.size(F.array_distinct(keys)))).alias("repeated"),
+                       some(lambda x: ~x.rlike(NUMBER)).alias("no_number"),
+                       some(lambda x: x.rlike(NUMBER) & x.rlike(FRACTION)).alias("fraction"),
+                       some(lambda x: x.rlike(NUMBER) & ~x.rlike(FRACTION) & x.try_cast("decimal(38,0)").isNull()).alias("too_long"))
     return a.groupBy("method_name").agg(
         F.count(F.lit(1)).alias("n_actions"), F.count_if("bad_b64").alias("invalid_base64"),
         F.count_if("bad_utf8").alias("invalid_utf8"), F.count_if("bad_json").alias("invalid_json"),
-        F.count_if("err").alias("error_key"))
+        F.count_if("err").alias("error_key"), F.count_if("repeated").alias("repeated_key"),
+        F.count_if("no_number").alias("not_a_number"), F.count_if("fraction").alias("fractional_number"),
+        F.count_if("too_long").alias("over_38_digits"))
+
+
+def _width(blocks: DataFrame) -> Column:
+    return even_width(blocks, "height", GROUPS, LEAST_WIDTH)
 
 
 def _with_prev(blocks: DataFrame, halo: int) -> DataFrame:
-    return with_halo(blocks.select("height", "hash", "prev_hash", "timestamp"), "height", halo, HEIGHT_WIDTH)
+    return with_halo(blocks.select("height", "hash", "prev_hash", "timestamp"), "height", halo, _width(blocks))
 
 
 def chain_breaks(blocks: DataFrame) -> DataFrame:
@@ -72,7 +97,7 @@ def block_rate(blocks: DataFrame) -> DataFrame:
 
 def range_summary(blocks: DataFrame) -> DataFrame:
     """ST5: processed ranges of 1,000 consecutive stored blocks."""
-    d = global_row_number(blocks.select("height"), "height", HEIGHT_WIDTH)
+    d = global_row_number(blocks.select("height"), "height", _width(blocks))
     return d.groupBy(F.floor((F.col("row_num") - 1) / RANGE_SIZE).alias("range_no")).agg(
         F.min("height").alias("first_height"), F.max("height").alias("last_height"),
         F.count(F.lit(1)).alias("n_blocks"))

@@ -50,6 +50,16 @@ def growth_config(silver: DataFrame, cfg: ContractConfig) -> DataFrame:
     )
 
 
+def _growth_by_contract(silver: DataFrame, cfg: ContractConfig) -> DataFrame:
+    """The rates of each view contract as one row: at most two rows, whatever the size of the feed, so it is broadcast.
+
+    Voters of one contract share a join key; broadcasting keeps them where they are.
+    """
+    rates = growth_config(silver, cfg).where(F.col("gc_contract").isin(*cfg.view_contracts))
+    return F.broadcast(rates.groupBy("gc_contract").agg(F.collect_list(
+        F.struct("growth_rate_numerator_ns", "growth_rate_denominator_ns")).alias("rates")))
+
+
 REG, DEP, LOCK = "on_lockup_deployed", "storage_deposit", "on_lockup_update"
 
 
@@ -148,8 +158,8 @@ def reward(principal, num, den, now_ns, since_ns):
 
 
 def voter_stages(silver: DataFrame, cfg: ContractConfig, pvh: DataFrame, de: DataFrame,
-                 approved: DataFrame, distinct_recent: bool = False) -> tuple[DataFrame, DataFrame]:
-    """(per-voter frame with principal and reward, delegated sums per delegatee).
+                 approved: DataFrame, distinct_recent: bool = False) -> DataFrame:
+    """Per-voter frame with principal and reward.
 
     ``distinct_recent=True`` counts a proposal approved twice once among the ten
     most recent approvals (the default keeps the reference's double count).
@@ -164,7 +174,8 @@ def voter_stages(silver: DataFrame, cfg: ContractConfig, pvh: DataFrame, de: Dat
     pp = participation(pvh, recent)
     ld = latest_delegation(de).withColumnRenamed("delegatee_id", "de_delegatee_id")
     now_ns = epoch_ns(cfg.as_of_column())
-    tj = (rv.join(growth_config(silver, cfg), F.col("receiver_id") == F.col("gc_contract"), "left")
+    tj = (rv.join(_growth_by_contract(silver, cfg), F.col("receiver_id") == F.col("gc_contract"), "left")
+          .select("*", F.explode_outer("rates").alias("rate")).select("*", "rate.*").drop("rates", "rate")
           .join(pp, "registered_voter_id", "left")
           .join(ld, F.col("registered_voter_id") == F.col("delegator_id"), "left"))
     zero = F.lit(0).cast("decimal(38,0)")
@@ -182,18 +193,41 @@ def voter_stages(silver: DataFrame, cfg: ContractConfig, pvh: DataFrame, de: Dat
     tj = tj.withColumn("extra_venear_on_principal",
                        reward(F.col("principal_balance"), F.col("growth_rate_numerator_ns"),
                               F.col("growth_rate_denominator_ns"), now_ns, since))
-    # One hop, partial aggregation absorbs a delegatee with very many delegators
-    dvp = tj.where(F.col("delegatee_id").isNotNull()).groupBy(F.col("delegatee_id").alias("dvp_delegatee")).agg(
+    return tj
+
+
+def delegated_power(tj: DataFrame) -> DataFrame:
+    """One hop, partial aggregation absorbs a delegatee with very many delegators."""
+    return tj.where(F.col("delegatee_id").isNotNull()).groupBy("delegatee_id").agg(
         F.sum("principal_balance").cast("decimal(38,0)").alias("delegated_balance"),
         F.sum("extra_venear_on_principal").cast("decimal(38,0)").alias("delegated_extra_venear"),
     )
-    return tj, dvp
+
+
+def _with_delegated(tj: DataFrame) -> DataFrame:
+    """Each voter's rows with the sums of what others delegate to it, from one pass over ``tj``.
+
+    Every row sends itself to its voter and its amounts to its delegatee; one partial
+    aggregate per account then holds both, so the voter pipeline is planned once and nothing is joined.
+    """
+    own = F.struct(*[F.col(c) for c in tj.columns])
+    amount = "decimal(38,0)"
+    sent = F.array(
+        F.struct(F.col("registered_voter_id").alias("account"), own.alias("own"), F.lit(None).cast(amount).alias("balance"),
+                 F.lit(None).cast(amount).alias("extra")),
+        F.struct(F.col("delegatee_id").alias("account"), F.lit(None).cast(tj.schema).alias("own"),
+                 F.col("principal_balance").alias("balance"), F.col("extra_venear_on_principal").alias("extra")))
+    rows = tj.select(F.explode(sent).alias("s")).select("s.*").where(F.col("account").isNotNull())
+    g = rows.groupBy("account").agg(
+        F.collect_list("own").alias("rows"), F.sum("balance").cast(amount).alias("delegated_balance"),
+        F.sum("extra").cast(amount).alias("delegated_extra_venear"))
+    return g.select(F.explode("rows").alias("own"), "delegated_balance", "delegated_extra_venear").select(
+        "own.*", "delegated_balance", "delegated_extra_venear")
 
 
 def registered_voters(silver: DataFrame, cfg: ContractConfig, pvh: DataFrame, de: DataFrame,
                       approved: DataFrame, distinct_recent: bool = False) -> DataFrame:
-    tj, dvp = voter_stages(silver, cfg, pvh, de, approved, distinct_recent)
-    out = tj.join(dvp, F.col("registered_voter_id") == F.col("dvp_delegatee"), "left")
+    out = _with_delegated(voter_stages(silver, cfg, pvh, de, approved, distinct_recent))
     zero = F.lit(0).cast("decimal(38,0)")
     total = (F.coalesce("principal_balance", zero) + F.coalesce("extra_venear_on_principal", zero)
              + F.coalesce("delegated_balance", zero) + F.coalesce("delegated_extra_venear", zero))

@@ -2,8 +2,8 @@
 
 Seven of the eight branches are row-local (one row per action, or one row per
 log line with empty/NULL logs kept as a single row), so they run as ONE pass
-over the silver slice: each action yields an array of output rows which is
-then inlined — no union of eight scans, no shuffle. The on_lockup_update
+over the silver slice: each action explodes an array of its documents, or of one NULL —
+no union of eight scans, no shuffle. The on_lockup_update
 branch groups by receipt-level columns (two calls in one receipt collapse to
 one row), so it is a separate, map-side-combined aggregate over its own slice.
 """
@@ -16,75 +16,67 @@ from pyspark.sql import functions as F
 from govlake.config import ContractConfig
 from govlake.functions.json import jnum, jstr
 from govlake.functions.text import after_first_dot, md5_concat
-from govlake.operators.decode import calls
+from govlake.operators.decode import METHOD_PART, calls
 from govlake.plans.common import on_contracts, on_contracts_after_dot
 
+# The methods of the view, by the form of their rows.
 METHODS = ["on_lockup_deployed", "lock_near", "on_lockup_update", "delegate_all", "undelegate",
            "begin_unlock_near", "lock_pending_near", "withdraw_from_staking_pool",
            "withdraw_all_from_staking_pool", "unstake", "unstake_all"]
+DELEGATION = ["delegate_all", "undelegate"]
+DOT_LOCK = ["lock_near", "begin_unlock_near", "lock_pending_near"]
 PER_LOG_STAKING = ["withdraw_from_staking_pool", "withdraw_all_from_staking_pool", "unstake", "unstake_all"]
 
 COLUMNS = ["id", "receipt_id", "hos_contract_address", "account_id", "event_date", "event_timestamp",
            "method_name", "event_type", "event_status", "near_amount", "locked_near_balance", "block_height",
            "block_hash"]
-ROW_FIELDS = ["id", "receipt_id", "hos_contract_address", "account_id", "event_timestamp", "method_name",
-              "event_type", "event_status", "near_amount", "locked_near_balance", "block_height", "block_hash"]
 
 
 def with_event_status(silver: DataFrame) -> DataFrame:
     st = F.col("status")
-    return calls(silver, METHODS).withColumn(
+    ra = calls(silver, METHODS)
+    if METHOD_PART in ra.columns:
+        # every method of this view has a storage folder of its own: a filter on method_name prunes them
+        ra = ra.withColumn("method_name", F.col(METHOD_PART))
+    return ra.withColumn(
         "event_status",
         F.when(st.isin("SuccessReceiptId", "SuccessValue"), F.lit("succeeded")).when(st == "Failure", F.lit("failed")))
 
 
-def _row(id_, hos, account, event_type, near, locked):
-    dec = "decimal(38,0)"
-    return F.struct(
-        id_.alias("id"), F.col("receipt_id").alias("receipt_id"), hos.alias("hos_contract_address"),
-        account.alias("account_id"), F.col("block_timestamp").alias("event_timestamp"),
-        F.col("method_name").alias("method_name"), event_type.alias("event_type"),
-        F.col("event_status").alias("event_status"), near.cast(dec).alias("near_amount"),
-        locked.cast(dec).alias("locked_near_balance"), F.col("block_height").alias("block_height"),
-        F.col("block_hash").alias("block_hash"),
-    )
-
-
 def _row_local(ra: DataFrame, cfg: ContractConfig) -> DataFrame:
-    m, args, log0 = F.col("method_name"), F.col("args"), F.col("log0")
+    """Seven branches in one pass. Row-level columns stay plain columns beside the exploded documents,
+
+    so a filter on method_name, block_height or receipt_id reaches the scan.
+    """
+    dec = "decimal(38,0)"
+    m, args, log0, doc = F.col("method_name"), F.col("args"), F.col("log0"), F.col("doc")
     signer, rid = F.col("signer_account_id"), F.col("receipt_id")
-    in_list, dot_in_list = on_contracts(cfg), on_contracts_after_dot(cfg)
-    after_dot = after_first_dot(F.col("receiver_id"))
-    null_dec = F.lit(None).cast("decimal(38,0)")
-    # explode_outer semantics: NULL or empty logs give one row with a NULL log
-    docs = F.when(F.coalesce(F.size("log_docs"), F.lit(0)) > 0, F.col("log_docs")) \
-        .otherwise(F.array(F.lit(None).cast("variant")))
-    amount_arg = jnum(args, "$.amount")
-
-    def delegation_row(d):
-        owner = jstr(d, "$.data[0].owner_id")
-        return _row(md5_concat(rid, F.lit("_"), owner), F.col("receiver_id"), F.coalesce(owner, signer),
-                    F.coalesce(F.concat(m, F.lit("_"), jstr(d, "$.event")), m), jnum(d, "$.data[0].amount"), null_dec)
-
-    def staking_row(d):
-        return _row(rid, after_dot, signer, m,
-                    F.coalesce(amount_arg, jnum(d, "$.data[0].amount"), F.lit(0).cast("decimal(38,0)")), null_dec)
-
-    rows = (
-        F.when((m == "on_lockup_deployed") & in_list, F.array(_row(
-            rid, F.col("predecessor_id"), signer,
-            F.coalesce(jstr(log0, "$.event"), F.lit("lockup_deployed")),
-            jnum(args, "$.lockup_deposit"), jnum(log0, "$.data[0].locked_near_balance"))))
-        .when((m == "lock_near") & dot_in_list, F.array(_row(
-            rid, after_dot, signer, F.coalesce(jstr(log0, "$.event"), F.lit("lockup_lock_near")),
-            amount_arg, jnum(log0, "$.data[0].locked_near_balance"))))
-        .when(m.isin("delegate_all", "undelegate") & in_list, F.transform(docs, delegation_row))
-        .when(m.isin("begin_unlock_near", "lock_pending_near") & dot_in_list,
-              F.array(_row(rid, after_dot, signer, m, amount_arg, null_dec)))
-        .when(m.isin(*PER_LOG_STAKING) & (F.col("event_status") == "succeeded") & dot_in_list,
-              F.transform(docs, staking_row))
-    )
-    return ra.where(m != "on_lockup_update").select(F.inline(rows))
+    one_per_call = m.isin(*DOT_LOCK, "on_lockup_deployed")
+    delegation, staking, deployed, lock = m.isin(*DELEGATION), m.isin(*PER_LOG_STAKING), m == "on_lockup_deployed", m == "lock_near"
+    keep = (F.when(deployed | delegation, on_contracts(cfg))
+            .when(staking, (F.col("event_status") == "succeeded") & on_contracts_after_dot(cfg))
+            .otherwise(on_contracts_after_dot(cfg)))
+    # one row per call, or one per log line (NULL or empty logs give one row with a NULL document)
+    nothing = F.array(F.lit(None).cast("variant"))
+    docs = F.when(one_per_call | (F.coalesce(F.size("log_docs"), F.lit(0)) <= 0), nothing).otherwise(F.col("log_docs"))
+    rows = ra.where((m != "on_lockup_update") & keep).select(
+        "receipt_id", "block_timestamp", "method_name", "event_status", "block_height", "block_hash", "signer_account_id",
+        "receiver_id", "predecessor_id", "args", "log0", F.explode(docs).alias("doc"))
+    owner, amount_arg = jstr(doc, "$.data[0].owner_id"), jnum(args, "$.amount")
+    doc_amount, locked = jnum(doc, "$.data[0].amount"), jnum(log0, "$.data[0].locked_near_balance")
+    return rows.select(
+        F.when(delegation, md5_concat(rid, F.lit("_"), owner)).otherwise(rid).alias("id"), "receipt_id",
+        F.when(deployed, F.col("predecessor_id")).when(delegation, F.col("receiver_id"))
+        .otherwise(after_first_dot(F.col("receiver_id"))).alias("hos_contract_address"),
+        F.when(delegation, F.coalesce(owner, signer)).otherwise(signer).alias("account_id"),
+        F.col("block_timestamp").alias("event_timestamp"), "method_name",
+        F.when(deployed, F.coalesce(jstr(log0, "$.event"), F.lit("lockup_deployed")))
+        .when(lock, F.coalesce(jstr(log0, "$.event"), F.lit("lockup_lock_near")))
+        .when(delegation, F.coalesce(F.concat(m, F.lit("_"), jstr(doc, "$.event")), m)).otherwise(m).alias("event_type"),
+        "event_status",
+        F.when(deployed, jnum(args, "$.lockup_deposit")).when(delegation, doc_amount)
+        .when(staking, F.coalesce(amount_arg, doc_amount, F.lit(0).cast(dec))).otherwise(amount_arg).cast(dec).alias("near_amount"),
+        F.when(deployed | lock, locked).cast(dec).alias("locked_near_balance"), "block_height", "block_hash")
 
 
 def _lockup_updates(ra: DataFrame, cfg: ContractConfig) -> DataFrame:

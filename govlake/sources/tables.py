@@ -22,7 +22,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from govlake.operators.decode import METHOD_PART, decode_actions, method_part
-from govlake.schemas import ACTION_COLUMNS, BLOCK_COLUMNS, BLOCKS, EXECUTION_OUTCOMES, OUTCOME_COLUMNS, RECEIPT_ACTIONS
+from govlake.schemas import BLOCKS, EXECUTION_OUTCOMES, RECEIPT_ACTIONS
 from govlake.session import path_exists
 from govlake.sources.fixtures import Facts
 
@@ -47,23 +47,18 @@ def write_table(df: DataFrame, path: str, partition_by: str | list[str] | None,
     w.parquet(path)
 
 
-def write_facts(facts: Facts, root: str) -> None:
-    write_table(with_bucket(facts.blocks, "height"), f"{root}/blocks", "height_bucket")
-    write_table(with_bucket(facts.actions, "block_height"), f"{root}/receipt_actions", "height_bucket")
-    write_table(with_bucket(facts.outcomes, "block_height"), f"{root}/execution_outcomes", "height_bucket")
+FACT_SCHEMAS = {"blocks": BLOCKS, "receipt_actions": RECEIPT_ACTIONS, "execution_outcomes": EXECUTION_OUTCOMES}
 
 
-def _read(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
-    """A stored table by its known schema (an empty one has no file to take it from)."""
-    return spark.read.schema(T.StructType([*schema.fields, T.StructField("height_bucket", T.LongType())])).parquet(path)
+def read_fact(spark: SparkSession, root: str, name: str) -> DataFrame:
+    """A stored fact table by its known schema (an empty one has no file to take it from)."""
+    schema = FACT_SCHEMAS[name]
+    stored = T.StructType([*schema.fields, T.StructField("height_bucket", T.LongType())])
+    return spark.read.schema(stored).parquet(f"{root}/{name}").select(*schema.names)
 
 
 def read_facts(spark: SparkSession, root: str) -> Facts:
-    return Facts(
-        _read(spark, f"{root}/blocks", BLOCKS).select(*BLOCK_COLUMNS),
-        _read(spark, f"{root}/receipt_actions", RECEIPT_ACTIONS).select(*ACTION_COLUMNS),
-        _read(spark, f"{root}/execution_outcomes", EXECUTION_OUTCOMES).select(*OUTCOME_COLUMNS),
-    )
+    return Facts(*[read_fact(spark, root, name) for name in FACT_SCHEMAS])
 
 
 SILVER_PARTITIONS = [METHOD_PART, "height_bucket"]

@@ -115,20 +115,23 @@ def test_registered_voters_rules(spark):
         + rv["b.near"]["principal_balance"] + rv["b.near"]["extra_venear_on_principal"])
 
 
-def test_non_voters_bucket_path_equals_literal_path(spark):
-    from govlake.config import ContractConfig
+def test_non_voters_equal_the_plain_difference(spark):
     from govlake.plans.catalog import GovLake
     from govlake.plans.non_voters import proposal_non_voters
+    from govlake.plans.proposals import proposal_ids
+    from govlake.plans.voting_history import latest_votes
     lake = GovLake.from_events(spark, "/root/testdata/sf0.001")
-    small = ContractConfig(max_broadcast_proposals=3)
     a = lake.proposal_non_voters()
-    b = proposal_non_voters(lake.proposals(), lake.registered_voters(), lake.proposal_voting_history(), small)
-    assert a.count() == b.count() and a.exceptAll(b).count() == 0
-    # invariant: non-voters + latest votes of registered voters = proposals x voters
-    n_p, n_v = lake.proposals().count(), lake.registered_voters().count()
-    voted = lake.proposal_voting_history().join(
-        lake.registered_voters().select(F.col("registered_voter_id").alias("voter_id")), "voter_id").count()
-    assert a.count() + voted == n_p * n_v
+    pids = [r[0] for r in lake.proposals().select("proposal_id").collect()]
+    voters = [r[0] for r in lake.registered_voters().select("registered_voter_id").collect()]
+    votes = {(r[0], r[1]) for r in lake.proposal_voting_history().select("proposal_id", "voter_id").collect()}
+    want = sorted((str(p), v) for p in pids for v in voters if (p, v) not in votes)
+    assert sorted((str(r["proposal_id"]), r["registered_voter_id"]) for r in a.collect()) == want
+    ids, latest = proposal_ids(lake.silver, lake.cfg), latest_votes(lake.silver, lake.cfg)
+    compact = proposal_non_voters(ids, lake.registered_voters(), latest, compact=True)
+    assert sorted((str(p), r["registered_voter_id"]) for r in compact.collect() for p in r["proposal_ids"]) == sorted(set(want))
+    some = proposal_non_voters(ids, lake.registered_voters(), latest, only=ids.limit(1))
+    assert len({r["proposal_id"] for r in some.collect()}) == 1
 
 
 def test_two_growth_configs_double_voters_and_amount_text(spark):
@@ -145,14 +148,16 @@ def test_two_growth_configs_double_voters_and_amount_text(spark):
     assert got["x38"] == int("9" * 38) and got["x39"] is None and got["half"] == 2 and got["bad"] is None
 
 
-def test_unvoted_keeps_repeats_and_nulls(spark):
-    from decimal import Decimal as D
+def test_non_voters_keep_repeats_and_nulls(spark):
+    from collections import Counter
+
+    from govlake.plans.non_voters import proposal_non_voters
+    pids = spark.createDataFrame([(1,), (1,), (2,), (None,), (None,), (3,)], "proposal_id bigint")
+    voters = spark.createDataFrame([("a",), ("b",), ("b",)], "registered_voter_id string")
+    votes = spark.createDataFrame([(1, "a"), (3, "b"), (9, "a"), (None, "a")], "proposal_id bigint, voter_id string")
+    got = Counter((r["proposal_id"], r["registered_voter_id"]) for r in proposal_non_voters(pids, voters, votes).collect())
+    assert got == Counter({(2, "a"): 1, (3, "a"): 1, (None, "a"): 2, (1, "b"): 4, (2, "b"): 2, (None, "b"): 4})
 
-    from govlake.plans.non_voters import DEC, _unvoted
-    ids = [D(1), D(2), D(2), None, D(3)]
-    df = spark.createDataFrame([([D(2)],), ([],)], f"voted array<{DEC}>")
-    got = [sorted(r[0], key=lambda x: (x is None, x)) for r in df.select(_unvoted(ids, F.col("voted"))).collect()]
-    assert got == [[D(1), D(3), None], [D(1), D(2), D(2), D(3), None]]
 
 
 def test_duplicate_recent_approval_counts_twice_unless_distinct(spark):
