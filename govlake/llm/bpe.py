@@ -10,10 +10,11 @@ The rest stays in the window. So a piece of any length needs a constant window.
 
 Text reaches the encoder in slices. A slice ends before white space that follows a
 character that isn't white space: there the split pattern always splits, so slices are
-split as the whole text would be. Pieces that were seen before come from a bounded cache.
+split as the whole text would be. Short pieces come from a bounded cache; those that are not in it yet
+are merged together (``Windows``).
 
 Decoding. Token ids become bytes, and an incremental state machine turns bytes to text,
-holding back the bytes of a character until it is complete (``ByteToText``).
+holding back the bytes of a character until it is complete (``IdsToText``).
 
 Edge cases: null counts as empty (no tokens, empty text). The strings of added tokens in a
 text become their ids, as the tokenizers library does by default. Very long texts and
@@ -37,12 +38,14 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import arrow_out
+from .language_id import ExactTable
 
 # Fixed value: the split pattern of byte-level BPE vocabularies.
 SPLIT = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 
 SLICE_CHARS = 1 << 16
-CACHE_PIECES = 200_000
+GROUP_PIECES = 200_000
+CACHE_PIECES = 500_000
 CACHE_PIECE_BYTES = 64
 
 
@@ -103,6 +106,7 @@ class Vocabulary:
         for token, i in self.added.items():
             self.text[i] = token.encode()
         self.lookahead = sufficient_lookahead(self.merges)
+        self.windows = Windows(self.of_byte, self.rank)
 
 
 def merge(ids: list[int], rank: dict) -> list[int]:
@@ -134,6 +138,60 @@ def merge(ids: list[int], rank: dict) -> list[int]:
     return [t for t in ids if t >= 0]
 
 
+class Windows:
+    """BPE of many short windows at once: in each round every window makes its lowest-ranked merge, leftmost first."""
+
+    NONE = np.int32(2**31 - 1)
+
+    def __init__(self, of_byte: list[int], rank: dict[tuple[int, int], tuple[int, int]]):
+        self.of_byte = np.array(of_byte, np.int32)
+        pairs = sorted(rank, key=lambda p: rank[p][0])
+        self.order = np.array([rank[p][0] for p in pairs], np.int32)
+        self.made = np.zeros(int(self.order.max(initial=0)) + 1, np.int32)
+        self.made[self.order] = [rank[p][1] for p in pairs]
+        self.table = ExactTable(np.array([a << 32 | b for a, b in pairs], np.uint64))
+
+    def ranks(self, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+        found = self.table.find((a.astype(np.uint64) << np.uint64(32)) | b.astype(np.uint64))
+        return np.where(found >= 0, self.order[found], self.NONE)
+
+    def merge(self, windows: list[bytes]) -> list[bytes]:
+        """Ids of each window as little-endian unsigned 32-bit integers."""
+        sizes = np.array([len(w) for w in windows])
+        width = int(sizes.max(initial=1)) + 1
+        ids = np.full((len(windows), width), -1, np.int32)  # -1: past the end
+        inside = np.arange(width) < sizes[:, None]
+        ids[inside] = self.of_byte[np.frombuffer(b"".join(windows), np.uint8)]
+        rank = np.full((len(windows), width), self.NONE)
+        pair = inside[:, 1:]
+        rank[:, :-1][pair] = self.ranks(ids[:, :-1][pair], ids[:, 1:][pair])
+        live = np.arange(len(windows))
+        while len(live):
+            r = rank[live]
+            at = r.argmin(axis=1)
+            best = r[np.arange(len(live)), at]
+            some = best != self.NONE
+            live, at, best = live[some], at[some], best[some]
+            if not len(live):
+                break
+            sizes[live] -= 1
+            rest = np.arange(width - 1) > at[:, None]  # all after the merged pair moves up by one
+            for table in (ids, rank):
+                t = table[live]
+                t[:, :-1] = np.where(rest, t[:, 1:], t[:, :-1])
+                table[live] = t
+            ids[live, at] = self.made[best]
+            for left in (at - 1, at):
+                known = (left >= 0) & (left + 1 < sizes[live])
+                row, left = live[known], left[known]
+                rank[row, left] = self.ranks(ids[row, left], ids[row, left + 1])
+            last = sizes[live] - 1
+            rank[live, last] = self.NONE
+        flat = ids[np.arange(width) < sizes[:, None]].astype("<u4").tobytes()
+        ends = (4 * np.cumsum(sizes)).tolist()
+        return [flat[a:b] for a, b in zip([0, *ends], ends)]
+
+
 class Encoder:
     """Streaming transducer from text to token ids; ids leave as little-endian unsigned 32-bit integers."""
 
@@ -162,16 +220,22 @@ class Encoder:
         if held:
             yield merge([v.of_byte[b] for b in held], v.rank)
 
-    def piece(self, piece: str) -> bytes:
-        """Ids of one piece of the split; what is short is cached."""
+    def long_piece(self, piece: str) -> Iterator[bytes]:
+        """Ids of a piece that isn't cached."""
         data = piece.encode()
-        parts = (data[i:i + self.window] for i in range(0, len(data), self.window))
-        out = b"".join(np.array(ids, "<u4").tobytes() for ids in self.transduce(parts))
-        if len(data) <= CACHE_PIECE_BYTES:
-            if len(self.cache) >= CACHE_PIECES:
-                self.cache.clear()
-            self.cache[piece] = out
-        return out
+        for ids in self.transduce(data[i:i + self.window] for i in range(0, len(data), self.window)):
+            yield np.array(ids, "<u4").tobytes()
+
+    def learn(self, pieces: set[str]) -> None:
+        """Cache the ids of short pieces. A piece that fits the window is merged at its end, so all of them go together."""
+        if len(self.cache) + len(pieces) > CACHE_PIECES:
+            self.cache = {"": b""}
+        by_size: dict[int, list[tuple[str, bytes]]] = {}
+        for p in pieces:
+            data = p.encode()
+            by_size.setdefault(max(4, (len(data) - 1).bit_length()), []).append((p, data))
+        for some in by_size.values():
+            self.cache.update(zip([p for p, _ in some], self.vocab.windows.merge([d for _, d in some])))
 
     def slices(self, text: str) -> Iterator[str]:
         """Slices of the text that end before white space after a character that isn't white space."""
@@ -185,24 +249,57 @@ class Encoder:
         if at < len(text):
             yield text[at:]
 
-    def plain(self, text: str) -> Iterator[bytes]:
-        cache, piece = self.cache, self.piece
-        for part in self.slices(text):
-            words = self.split.findall(part)
-            try:
-                yield b"".join([cache[w] for w in words])
-            except KeyError:
-                yield b"".join([cache.get(w) or piece(w) for w in words])
-
-    def encode(self, text: str) -> Iterator[bytes]:
-        """Ids of a text, slice by slice."""
+    def parts(self, text: str) -> Iterator[list[str] | bytes]:
+        """The pieces of each slice of the text, and the ids of added tokens between them."""
         at = 0
         if self.specials:
             for m in self.specials.finditer(text):
-                yield from self.plain(text[at:m.start()])
+                for part in self.slices(text[at:m.start()]):
+                    yield self.split.findall(part)
                 yield self.vocab.added[m.group()].to_bytes(4, "little")
                 at = m.end()
-        yield from self.plain(text[at:] if at else text)
+        for part in self.slices(text[at:] if at else text):
+            yield self.split.findall(part)
+
+    def encode_many(self, texts: Iterable[str]) -> Iterator[tuple[int, bytes]]:
+        """(number of the text, ids) in order, slice by slice; the slices of about GROUP_PIECES pieces are looked at together."""
+        held: list[tuple[int, list[str] | bytes]] = []
+        size = 0
+        for number, text in enumerate(texts):
+            for part in self.parts(text):
+                held.append((number, part))
+                size += len(part)
+                if size >= GROUP_PIECES:
+                    yield from self._group(held)
+                    held, size = [], 0
+        yield from self._group(held)
+
+    def _group(self, held: list[tuple[int, list[str] | bytes]]) -> Iterator[tuple[int, bytes]]:
+        known = self.cache
+        new = {w for _, part in held if not isinstance(part, bytes) for w in part if w not in known}
+        large = {w for w in new if len(w.encode()) > CACHE_PIECE_BYTES}
+        if new:
+            if len(known) + len(new) > CACHE_PIECES:  # the cache starts anew with all pieces of this group
+                new = {w for _, part in held if not isinstance(part, bytes) for w in part}
+            self.learn(new - large)
+        known = self.cache
+        for number, part in held:
+            if isinstance(part, bytes):
+                yield number, part
+            elif not large or large.isdisjoint(part):
+                yield number, b"".join([known[w] for w in part])
+            else:
+                for w in part:
+                    if w in large:
+                        for ids in self.long_piece(w):
+                            yield number, ids
+                    else:
+                        yield number, known[w]
+
+    def encode(self, text: str) -> Iterator[bytes]:
+        """Ids of a text, slice by slice."""
+        for _, ids in self.encode_many([text]):
+            yield ids
 
 
 @lru_cache(1 << 12)
@@ -210,14 +307,16 @@ def _is_space(c: str) -> bool:
     return regex.match(r"\s", c) is not None
 
 
-class ByteToText:
-    """Incremental state machine from token bytes to text: incomplete characters wait for their next bytes."""
+class IdsToText:
+    """Incremental state machine from ids to text: ids become bytes, incomplete characters wait for their next bytes."""
 
-    def __init__(self):
+    def __init__(self, of_id: list[bytes]):
+        self.of_id = of_id
         self.machine = codecs.getincrementaldecoder("utf-8")("replace")
 
-    def feed(self, data: bytes) -> str:
-        return self.machine.decode(data)
+    def feed(self, ids: bytes) -> str:
+        of_id = self.of_id
+        return self.machine.decode(b"".join([of_id[i] for i in np.frombuffer(ids, "<u4").tolist()]))
 
     def close(self) -> str:
         return self.machine.decode(b"", True)
@@ -227,10 +326,13 @@ class Decoder:
     def __init__(self, vocab: Vocabulary):
         self.text = vocab.text
 
+    def machine(self) -> IdsToText:
+        return IdsToText(self.text)
+
     def decode(self, id_slices: Iterable[bytes]) -> Iterator[str]:
-        machine, text = ByteToText(), self.text
+        machine = self.machine()
         for ids in id_slices:
-            yield machine.feed(b"".join([text[i] for i in np.frombuffer(ids, "<u4").tolist()]))
+            yield machine.feed(ids)
         yield machine.close()
 
 
@@ -254,25 +356,24 @@ def encode_documents(docs: DataFrame, vocabulary: str, id_col: str = "doc_id", t
         for b in batches:
             ids = b.column(0)
             out: dict = {id_col: ids, "n_tokens": [], "ids_sha256": [], "decoded_sha256": [], "token_ids": [], "decoded": []}
-            for value in b.column(1):
-                kept_ids, kept_text, n = [], [], 0
-                of_ids, of_text = hashlib.sha256(), hashlib.sha256()
-
-                def passed(stream):
-                    nonlocal n
-                    for part in stream:
-                        of_ids.update(part)
-                        n += len(part) // 4
-                        if with_ids:
-                            kept_ids.append(part)
-                        yield part
-
-                for text in decoder.decode(passed(encoder.encode(value.as_py() or ""))):
+            rows = encoder.encode_many(value.as_py() or "" for value in b.column(1))
+            number, part = next(rows, (-1, b""))
+            for row in range(b.num_rows):
+                of_ids, of_text, machine, n = hashlib.sha256(), hashlib.sha256(), decoder.machine(), 0
+                kept_ids, kept_text = [], []
+                while number == row:
+                    of_ids.update(part)
+                    n += len(part) // 4
+                    text = machine.feed(part)
                     of_text.update(text.encode())
                     if with_ids:
+                        kept_ids.append(part)
                         kept_text.append(text)
+                    number, part = next(rows, (-1, b""))
+                text = machine.close()
+                of_text.update(text.encode())
                 for name, x in (("n_tokens", n), ("ids_sha256", of_ids.hexdigest()), ("decoded_sha256", of_text.hexdigest()),
-                                ("token_ids", b"".join(kept_ids)), ("decoded", "".join(kept_text))):
+                                ("token_ids", b"".join(kept_ids)), ("decoded", "".join([*kept_text, text]))):
                     out[name].append(x)
             names = [(id_col, ids.type), ("n_tokens", pa.int64()), ("ids_sha256", pa.string()), ("decoded_sha256", pa.string())]
             if with_ids:

@@ -8,7 +8,7 @@ import public_tokenizers
 import pytest
 from tokenizers import Tokenizer
 
-from govlake.llm.bpe import ByteToText, Decoder, Encoder, Vocabulary, encode_documents, merge, sufficient_lookahead
+from govlake.llm.bpe import Decoder, Encoder, IdsToText, Vocabulary, encode_documents, merge, sufficient_lookahead
 from govlake.llm.queries import op3_bpe
 
 PATH = public_tokenizers.path("byte_bpe_50k.json")
@@ -60,6 +60,13 @@ def test_window_of_lookahead_is_enough(vocab):
         assert [t for out in encoder.transduce(parts) for t in out] == whole
 
 
+def test_many_windows_at_once_equal_one_by_one(vocab):
+    rng = random.Random(9)
+    windows = [bytes(rng.choices(b"abcdeinorst- ", k=rng.randint(1, 40))) for _ in range(3000)] + [b"a" * n for n in range(1, 65)] + [bytes([b]) for b in range(256)]
+    for w, got in zip(windows, vocab.windows.merge(windows)):
+        assert np.frombuffer(got, "<u4").tolist() == merge([vocab.of_byte[b] for b in w], vocab.rank)
+
+
 def test_lookahead_of_small_merge_lists():
     assert sufficient_lookahead([(b"a", b"b")]) == 1
     # b c is merged before a b, so whether a takes b depends on one byte after it
@@ -94,8 +101,8 @@ def test_random_small_vocabularies_need_no_more_than_their_lookahead():
 
 def test_machine_holds_back_incomplete_characters():
     data = "é中😀a".encode() + b"\xff" + "é".encode()[:1]
-    machine = ByteToText()
-    assert "".join(machine.feed(data[i:i + 1]) for i in range(len(data))) + machine.close() == data.decode("utf-8", "replace")
+    machine = IdsToText([bytes([b]) for b in range(256)])
+    assert "".join(machine.feed(data[i].to_bytes(4, "little")) for i in range(len(data))) + machine.close() == data.decode("utf-8", "replace")
 
 
 def test_documents(odd_docs, make_docs, rows_of, texts_of, library):
