@@ -30,8 +30,12 @@ class Ftrl:
     epochs: int = 4
 
     def fit(self, rows: list[tuple[np.ndarray, np.ndarray]], labels: np.ndarray, size: int) -> np.ndarray:
-        """Weights of ``size`` features and, last, the bias (not penalised). A row is (indices, values)."""
+        """Weights of ``size`` features and, last, the bias (not penalised). A row is (indices, values).
+
+        The bias starts at the log-odds of the labels, so that few rows do not leave it at even odds.
+        """
         z, n = np.zeros(size + 1), np.zeros(size + 1)
+        prior = float(np.log((labels.sum() + 0.5) / (len(labels) - labels.sum() + 0.5))) if len(labels) else 0.0
 
         def weights(i):
             zi, ni = z[i], n[i]
@@ -43,7 +47,7 @@ class Ftrl:
         for _ in range(self.epochs):
             for (idx, val), y in zip(rows, labels):
                 w = weights(idx)
-                p = 1 / (1 + np.exp(-np.clip(w @ val + bias, -35, 35)))
+                p = 1 / (1 + np.exp(-np.clip(w @ val + bias + prior, -35, 35)))
                 g = (p - y) * val
                 s = (np.sqrt(n[idx] + g * g) - np.sqrt(n[idx])) / self.alpha
                 z[idx] += g - s * w
@@ -53,8 +57,7 @@ class Ftrl:
                 z[size] += gb - sb * bias
                 n[size] += gb * gb
                 bias = -z[size] * self.alpha / (self.beta + np.sqrt(n[size]))
-        out = np.append(weights(np.arange(size)), bias)
-        return out
+        return np.append(weights(np.arange(size)), bias + prior)
 
 
 def labelled_sample(docs: DataFrame, labels: DataFrame, label_col: str, rows: int,

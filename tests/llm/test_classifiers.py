@@ -17,13 +17,14 @@ def test_ftrl_matches_the_update_rule():
     rows = [(np.array([0, 2]), np.array([1.0, 2.0])), (np.array([1]), np.array([-1.0])), (np.array([0, 1]), np.array([0.5, 1.0]))]
     labels = np.array([1.0, 0.0, 1.0])
     z, n, w = [0.0] * 4, [0.0] * 4, [0.0] * 4
+    prior = np.log(2.5 / 1.5)
     for _ in range(2):
         for (idx, val), y in zip(rows, labels):
             pairs = [*zip(idx, val), (3, 1.0)]
             for i, _ in pairs:
                 l1, l2 = (0, 0) if i == 3 else (0.1, 0.2)
                 w[i] = 0.0 if abs(z[i]) <= l1 else -(z[i] - np.sign(z[i]) * l1) / ((1 + n[i] ** 0.5) / 0.3 + l2)
-            p = 1 / (1 + np.exp(-sum(w[i] * v for i, v in pairs)))
+            p = 1 / (1 + np.exp(-prior - sum(w[i] * v for i, v in pairs)))
             for i, v in pairs:
                 g = (p - y) * v
                 s = ((n[i] + g * g) ** 0.5 - n[i] ** 0.5) / 0.3
