@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from govlake.config import ContractConfig
-from govlake.schemas import BLOCK_RECORD, JSON_RECORD
+from govlake.schemas import BLOCK_RECORD, JSON_RECORD, RECEIPT_EXECUTION_OUTCOME
 from govlake.sources.fixtures import FAILURE_TEXT, GAS_PRICE, TOTAL_SUPPLY, event_rows
 
 
@@ -35,11 +35,17 @@ def nested_from_rows(e: DataFrame) -> DataFrame:
         F.when(st == "Unknown", F.lit(True)).alias("Unknown"),
     )
     action = F.struct(
-        F.struct(F.col("method_name").alias("method_name"), F.encode("args_text", "UTF-8").alias("args"),
+        F.struct(F.col("method_name").alias("method_name"), F.col("args_bytes").alias("args"),
                  F.col("gas").alias("gas"), F.col("deposit").alias("deposit")).alias("FunctionCall"),
         F.lit(None).cast("struct<deposit:string>").alias("Transfer"),
         F.lit(None).cast("struct<stake:string,public_key:string>").alias("Stake"),
     )
+    transfer = F.struct(
+        F.lit(None).cast("struct<method_name:string,args:binary,gas:bigint,deposit:string>").alias("FunctionCall"),
+        F.struct(F.lit("1").alias("deposit")).alias("Transfer"),
+        F.lit(None).cast("struct<stake:string,public_key:string>").alias("Stake"),
+    )
+    actions = F.concat(F.array_repeat(transfer, F.col("n_before")), F.array_repeat(action, F.col("n_calls")))
     reo = F.struct(
         F.struct(
             F.col("receipt_id").alias("receipt_id"), F.col("receiver_id").alias("receiver_id"),
@@ -47,7 +53,7 @@ def nested_from_rows(e: DataFrame) -> DataFrame:
             F.struct(
                 F.struct(F.col("signer_account_id").alias("signer_id"),
                          F.concat(F.lit("ed25519:"), F.md5("signer_account_id")).alias("signer_public_key"),
-                         F.lit(GAS_PRICE).alias("gas_price"), F.array(action).alias("actions")).alias("Action"),
+                         F.lit(GAS_PRICE).alias("gas_price"), actions.alias("actions")).alias("Action"),
                 F.lit(None).cast("struct<data_id:string,data:binary>").alias("Data"),
             ).alias("receipt"),
         ).alias("receipt"),
@@ -59,11 +65,20 @@ def nested_from_rows(e: DataFrame) -> DataFrame:
             F.col("receiver_id").alias("executor_id"), status.alias("status"),
         ).alias("outcome"))).alias("execution_outcome"),
     )
+    action_type = "struct<signer_id:string,signer_public_key:string,gas_price:string,actions:array<" \
+        "struct<FunctionCall:struct<method_name:string,args:binary,gas:bigint,deposit:string>," \
+        "Transfer:struct<deposit:string>,Stake:struct<stake:string,public_key:string>>>>"
+    data = reo.withField("receipt", reo["receipt"].withField("receipt_id", F.concat(F.lit("d"), F.col("event_id").cast("string")))
+                         .withField("receipt", F.struct(
+                             F.lit(None).cast(action_type).alias("Action"),
+                             F.struct(F.col("receipt_id").alias("data_id"), F.lit(b"x").cast("binary").alias("data")).alias("Data")))) \
+        .withField("execution_outcome", F.lit(None).cast(RECEIPT_EXECUTION_OUTCOME["execution_outcome"].dataType))
+    e = e.withColumn("reos", F.when(F.col("event_id") % 10 == 7, F.array(reo, data)).otherwise(F.array(reo)))
     # one shuffle: receipts are grouped per block, shards are carved out of the block's
     # (small, bounded) receipt list with array functions
     blocks = e.groupBy("b", "height", "prev_height").agg(
         F.min("ts").alias("ts"),
-        F.array_sort(F.collect_list(F.struct(F.col("shard"), F.col("event_id"), reo.alias("reo")))).alias("items"),
+        F.array_sort(F.collect_list(F.struct(F.col("shard"), F.col("event_id"), F.col("reos")))).alias("items"),
     )
     shard_ids = F.array_distinct(F.transform("items", lambda i: i["shard"]))
 
@@ -73,7 +88,7 @@ def nested_from_rows(e: DataFrame) -> DataFrame:
             F.when(sid != 3, F.struct(F.struct(
                 F.md5(F.concat_ws("/", F.col("height").cast("string"), sid.cast("string")))
                 .alias("chunk_hash")).alias("header"))).alias("chunk"),
-            F.transform(F.filter("items", lambda i: i["shard"] == sid), lambda i: i["reo"])
+            F.flatten(F.transform(F.filter("items", lambda i: i["shard"] == sid), lambda i: i["reos"]))
             .alias("receipt_execution_outcomes"),
         )
 

@@ -1,7 +1,9 @@
 """Synthetic governance facts derived from the driver's ``events`` table.
 
-One event becomes one receipt with one FunctionCall action and (usually) one
-execution outcome; ten consecutive events form a block. The mapping rules are
+One event becomes one receipt with a FunctionCall action (in some receipts after
+transfers, in some twice) and (usually) one execution outcome, and some events a Data receipt too;
+ten consecutive events form a block. Some arguments are no JSON, no UTF-8, repeat a key or
+hold numbers that are no DECIMAL(38,0), some logs are NULL, some receivers upper-case. The mapping rules are
 fixed so that an independent SQL engine can derive the very same facts (see
 ``oracle/``). Everything is row-local except the block timestamp, which is the
 first event time of the block (one window shuffle on the block number).
@@ -40,6 +42,9 @@ FAILURE_TEXT = "Smart contract panicked"
 GAS_PRICE = "100000000"
 TOTAL_SUPPLY = "1000000000000000000000000000000000"
 FIRST_HEIGHT = 1000
+TAIL = "] junk"                      # text after a document that closes its wrapping bracket
+BAD_UTF8_HEX = "FFFEFD"
+LONG_AMOUNT = "9" * 39
 # -----------------------------------------------------------------------------
 
 
@@ -72,6 +77,8 @@ def event_rows(events: DataFrame, cfg: ContractConfig = ContractConfig()) -> Dat
             WHEN r = 0 THEN 'create_proposal'
             WHEN r = 1 THEN CASE WHEN q % 4 <> 3 THEN 'approve_proposal' ELSE 'reject_proposal' END
             WHEN r = 2 THEN 'on_get_snapshot'
+            WHEN r = 5 AND q % 10 = 3 THEN 'approve_proposal'
+            WHEN r = 5 AND q % 10 = 7 THEN 'reject_proposal'
             WHEN event_id = 3 THEN 'new'
             WHEN event_type = 'click' THEN 'vote'
             WHEN event_type = 'signup' THEN CASE WHEN event_id % 2 = 0 THEN 'on_lockup_deployed' ELSE 'storage_deposit' END
@@ -82,7 +89,9 @@ def event_rows(events: DataFrame, cfg: ContractConfig = ContractConfig()) -> Dat
     e = e.withColumns({
         "receiver_id": F.expr(f"""CASE
             WHEN method_name IN ({_sql_list(LOCKUP_ACCOUNT_METHODS)}) THEN concat('lk', cast(user_id as string), '.{v}')
+            WHEN method_name = 'vote' AND event_id % 59 = 58 THEN upper('{vote}')
             WHEN method_name IN ({_sql_list(PROPOSAL_METHODS)}) THEN '{vote}'
+            WHEN method_name = 'other' AND k % 4 = 1 THEN initcap('{v}')
             WHEN method_name = 'other' AND k % 2 = 0 THEN concat('x', cast(user_id as string), '.elsewhere.test')
             ELSE '{v}' END"""),
         "predecessor_id": F.expr(f"CASE WHEN method_name IN ({_sql_list(CALLBACK_METHODS)}) THEN '{v}' ELSE acct END"),
@@ -97,7 +106,11 @@ def event_rows(events: DataFrame, cfg: ContractConfig = ContractConfig()) -> Dat
             WHEN event_id % 2 = 0 THEN 'SuccessReceiptId'
             ELSE 'SuccessValue' END"""),
         "has_outcome": F.expr("NOT (r > 3 AND event_id % 97 = 96)"),
-        "args_text": F.expr(f"""CASE
+        # amounts that are no whole number of 38 digits at most
+        "arg_amt": F.expr(f"CASE WHEN event_id % 67 = 66 THEN '1.5' WHEN event_id % 61 = 60 THEN '{LONG_AMOUNT}' ELSE amt END"),
+    })
+    e = e.withColumns({
+        "plain_args": F.expr(f"""CASE
             WHEN r > 3 AND event_id % 89 = 88 THEN 'not json'
             WHEN r > 3 AND event_id % 83 = 82 THEN '{{"error":"boom","proposal_id":1}}'
             WHEN method_name = 'create_proposal' THEN concat('{{"metadata":{{"title":"P', q, '","description":"d', q,
@@ -110,10 +123,20 @@ def event_rows(events: DataFrame, cfg: ContractConfig = ContractConfig()) -> Dat
             WHEN method_name = 'on_lockup_deployed' THEN concat('{{"account_id":"', acct, '","lockup_deposit":"', amt, '"}}')
             WHEN method_name = 'storage_deposit' THEN concat('{{"account_id":"', acct, '"}}')
             WHEN method_name = 'delegate_all' THEN concat('{{"receiver_id":"', dlg, '"}}')
-            WHEN method_name IN ({_sql_list(AMOUNT_ARG_METHODS)}) THEN concat('{{"amount":"', amt, '"}}')
+            WHEN method_name IN ({_sql_list(AMOUNT_ARG_METHODS)}) THEN concat('{{"amount":"', arg_amt, '"}}')
             WHEN method_name = 'new' THEN '{{"venear_growth_config":{{"annual_growth_rate_ns":{{"numerator":"{GROWTH_NUMERATOR}","denominator":"{GROWTH_DENOMINATOR}"}}}}}}'
             ELSE '{{}}' END"""),
     })
+    e = e.withColumn("args_text", F.expr(f"""CASE
+            WHEN r > 3 AND event_id % 79 = 78 THEN concat(plain_args, '{TAIL}')
+            WHEN r > 3 AND method_name = 'vote' AND event_id % 73 = 72 THEN concat('{{"proposal_id":999999,', substr(plain_args, 2))
+            ELSE plain_args END"""))
+    e = e.withColumns({
+        "args_bytes": F.expr(f"CASE WHEN r > 3 AND event_id % 71 = 70 THEN unhex('{BAD_UTF8_HEX}') ELSE encode(args_text, 'UTF-8') END"),
+        # actions of the receipt: transfers before the call, and how often the call comes
+        "n_before": F.expr("cast(CASE WHEN r > 3 AND event_id % 5 = 4 THEN 1 + event_id % 2 ELSE 0 END as int)"),
+        "n_calls": F.expr("CASE WHEN method_name = 'on_lockup_update' AND event_id % 3 = 0 THEN 2 ELSE 1 END"),
+    })
 
     def ev(event, data):
         return f"""concat('EVENT_JSON:{{"standard":"venear","version":"1.0.0","event":"{event}","data":[{{', {data}, '}}]}}')"""
@@ -122,6 +145,7 @@ def event_rows(events: DataFrame, cfg: ContractConfig = ContractConfig()) -> Dat
         return ev(event, f"""'"owner_id":"', {owner}, '","amount":"', amt, '"'""")
 
     e = e.withColumn("logs", F.expr(f"""CASE
+        WHEN r > 3 AND event_id % 53 = 52 THEN CAST(NULL AS array<string>)
         WHEN status IN ('Failure', 'Unknown') THEN CAST(array() AS array<string>)
         WHEN method_name = 'create_proposal' THEN array({ev('create_proposal', "'\"proposal_id\":', q")})
         WHEN method_name = 'vote' THEN array({ev('add_vote', "'\"account_balance\":\"', amt, '\"'")})
@@ -177,14 +201,15 @@ class Facts:
 
 def facts_from_rows(rows: DataFrame) -> Facts:
     hot = rows.where("is_contract")
-    actions = hot.select(
-        F.concat("receipt_id", F.lit("-0")).alias("id"),
+    calls = hot.withColumn("action_index", F.explode(F.sequence(F.col("n_before"), F.col("n_before") + F.col("n_calls") - 1)))
+    actions = calls.select(
+        F.concat_ws("-", "receipt_id", F.col("action_index").cast("string")).alias("id"),
         F.col("height").alias("block_height"), "receipt_id", "signer_account_id",
         F.concat(F.lit("ed25519:"), F.md5("signer_account_id")).alias("signer_public_key"),
         F.lit(GAS_PRICE).alias("gas_price"), F.lit("FunctionCall").alias("action_kind"),
         "predecessor_id", "receiver_id", "block_hash", "chunk_hash", "author", "method_name", "gas", "deposit",
-        b64_encode(F.encode("args_text", "UTF-8")).alias("args_base64"),
-        F.lit(0).alias("action_index"), "block_timestamp",
+        b64_encode("args_bytes").alias("args_base64"),
+        F.col("action_index").cast("int").alias("action_index"), "block_timestamp",
     )
     actions = actions.withColumn("args_json", args_json_text(F.col("args_base64"))).select(*ACTION_COLUMNS)
     outcomes = hot.where("has_outcome").select(

@@ -25,6 +25,8 @@ ev1 AS (
       WHEN r = 1 AND q % 4 <> 3 THEN 'approve_proposal'
       WHEN r = 1 THEN 'reject_proposal'
       WHEN r = 2 THEN 'on_get_snapshot'
+      WHEN r = 5 AND q % 10 = 3 THEN 'approve_proposal'
+      WHEN r = 5 AND q % 10 = 7 THEN 'reject_proposal'
       WHEN event_id = 3 THEN 'new'
       WHEN event_type = 'click' THEN 'vote'
       WHEN event_type = 'signup' AND event_id % 2 = 0 THEN 'on_lockup_deployed'
@@ -44,6 +46,8 @@ ev2 AS (
       WHEN method_name IN ('lock_near', 'begin_unlock_near', 'lock_pending_near', 'unstake', 'unstake_all',
                            'withdraw_from_staking_pool', 'withdraw_all_from_staking_pool')
         THEN 'lk' || CAST(user_id AS VARCHAR) || '.v.hos.test'
+      WHEN method_name = 'vote' AND event_id % 59 = 58 THEN 'VOTE.HOS.TEST'
+      WHEN method_name = 'other' AND k % 4 = 1 THEN 'V.hos.test'
       WHEN method_name IN ('vote', 'create_proposal', 'approve_proposal', 'reject_proposal', 'on_get_snapshot')
         THEN 'vote.hos.test'
       WHEN method_name = 'other' AND k % 2 = 0 THEN 'x' || CAST(user_id AS VARCHAR) || '.elsewhere.test'
@@ -82,18 +86,25 @@ ev3 AS (
       WHEN method_name = 'storage_deposit' THEN '{"account_id":"' || acct || '"}'
       WHEN method_name = 'delegate_all' THEN '{"receiver_id":"' || dlg || '"}'
       WHEN method_name IN ('lock_near', 'begin_unlock_near', 'lock_pending_near', 'unstake',
-                           'withdraw_from_staking_pool') THEN '{"amount":"' || amt || '"}'
+                           'withdraw_from_staking_pool') THEN '{"amount":"' || CASE WHEN event_id % 67 = 66 THEN '1.5' WHEN event_id % 61 = 60 THEN repeat('9', 39) ELSE amt END || '"}'
       WHEN method_name = 'new' THEN
         '{"venear_growth_config":{"annual_growth_rate_ns":{"numerator":"1902587519026","denominator":"1000000000000000000000000000000"}}}'
       ELSE '{}'
-    END AS args_text,
+    END AS plain_args,
+    CASE WHEN r > 3 AND event_id % 5 = 4 THEN 1 + event_id % 2 ELSE 0 END AS n_before,
+    CASE WHEN method_name = 'on_lockup_update' AND event_id % 3 = 0 THEN 2 ELSE 1 END AS n_calls,
     'EVENT_JSON:{"standard":"venear","version":"1.0.0","event":"' AS evp,
     '","data":[{"owner_id":"' AS own
   FROM ev2
 ),
 ev AS (
   SELECT *,
+    CASE WHEN r > 3 AND event_id % 79 = 78 THEN plain_args || '] junk'
+         WHEN r > 3 AND method_name = 'vote' AND event_id % 73 = 72 THEN '{"proposal_id":999999,' || substr(plain_args, 2)
+         ELSE plain_args END AS args_text,
+    (r > 3 AND event_id % 71 = 70) AS bad_utf8,
     CASE
+      WHEN r > 3 AND event_id % 53 = 52 THEN NULL
       WHEN status IN ('Failure', 'Unknown') THEN []::VARCHAR[]
       WHEN method_name = 'create_proposal' THEN [evp || 'create_proposal","data":[{"proposal_id":' || q || '}]}']
       WHEN method_name = 'vote' THEN [evp || 'add_vote","data":[{"account_balance":"' || amt || '"}]}']
@@ -144,15 +155,15 @@ ev AS (
   FROM ev3
 ),
 receipt_actions AS (
-  SELECT receipt_id || '-0' AS id, height AS block_height, receipt_id, signer_account_id,
+  SELECT receipt_id || '-' || action_index AS id, height AS block_height, receipt_id, signer_account_id,
          'ed25519:' || md5(signer_account_id) AS signer_public_key, '100000000' AS gas_price,
          'FunctionCall' AS action_kind, predecessor_id, receiver_id, block_hash, chunk_hash, author, method_name,
          CAST(10000000000000 * (1 + k % 3) AS BIGINT) AS gas,
          CASE WHEN method_name = 'storage_deposit' THEN amt ELSE '0' END AS deposit,
-         base64(encode(args_text)) AS args_base64,
-         CASE WHEN json_valid(args_text) THEN args_text ELSE '{"value":"invalid json"}' END AS args_json,
-         0 AS action_index, block_ts AS block_timestamp
-  FROM ev WHERE is_contract
+         base64(CASE WHEN bad_utf8 THEN from_hex('FFFEFD') ELSE encode(args_text) END) AS args_base64,
+         CASE WHEN NOT bad_utf8 AND json_valid(args_text) THEN args_text ELSE '{"value":"invalid json"}' END AS args_json,
+         CAST(action_index AS INTEGER) AS action_index, block_ts AS block_timestamp
+  FROM (SELECT *, unnest(range(n_before, n_before + n_calls)) AS action_index FROM ev WHERE is_contract)
 ),
 execution_outcomes AS (
   SELECT receipt_id, height AS block_height, block_hash, chunk_hash, CAST(shard AS VARCHAR) AS shard_id,
