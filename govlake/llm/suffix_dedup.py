@@ -46,8 +46,8 @@ MIN_LENGTH = 400
 GRAM = 64
 PIECE = 1 << 19  # windows looked at together
 MAX_STRETCH = 4096  # windows of one stretch
-KEY_BYTES = 1 << 20  # different stretches of one key in one task
-CHUNK_BYTES = 1 << 20  # stretches of several keys in one transform
+KEY_BYTES = 1 << 19  # different stretches of one key in one task
+CHUNK_BYTES = 3 << 18  # stretches of several keys in one transform
 
 _rng = random.Random(6)
 GEAR = np.array([_rng.getrandbits(64) for _ in range(256)], np.uint64)
@@ -104,63 +104,49 @@ def digest(data: bytes) -> tuple[int, int]:
 # ---- the transform -----------------------------------------------------------------
 
 
-def sorted_suffixes(symbols: np.ndarray, string_of: np.ndarray, strings: int, depth: int) -> np.ndarray:
-    """Suffixes in the order of their first ``depth`` symbols or more; 0 ends a string, ends are ordered by string.
-
-    Prefix doubling from four symbols.
-    """
-    n = len(symbols)
-    s = symbols.astype(np.uint64)
-    pad = np.concatenate([s, np.zeros(3, np.uint64)])
-    key = s.copy()
-    open_ = s > 0
-    for j in (1, 2, 3):
-        nxt = np.where(open_, pad[j:j + n], np.uint64(0))
-        key = (key << np.uint64(9)) | nxt
-        open_ &= nxt > 0
-    key = (key << np.uint64(27)) | np.where(open_, np.uint64(0), string_of.astype(np.uint64))
-    order = np.argsort(key)
-    rank = np.empty(n, np.uint64)
-
-    def ranked(sorted_keys):
-        new = np.concatenate([[0], np.cumsum(sorted_keys[1:] != sorted_keys[:-1])])
-        rank[order] = new
-        return int(new[-1]) + 1
-
-    kinds = ranked(key[order])
-    done = 4
-    while done < depth and kinds < n:
-        ahead = np.zeros(n, np.uint64)
-        ahead[:-done] = rank[done:]
-        key = (rank << np.uint64(32)) | ahead
+def sorted_suffixes(codes: np.ndarray, bits: int, depth: int) -> np.ndarray:
+    """Suffixes in the order of their first ``depth`` codes or more, by prefix doubling from as many as fit 64 bits."""
+    n = len(codes)
+    done = 64 // bits
+    key = np.zeros(n, np.uint64)
+    padded = np.concatenate([codes, np.zeros(done, codes.dtype)])
+    for j in range(done):
+        key <<= np.uint64(bits)
+        key |= padded[j:j + n]
+    while True:
         order = np.argsort(key)
-        kinds = ranked(key[order])
+        key = key[order]
+        new = np.empty(n, np.uint32)
+        new[0] = 0
+        np.cumsum(key[1:] != key[:-1], out=new[1:])
+        kinds = int(new[-1]) + 1
+        if done >= depth or kinds == n:
+            return order.astype(np.int32)
+        rank = np.empty(n, np.uint32)
+        rank[order] = new
+        key = rank.astype(np.uint64) << np.uint64(32)
+        key[:-done] |= rank[done:]
         done *= 2
-    return order
 
 
 class Transform:
-    """Burrows-Wheeler transform as a wavelet matrix, for backward extension of many intervals at once."""
-
-    def __init__(self, symbols: np.ndarray, order: np.ndarray):
-        bwt = symbols[order - 1]  # the first suffix is preceded by the end of the last string
-        present = np.flatnonzero(np.bincount(symbols, minlength=257))
-        code = np.zeros(257, np.int64)
-        code[present] = np.arange(len(present))
-        counts = np.bincount(code[symbols], minlength=len(present))
+    """Burrows-Wheeler transform as a wavelet matrix, for backward extension of many intervals at once. Code 0 ends a string."""
+
+    def __init__(self, codes: np.ndarray, bits: int, order: np.ndarray):
+        counts = np.bincount(codes, minlength=1 << bits)
         self.first = np.concatenate([[0], np.cumsum(counts)[:-1]])
-        self.levels = max(1, int(len(present) - 1).bit_length())
-        x = code[bwt]
+        x = codes[order - 1]  # the suffix that is the whole text is preceded by the end of the last string
         self.zeros, self.split = [], []
-        for level in range(self.levels - 1, -1, -1):
-            bit = (x >> level) & 1
-            self.zeros.append(np.concatenate([[0], np.cumsum(bit == 0)]).astype(np.int32))
-            self.split.append(int(self.zeros[-1][-1]))
-            x = np.concatenate([x[bit == 0], x[bit == 1]])
-        starts = np.full(1 << self.levels, 0)
-        seen, at = np.unique(x, return_index=True)
-        starts[seen] = at
-        self.base = starts
+        for level in range(bits - 1, -1, -1):
+            low = (x >> level) & 1 == 0
+            zeros = np.zeros(len(x) + 1, np.int32)
+            np.cumsum(low, out=zeros[1:])
+            self.zeros.append(zeros)
+            self.split.append(int(zeros[-1]))
+            x = np.concatenate([x[low], x[~low]])
+        begins = np.flatnonzero(np.concatenate([[True], x[1:] != x[:-1]]))
+        self.base = np.zeros(1 << bits, np.int64)
+        self.base[x[begins]] = begins
 
     def extend(self, lo: np.ndarray, hi: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Intervals of c + w for every interval [lo, hi) of a string w and every byte c before it (not the end symbol)."""
@@ -179,17 +165,19 @@ def repeated_starts(strings: list[bytes], weights: list[int], length: int) -> li
     """Per string, the starts of its windows of ``length`` bytes whose weights over all equal windows add up to two or more."""
     sizes = np.array([len(s) for s in strings], np.int64)
     ends = np.cumsum(sizes + 1)
-    symbols = np.zeros(int(ends[-1]), np.int64)
     text = np.frombuffer(b"\0".join(strings) + b"\0", np.uint8)
-    symbols[:] = text
-    symbols += 1
-    symbols[ends - 1] = 0
-    string_of = np.repeat(np.arange(len(strings)), sizes + 1)
-    n = len(symbols)
-    order = sorted_suffixes(symbols, string_of, len(strings), length)
-    bwt = Transform(symbols, order)
-
-    common = np.full(n + 1, -1, np.int32)  # of suffixes i - 1 and i; -1: not known yet
+    inside = np.ones(len(text), bool)
+    inside[ends - 1] = False
+    present = np.flatnonzero(np.bincount(text[inside], minlength=256))
+    number = np.zeros(256, np.uint16)
+    number[present] = np.arange(1, len(present) + 1)
+    codes = np.where(inside, number[text], np.uint16(0))
+    bits = max(1, len(present).bit_length())
+    n = len(codes)
+    order = sorted_suffixes(codes, bits, length)
+    bwt = Transform(codes, bits, order)
+
+    common = np.full(n + 1, -1, np.int16 if length < 1 << 15 else np.int32)  # of suffixes i - 1 and i; -1: not known yet
     common[0] = common[n] = 0
     common[:len(strings) + 1] = 0
     lo, hi = np.array([0], np.int64), np.array([n], np.int64)
@@ -200,10 +188,12 @@ def repeated_starts(strings: list[bytes], weights: list[int], length: int) -> li
         lo, hi = lo[fresh], hi[fresh]
         if not len(lo):
             break
-    group = np.cumsum(common[:n] >= 0)
-    place = order - (ends - sizes - 1)[string_of[order]]
-    window = place + length <= sizes[string_of[order]]
-    total = np.bincount(group[window], weights=np.array(weights, float)[string_of[order[window]]], minlength=group[-1] + 1)
+    del bwt
+    group = np.cumsum(common[:n] >= 0, dtype=np.int32)
+    string_of = np.repeat(np.arange(len(strings), dtype=np.int32), sizes + 1)[order]
+    window = order + length <= ends[string_of] - 1
+    weight = np.array(weights, np.float64)[string_of[window]]
+    total = np.bincount(group[window], weights=weight, minlength=int(group[-1]) + 1)
     hit = window & (total[group] >= 2)
     out = np.zeros(n, bool)
     out[order[hit]] = True
