@@ -103,7 +103,8 @@ def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     ident = staged(text_identity(docs, id_col, text_col, block_bytes), "identity")
     # the largest id stays; of rows that repeat it, the one with the largest row number
     place = F.struct("id", "rid")
-    groups = ident.groupBy("n_bytes", "name").agg(F.count("*").alias("group_size"), F.max(place).alias("top"))
+    # written first, so that Spark can split the rows of a large group in the join below
+    groups = staged(ident.groupBy("n_bytes", "name").agg(F.count("*").alias("group_size"), F.max(place).alias("top")), "groups")
     same = ident.groupBy("n_bytes", "name", "id").agg(F.count("*").alias("copies")).where("copies > 1")
     out = ident.join(groups, ["n_bytes", "name"])
     out = out.join(same.withColumnRenamed("id", "sid").withColumnsRenamed({"n_bytes": "sb", "name": "sn"}),
