@@ -24,8 +24,9 @@ def test_at_most_one_latest_flag_per_delegator(lake):
 
 def test_vote_totals_add_up_to_latest_votes(lake):
     from govlake.plans.proposals import proposal_votes
+    from govlake.plans.voting_history import latest_votes, proposal_metadata
     pvh = lake.proposal_voting_history()
-    pv = proposal_votes(pvh).agg(F.sum(F.col("num_for_votes") + F.col("num_against_votes")
+    pv = proposal_votes(latest_votes(lake.silver, lake.cfg), proposal_metadata(lake.silver, lake.cfg)).agg(F.sum(F.col("num_for_votes") + F.col("num_against_votes")
                                        + F.col("num_abstain_votes"))).first()[0]
     assert pv == pvh.where(F.col("vote_option").isin(0, 1, 2)).count()
 
