@@ -212,6 +212,8 @@ def ranges(starts: np.ndarray) -> tuple[list[int], list[int]]:
 # ---- Spark ---------------------------------------------------------------------------
 
 SID = ["key", "d1", "d2", "windows"]  # what tells stretches apart
+FOUND = "key long, d1 long, d2 long, windows long, begins array<long>, ends array<long>"
+FOUND_ARROW = pa.schema([*[(c, pa.int64()) for c in SID], ("begins", pa.list_(pa.int64())), ("ends", pa.list_(pa.int64()))])
 
 
 def _source(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
@@ -248,13 +250,10 @@ def stretch_table(src: DataFrame, length: int) -> DataFrame:
 
 def _transform_tasks(length: int, chunk_bytes: int):
     """Tasks over rows sorted by key: whole keys are gathered to chunks, one transform each."""
-    out = pa.schema([("key", pa.int64()), ("d1", pa.int64()), ("d2", pa.int64()), ("windows", pa.int64()),
-                     ("begins", pa.list_(pa.int64())), ("ends", pa.list_(pa.int64()))])
-
     def solve(rows: list) -> pa.RecordBatch:
         found = repeated_starts([r[5] for r in rows], [r[4] for r in rows], length)
         spans = [ranges(s) for s in found]
-        return arrow_out(out, {"key": [r[0] for r in rows], "d1": [r[1] for r in rows], "d2": [r[2] for r in rows],
+        return arrow_out(FOUND_ARROW, {"key": [r[0] for r in rows], "d1": [r[1] for r in rows], "d2": [r[2] for r in rows],
                                "windows": [r[3] for r in rows], "begins": [s[0] for s in spans], "ends": [s[1] for s in spans]})
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -294,8 +293,14 @@ def _count_windows(heavy: DataFrame, length: int) -> DataFrame:
         _window_digests(length), "key long, d1 long, d2 long, windows long, n long, place long, w1 long, w2 long"), "windows")
     shared = windows.groupBy("w1", "w2").agg(F.sum("n").alias("total")).where("total > 1").select("w1", "w2")
     hits = windows.join(staged(shared, "shared"), ["w1", "w2"])
-    return hits.groupBy(*SID).agg(F.sort_array(F.collect_list("place")).alias("begins")).select(
-        *SID, "begins", F.transform("begins", lambda p: p + 1).alias("ends"))
+    return hits.groupBy(*SID).agg(F.sort_array(F.collect_list("place")).alias("places")).mapInArrow(_joined_places, FOUND)
+
+
+def _joined_places(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Sorted window starts to ranges, one array per stretch (a stretch has MAX_STRETCH windows at most)."""
+    for b in batches:
+        spans = [ranges(x.values.to_numpy()) for x in b.column("places")]
+        yield arrow_out(FOUND_ARROW, {**{c: b.column(c) for c in SID}, "begins": [s[0] for s in spans], "ends": [s[1] for s in spans]})
 
 
 def repeated_windows(src: DataFrame, table: DataFrame, length: int, key_bytes: int, chunk_bytes: int) -> tuple[DataFrame, DataFrame]:
@@ -328,7 +333,7 @@ def repeated_windows(src: DataFrame, table: DataFrame, length: int, key_bytes: i
     data = staged(data, "data")
     light = data.where("not heavy").select(*SID, "n", "data")
     found = light.repartition("key").sortWithinPartitions("key").mapInArrow(
-        _transform_tasks(length, chunk_bytes), "key long, d1 long, d2 long, windows long, begins array<long>, ends array<long>")
+        _transform_tasks(length, chunk_bytes), FOUND)
     if not files.where("heavy").isEmpty():
         found = found.unionByName(_count_windows(data.where("heavy"), length))
     found = staged(found, "found")
