@@ -47,7 +47,13 @@ def growth_config(silver: DataFrame, cfg: ContractConfig) -> DataFrame:
         F.col("signer_account_id").alias("gc_contract"),
         jnum(F.col("args"), f"{g}.numerator").alias("growth_rate_numerator_ns"),
         jnum(F.col("args"), f"{g}.denominator").alias("growth_rate_denominator_ns"),
-    )
+    ).withColumn("exact_quotient", _divides(F.col("growth_rate_denominator_ns")))
+
+
+def _divides(den: F.Column) -> F.Column:
+    """Whether 10^30 is a multiple of the denominator; other rates go through DOUBLE and are flagged by this column."""
+    ten30 = F.lit(str(TEN_POW_30)).cast("decimal(38,0)")
+    return F.when(den != 0, F.pmod(ten30, den.cast("decimal(38,0)")) == 0)
 
 
 def _growth_by_contract(silver: DataFrame, cfg: ContractConfig) -> DataFrame:
@@ -150,7 +156,7 @@ def reward(principal, num, den, now_ns, since_ns):
     units = floor_div(principal, TEN_POW_21)
     secs = (floor_div(now_ns, TEN_POW_9) - floor_div(since_ns, TEN_POW_9)).cast("decimal(38,0)")
     base = F.try_multiply(F.try_multiply(units, secs), num.cast("decimal(38,0)"))
-    exact = F.pmod(F.lit(str(TEN_POW_30)).cast("decimal(38,0)"), den.cast("decimal(38,0)")) == 0
+    exact = _divides(den)
     factor = (F.lit(str(TEN_POW_30)).cast("decimal(38,0)") / den.cast("decimal(38,0)")).cast("decimal(38,0)")
     approx = (base.cast("double") * (F.lit(1e30) / den.cast("double"))).cast("decimal(38,0)")
     return F.when(den == 0, F.lit(None).cast("decimal(38,0)")) \
