@@ -37,7 +37,7 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import arrow_out
+from .common import arrow_out, small_batches
 from .language_id import ExactTable
 
 # Fixed value: the split pattern of byte-level BPE vocabularies.
@@ -380,5 +380,5 @@ def encode_documents(docs: DataFrame, vocabulary: str, id_col: str = "doc_id", t
                 names += [("token_ids", pa.binary()), ("decoded", pa.string())]
             yield arrow_out(pa.schema(names), out)
 
-    return docs.select(F.col(id_col).alias(id_col), F.col(text_col).cast("string").alias("__text")).mapInArrow(
+    return small_batches(docs).select(F.col(id_col).alias(id_col), F.col(text_col).cast("string").alias("__text")).mapInArrow(
         run, f"`{id_col}` {kind}, n_tokens long, ids_sha256 string, decoded_sha256 string{extra}")

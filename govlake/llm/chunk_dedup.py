@@ -35,7 +35,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import arrow_out, free_names, staged, utf8
+from .common import arrow_out, free_names, small_batches, staged, utf8
 
 MIN_CHUNK, MAX_CHUNK = 24, 256
 MASK_BITS = 5  # a place ends a chunk with chance 2^-5
@@ -95,7 +95,7 @@ def chunk_text(text: np.ndarray) -> list[int]:
 
 def chunk_table(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row per input row: rid, id, n_bytes and its chunks as parallel arrays (ends, d1, d2), written once."""
-    src = docs.select(F.monotonically_increasing_id().alias("rid"), F.col(id_col).alias("id"),
+    src = small_batches(docs).select(F.monotonically_increasing_id().alias("rid"), F.col(id_col).alias("id"),
                       F.col(text_col).cast("string").alias("text"))
     kind = src.schema["id"].dataType.simpleString()
 

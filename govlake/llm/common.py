@@ -32,6 +32,22 @@ def staged(df: DataFrame, label: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+BATCH_ROWS = 1000
+_BATCH = "spark.sql.execution.arrow.maxRecordsPerBatch"
+
+
+def small_batches(df: DataFrame) -> DataFrame:
+    """``df``, in a session that passes at most BATCH_ROWS rows at once to Python tasks.
+
+    Spark's default of 10,000 rows suits numbers; of whole texts that is tens of MB a batch, held
+    by the JVM and by Python, in each task. A smaller setting of the session is kept.
+    """
+    conf = df.sparkSession.conf
+    if not 0 < int(conf.get(_BATCH)) <= BATCH_ROWS:
+        conf.set(_BATCH, str(BATCH_ROWS))
+    return df
+
+
 def cut(df: DataFrame) -> DataFrame:
     """Reliable checkpoint in the shared folder (for small tables inside iterations)."""
     checkpoint_dir(df.sparkSession)  # registers a folder when the session has none (tests)

@@ -35,7 +35,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import arrow_out, free_names, pieces, sorted_unique, staged, utf8
+from .common import arrow_out, free_names, pieces, small_batches, sorted_unique, staged, utf8
 from .quality import KIND, mixed, span_hashes
 
 MIN_MATCH = 5
@@ -182,7 +182,7 @@ def item_tokens(items: DataFrame, id_col: str, text_col: str, k: int) -> DataFra
 def seed_runs(docs: DataFrame, field: np.ndarray, id_col: str, text_col: str, k: int) -> DataFrame:
     """(rid, id, n_runs, run, begin, tokens, seeds): the runs of tokens whose seeds are all in the bit field; run null: none."""
     sent = docs.sparkSession.sparkContext.broadcast(field)
-    src = docs.select(F.monotonically_increasing_id().alias("rid"), F.col(id_col).alias("id"),
+    src = small_batches(docs).select(F.monotonically_increasing_id().alias("rid"), F.col(id_col).alias("id"),
                       F.col(text_col).cast("string").alias("text"))
     kind = src.schema["id"].dataType.simpleString()
 

@@ -81,7 +81,8 @@ def train(sample: DataFrame, features: Callable[[list[bytes]], list[tuple[np.nda
 
     def one(key: tuple, pdf: pd.DataFrame) -> pd.DataFrame:
         pdf = pdf.sort_values(["at", "id"], kind="stable")
-        w = solver.fit(features([t.encode() for t in pdf.text]), pdf.y.to_numpy(float), size)
+        texts, y = [t.encode() for t in pdf.pop("text")], pdf.y.to_numpy(float)
+        w = solver.fit(features(texts), y, size)
         idx = np.flatnonzero(w)
         return pd.DataFrame({"idx": idx, "w": w[idx], "shard": np.full(len(idx), key[0], np.int32)})
 

@@ -32,11 +32,11 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import arrow_out, pieces, sorted_unique, utf8
+from .common import arrow_out, pieces, small_batches, sorted_unique, utf8
 
 ORDER = 4
 SAMPLE_BYTES = 8 << 20
-PIECE = 1 << 20
+PIECE = 1 << 18
 LETTERS = np.zeros(256, bool)
 LETTERS[[*range(65, 91), *range(97, 123)]] = True
 
@@ -176,7 +176,7 @@ def count_grams(docs: DataFrame, order: int) -> DataFrame:
                         yield arrow_out(pa.schema([("lang", pa.string()), ("gram", pa.int64()), ("n", pa.int64())]),
                                         {"lang": [lang] * len(keys), "gram": keys.view(np.int64), "n": n})
 
-    part = docs.select("lang", "text").mapInArrow(run, "lang string, gram long, n long")
+    part = small_batches(docs).select("lang", "text").mapInArrow(run, "lang string, gram long, n long")
     return part.groupBy("lang", "gram").agg(F.sum("n").alias("n"))
 
 
@@ -230,5 +230,5 @@ def predict(docs: DataFrame, model: PpmModel, id_col: str = "doc_id", text_col:
             yield arrow_out(pa.schema([(id_col, ids.type), ("lang_pred", pa.string()), ("score", pa.float64()), ("bits_per_byte", pa.float64())]),
                             {id_col: ids, "lang_pred": list(pred), "score": score, "bits_per_byte": rate})
 
-    return docs.select(F.col(id_col), F.col(text_col).cast("string").alias("__text")).mapInArrow(
+    return small_batches(docs).select(F.col(id_col), F.col(text_col).cast("string").alias("__text")).mapInArrow(
         run, f"`{id_col}` {kind}, lang_pred string, score double, bits_per_byte double")

@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import arrow_out, pieces, utf8
+from .common import arrow_out, pieces, small_batches, utf8
 from .ftrl import Ftrl, dense, train
 
 BITS = 20
@@ -152,5 +152,5 @@ def score(docs: DataFrame, model, id_col: str = "doc_id", text_col: str = "text"
             yield arrow_out(pa.schema([(id_col, ids.type), ("score", pa.float64())]),
                             {id_col: ids, "score": 1 / (1 + np.exp(-np.clip(x, -35, 35)))})
 
-    return docs.select(F.col(id_col), F.col(text_col).cast("string").alias("__text")).mapInArrow(
+    return small_batches(docs).select(F.col(id_col), F.col(text_col).cast("string").alias("__text")).mapInArrow(
         run, f"`{id_col}` {kind}, score double")

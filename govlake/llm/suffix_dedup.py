@@ -40,7 +40,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import arrow_out, staged, utf8
+from .common import arrow_out, small_batches, staged, utf8
 
 MIN_LENGTH = 400
 GRAM = 64
@@ -379,7 +379,7 @@ def suffix_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     """One row per input row: id, n_bytes, n_removed, n_spans, kept_sha256, spans (begin, end in bytes) and, with_text, kept (binary)."""
     if length < GRAM:
         raise ValueError(f"the minimum length is at least {GRAM} bytes")
-    src = _source(docs, id_col, text_col)
+    src = _source(small_batches(docs), id_col, text_col)
     table = stretch_table(src, length)
     places, texts = repeated_windows(src, table, length, key_bytes, chunk_bytes)
     per = places.groupBy("t1", "t2").agg(F.collect_list(F.struct("begin", "end")).alias("p")).select(

@@ -12,7 +12,7 @@ frequencies are counted on the executors with partial sums, and only features in
 ``min_docs`` sampled documents and with a ratio of at least ``min_ratio``, either sign, are kept. Scoring reads every text whole.
 
 Edge cases: null counts as empty; an empty text has no feature and gets the bias's score.
-With no labelled row, all weights are zero and every score is 0.5. Texts above 1 MB
+With no labelled row, all weights are zero and every score is 0.5. Texts above 256 KB
 are read in pieces with the bytes before each as context: bounded memory, the same result.
 An empty table gives an empty result; rows may repeat; other columns are not read.
 """
@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import arrow_out, pieces, sorted_unique, utf8
+from .common import arrow_out, pieces, small_batches, sorted_unique, utf8
 from .ftrl import Ftrl, dense, labelled_sample, train
 from .language_id import grams
 
@@ -35,10 +35,10 @@ SIZES = (4, 6, 8)
 SAMPLE_ROWS = 10_000
 MIN_DOCS = 6
 MIN_RATIO = 1.0
-PIECE = 1 << 20
+PIECE = 1 << 18
 THRESHOLD = 0.3
 SOLVER = Ftrl(alpha=0.05, l1=1.0, l2=1.0, epochs=3)
-SHARDS = 2
+SHARDS = 4
 
 FOLDED = np.arange(256, dtype=np.uint8)
 FOLDED[65:91] += 32
@@ -90,7 +90,7 @@ def document_counts(sample: DataFrame, bits: int = BITS) -> DataFrame:
                             {"feature": keys, "toxic": np.bincount(place[toxic], minlength=len(keys)),
                              "other": np.bincount(place[~toxic], minlength=len(keys))})
 
-    part = sample.select("text", "y").mapInArrow(run, "feature long, toxic long, other long")
+    part = small_batches(sample).select("text", "y").mapInArrow(run, "feature long, toxic long, other long")
     return part.groupBy("feature").agg(F.sum("toxic").alias("toxic"), F.sum("other").alias("other"))
 
 
@@ -112,11 +112,12 @@ def fit(sample: DataFrame, solver: Ftrl = SOLVER, min_docs: int = MIN_DOCS, min_
 
     def rows(texts: list[bytes]) -> list[tuple[np.ndarray, np.ndarray]]:
         kept, r = sent.value
+        r = r.astype(np.float32)
         number = np.full(1 << bits, -1, np.int32)
         number[kept] = np.arange(len(kept))
         out = []
-        for at in range(0, len(texts), 500):
-            part = texts[at:at + 500]
+        for at in range(0, len(texts), 100):
+            part = texts[at:at + 100]
             off = np.concatenate([[0], np.cumsum([len(t) for t in part])]).astype(np.int64)
             row, f = present(np.frombuffer(b"".join(part), np.uint8), off, number >= 0, bits)
             cuts = np.searchsorted(row, np.arange(len(part) + 1))
@@ -159,7 +160,7 @@ def score(docs: DataFrame, model, id_col: str = "doc_id", text_col: str = "text"
             ids = b.column(0)
             yield arrow_out(pa.schema([(id_col, ids.type), ("score", pa.float64())]), {id_col: ids, "score": of(b, "__text")})
 
-    return docs.select(F.col(id_col), F.col(text_col).cast("string").alias("__text")).mapInArrow(
+    return small_batches(docs).select(F.col(id_col), F.col(text_col).cast("string").alias("__text")).mapInArrow(
         run, f"`{id_col}` {kind}, score double")
 
 
@@ -172,4 +173,4 @@ def drop_toxic(docs: DataFrame, model, threshold: float = THRESHOLD, text_col: s
         for b in batches:
             yield b.filter(pa.array(of(b, text_col) < threshold))
 
-    return docs.mapInArrow(run, docs.schema)
+    return small_batches(docs).mapInArrow(run, docs.schema)
