@@ -25,16 +25,17 @@ def decode_quality(actions: DataFrame) -> DataFrame:
     Bad numbers: text that is no number; numbers with a fraction (rounded by the views); numbers of more
     than 38 digits (NULL in the views).
     """
-    raw = F.try_to_binary(F.col("args_base64"), F.lit("base64"))
-    text = F.try_validate_utf8(raw.cast("string"))
-    doc = parse_json_strict(text)
-    keys = F.json_object_keys(text)
-    found = F.filter(F.array(*[jstr(doc, p) for p in NUMERIC_ARGS]), lambda x: x.isNotNull())
+    # one step per decode, so that each text is decoded and parsed once
+    d = actions.select("method_name", F.try_to_binary(F.col("args_base64"), F.lit("base64")).alias("raw"))
+    d = d.withColumn("text", F.try_validate_utf8(F.col("raw").cast("string")))
+    d = d.withColumn("doc", parse_json_strict("text"))
+    d = d.withColumn("found", F.filter(F.array(*[jstr(F.col("doc"), p) for p in NUMERIC_ARGS]), lambda x: x.isNotNull()))
+    raw, text, doc, found, keys = (*map(F.col, ("raw", "text", "doc", "found")), F.json_object_keys("text"))
 
     def some(test):
         return F.exists(found, test)
 
-    a = actions.select("method_name", raw.isNull().alias("bad_b64"),
+    a = d.select("method_name", raw.isNull().alias("bad_b64"),
                        (raw.isNotNull() & text.isNull()).alias("bad_utf8"),
                        (text.isNotNull() & doc.isNull()).alias("bad_json"),
                        jstr(doc, "$.error").isNotNull().alias("err"),
