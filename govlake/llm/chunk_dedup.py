@@ -3,12 +3,13 @@
 The gear hash of a place adds a random number per byte and shifts by one bit per step, so it
 depends on the last 32 bytes only; a chunk ends where its top bits are zero. A boundary
 thus depends on the content around it, and chunks line up again after an insertion.
-A chunk has at least ``MIN_CHUNK`` bytes (unless its text ends) and at most ``MAX_CHUNK``. Chunks
-are compared by a 128-bit BLAKE2b digest.
+A chunk has at least ``MIN_CHUNK`` bytes (unless its text ends) and at most ``MAX_CHUNK``; where none
+of these places has zero bits, it ends at the last of those with the smallest hash, so that repeated
+words line up too. Chunks are compared by a 128-bit BLAKE2b digest.
 
 Of equal chunks the first in order of (doc_id, place) is the original; the others are
-copies. Runs of at least ``MIN_RUN`` bytes of consecutive copied chunks are removed, shorter ones
-(a common phrase) stay. A passage that two texts share and that is longer than the
+copies. Runs of consecutive copied chunks are removed if they have at least ``MIN_RUN`` bytes or
+are a whole text; other ones (a common phrase) stay. A passage that two texts share and that is longer than the
 first and last chunk it cuts through loses everything between them.
 
 How it runs at scale: digests of chunks are counted with partial aggregation; only digests that
@@ -37,8 +38,8 @@ from pyspark.sql import functions as F
 
 from .common import arrow_out, free_names, small_batches, staged, utf8
 
-MIN_CHUNK, MAX_CHUNK = 24, 256
-MASK_BITS = 5  # a place ends a chunk with chance 2^-5
+MIN_CHUNK, MAX_CHUNK = 16, 64
+MASK_BITS = 4  # a place ends a chunk with chance 2^-4
 MIN_RUN = 80
 PIECE = 1 << 20
 
@@ -68,31 +69,33 @@ def candidates(text: np.ndarray) -> np.ndarray:
     return np.concatenate(found) if found else np.zeros(0, np.int64)
 
 
-def boundaries(places: list[int], begin: int, end: int) -> list[int]:
-    """Ends of the chunks of bytes begin..end, from the places that the hash allows."""
-    out, last = [], begin
-    for p in places:
+def forced(text: np.ndarray, last: int) -> int:
+    """End of the chunk from ``last`` where the hash allows no boundary within MAX_CHUNK: the last place of the smallest hash."""
+    lead = min(31, last)
+    h = gear(text[last - lead:last + MAX_CHUNK])[lead + MIN_CHUNK - 1:]
+    return last + MAX_CHUNK - int(np.argmin(h[::-1]))
+
+
+def chunk_text(text: np.ndarray) -> list[int]:
+    """Ends of the chunks of one text."""
+    out, last = [], 0
+    for p in candidates(text).tolist():
         if p <= last:
             continue
         while p - last > MAX_CHUNK:
-            last += MAX_CHUNK
+            last = forced(text, last)
             out.append(last)
         if p - last >= MIN_CHUNK:
             out.append(p)
             last = p
-    while end - last > MAX_CHUNK:
-        last += MAX_CHUNK
+    while len(text) - last > MAX_CHUNK:
+        last = forced(text, last)
         out.append(last)
-    if end > last:
-        out.append(end)
+    if len(text) > last:
+        out.append(len(text))
     return out
 
 
-def chunk_text(text: np.ndarray) -> list[int]:
-    """Ends of the chunks of one text."""
-    return boundaries(candidates(text).tolist(), 0, len(text))
-
-
 def chunk_table(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row per input row: rid, id, n_bytes and its chunks as parallel arrays (ends, d1, d2), written once."""
     src = small_batches(docs).select(F.monotonically_increasing_id().alias("rid"), F.col(id_col).alias("id"),
@@ -125,7 +128,7 @@ def chunk_table(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
 
 
 def copied_runs(table: DataFrame, min_run: int = MIN_RUN) -> DataFrame:
-    """(rid, spans, n_copied): the runs of copied chunks of the rows that have any."""
+    """(rid, spans, n_copied): the runs of copied chunks of the rows that have any; shorter ones only if they begin the text."""
     found = table.select("rid", "id", F.explode(F.arrays_zip(
         F.concat(F.array(F.lit(0).cast("long")), "ends").alias("begin"), "ends", "d1", "d2")).alias("c")).select(
         "rid", "id", "c.begin", F.col("c.ends").alias("end"), "c.d1", "c.d2").where("end is not null")
@@ -139,7 +142,7 @@ def copied_runs(table: DataFrame, min_run: int = MIN_RUN) -> DataFrame:
 
 
 def _joined(min_run: int):
-    """Joins consecutive copied chunks and keeps the runs of at least ``min_run`` bytes."""
+    """Joins consecutive copied chunks and keeps the runs of at least ``min_run`` bytes, and one at byte 0 of any length."""
     span = pa.list_(pa.struct([("begin", pa.int64()), ("end", pa.int64())]))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -150,7 +153,7 @@ def _joined(min_run: int):
                 new = np.concatenate([[True], begin[1:] != end[:-1]])
                 starts = np.flatnonzero(new)
                 lo, hi = begin[starts], end[np.append(starts[1:], len(end)) - 1]
-                spans.append([{"begin": int(p), "end": int(q)} for p, q in zip(lo, hi) if q - p >= min_run])
+                spans.append([{"begin": int(p), "end": int(q)} for p, q in zip(lo, hi) if q - p >= min_run or p == 0])
                 counts.append(len(begin))
             yield arrow_out(pa.schema([("rid", pa.int64()), ("spans", span), ("n_copied", pa.int64())]),
                             {"rid": b.column("rid"), "spans": spans, "n_copied": counts})
@@ -164,7 +167,9 @@ def chunk_report(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     rows = table.select("rid", F.col("id").alias(id_col), "n_bytes", F.size("ends").cast("long").alias("n_chunks"))
     runs = copied_runs(table, min_run)
     none = F.array().cast("array<struct<begin:bigint,end:bigint>>")
-    spans = F.coalesce("spans", none)
+    # a copied run counts from min_run bytes on, or at any length as a whole text
+    spans = F.filter(F.coalesce("spans", none), lambda s: (s["end"] - s["begin"] >= min_run)
+                     | ((s["begin"] == 0) & (s["end"] == F.col("n_bytes"))))
     return rows.join(runs, "rid", "left").select(
         id_col, "n_bytes", F.aggregate(spans, F.lit(0).cast("long"), lambda a, s: a + s["end"] - s["begin"]).alias("n_removed"),
         F.size(spans).cast("long").alias("n_spans"), spans.alias("spans"), "n_chunks",

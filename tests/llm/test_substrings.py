@@ -10,6 +10,7 @@ import pytest
 from govlake.llm import chunk_dedup as C
 from govlake.llm.chunk_dedup import chunk_report, chunk_text, gear, remove_copies
 from govlake.llm.suffix_dedup import repeated_starts, sliding_min, stretches, suffix_dedup
+from llm_fixtures import WORDS, prose
 
 
 def repeated_by_hand(strings, weights, length):
@@ -148,3 +149,25 @@ def test_planted_passages_are_caught(make_docs, rows_of):
         planted.add(3 * k + 1)
     hit = {r["doc_id"] for r in rows_of(chunk_report(make_docs(texts))) if r["n_removed"] > 0}
     assert hit <= planted and len(hit) >= 0.95 * len(planted)
+
+
+def test_short_copies_are_removed(make_docs, rows_of):
+    rng = random.Random(21)
+    texts = ["Short, but a copy.", prose(rng, 120), "Short, but a copy.", "a", "a", "Short, but no copy!", None, "", ""]
+    got = {r["doc_id"]: (r["n_removed"], r["n_spans"]) for r in rows_of(chunk_report(make_docs(texts)))}
+    assert {i for i, n in got.items() if n != (0, 0)} == {2, 4} and got[2] == (18, 1) and got[4] == (1, 1)
+    # a short copied run that is not the whole text stays
+    texts = [prose(rng, 3) + "x" * 200, "x" * 70 + " " + prose(rng, 60)]
+    assert {r["n_removed"] for r in rows_of(chunk_report(make_docs(texts))) if r["doc_id"] == 1} == {0}
+
+
+def test_passages_of_51_words_are_caught(make_docs, rows_of):
+    rng = random.Random(22)
+    texts = []
+    for k in range(300):  # every third passage repeats one word
+        passage = " ".join([rng.choice(WORDS) + "ings"] * 51) if k % 3 == 0 else prose(rng, 51)
+        texts += [f"{prose(rng, 40)} {passage} {prose(rng, 30)}", f"{prose(rng, 33)} {passage} {prose(rng, 50)}"]
+    hit = {r["doc_id"] for r in rows_of(chunk_report(make_docs(texts))) if r["n_removed"] > 0}
+    ordinary = {2 * k + 1 for k in range(300) if k % 3}
+    repeated = {2 * k + 1 for k in range(300) if k % 3 == 0}
+    assert ordinary <= hit and len(hit & repeated) >= 0.9 * len(repeated)
