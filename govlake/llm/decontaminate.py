@@ -20,9 +20,8 @@ documents hold gives one pair per document.
 
 Edge cases: null and empty texts hold no token: never contaminated. Items with fewer than
 ``MIN_MATCH`` tokens have no seed and match nothing. Repeated items and rows with
-null ids take part. Rows that repeat a doc_id are judged one by one in the report;
-``drop_leaks`` drops a doc_id if any of its rows is contaminated, and keeps rows with a null doc_id only if
-the report finds none of those contaminated. An empty benchmark or table gives an
+null ids take part. Rows that repeat a doc_id, or have none, are judged one by one, in the report and
+by ``drop_leaks``, which tells them apart by a digest of the text. An empty benchmark or table gives an
 uncontaminated or empty result. Other columns are not read.
 """
 
@@ -32,7 +31,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .common import arrow_out, free_names, pieces, small_batches, sorted_unique, staged, utf8
@@ -179,12 +178,21 @@ def item_tokens(items: DataFrame, id_col: str, text_col: str, k: int) -> DataFra
         "item_row", F.monotonically_increasing_id()), "items")
 
 
-def seed_runs(docs: DataFrame, field: np.ndarray, id_col: str, text_col: str, k: int) -> DataFrame:
-    """(rid, id, n_runs, run, begin, tokens, seeds): the runs of tokens whose seeds are all in the bit field; run null: none."""
+def text_digest(text_col: str) -> Column:
+    """SHA-256 of the text; null counts as empty."""
+    return F.sha2(F.coalesce(F.col(text_col).cast("string"), F.lit("")).cast("binary"), 256)
+
+
+def seed_runs(docs: DataFrame, field: np.ndarray, id_col: str, text_col: str, k: int, digest: bool = False) -> DataFrame:
+    """(rid, id, n_runs, run, begin, tokens, seeds): the runs of tokens whose seeds are all in the bit field; run null: none.
+
+    With ``digest`` also sha, the digest of the text.
+    """
     sent = docs.sparkSession.sparkContext.broadcast(field)
     src = small_batches(docs).select(F.monotonically_increasing_id().alias("rid"), F.col(id_col).alias("id"),
-                      F.col(text_col).cast("string").alias("text"))
+                      F.col(text_col).cast("string").alias("text"), *([text_digest(text_col).alias("sha")] if digest else []))
     kind = src.schema["id"].dataType.simpleString()
+    more = [("sha", pa.string())] if digest else []
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bits = sent.value
@@ -205,11 +213,13 @@ def seed_runs(docs: DataFrame, field: np.ndarray, id_col: str, text_col: str, k:
                     begins[r].append(at[x] - first[r])
                     run_tokens[r].append(token[at[x]:at[y - 1] + k])
                     run_seeds[r].append(h[x:y])
-            yield arrow_out(pa.schema([("rid", pa.int64()), ("id", b.column("id").type), ("begins", longs), ("tokens", runs), ("seeds", runs)]),
-                            {"rid": b.column("rid"), "id": b.column("id"), "begins": begins, "tokens": run_tokens, "seeds": run_seeds})
+            yield arrow_out(pa.schema([("rid", pa.int64()), ("id", b.column("id").type), ("begins", longs), ("tokens", runs), ("seeds", runs), *more]),
+                            {"rid": b.column("rid"), "id": b.column("id"), "begins": begins, "tokens": run_tokens, "seeds": run_seeds,
+                             **{n: b.column(n) for n, _ in more}})
 
     nested = "array<array<long>>"
-    return staged(src.mapInArrow(run, f"rid long, id {kind}, begins array<long>, tokens {nested}, seeds {nested}"), "runs")
+    return staged(src.mapInArrow(run, f"rid long, id {kind}, begins array<long>, tokens {nested}, seeds {nested}"
+                                    + (", sha string" if digest else "")), "runs")
 
 
 def leaks(table: DataFrame, items: DataFrame, k: int) -> DataFrame:
@@ -239,17 +249,23 @@ def leaks(table: DataFrame, items: DataFrame, k: int) -> DataFrame:
         run, f"rid long, item {kind}, item_row long, coverage double, tiles long")
 
 
-def contamination(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text",
-                  item_col: str = "item_id", item_text_col: str = "text", k: int = MIN_MATCH,
-                  coverage: float = COVERAGE) -> DataFrame:
-    """One row per input row: id, contaminated, coverage (largest of any item), items (leaked ones, sorted)."""
+def _leaks_of(docs: DataFrame, benchmark: DataFrame, id_col: str, text_col: str, item_col: str = "item_id",
+              item_text_col: str = "text", k: int = MIN_MATCH, digest: bool = False) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """The items, the rows of ``seed_runs`` and the ``leaks`` of both."""
     items = item_tokens(benchmark, item_col, item_text_col, k)
     slots = items.select(F.explode("seeds").alias("s")).select(
         F.shiftrightunsigned("s", 64 - FIELD_BITS).alias("slot")).distinct().toArrow().column("slot").to_numpy()
     field = np.zeros(1 << (FIELD_BITS - 3), np.uint8)
     np.bitwise_or.at(field, slots >> 3, np.left_shift(1, slots & 7).astype(np.uint8))
-    table = seed_runs(docs, field, id_col, text_col, k)
-    found = leaks(table, items, k)
+    table = seed_runs(docs, field, id_col, text_col, k, digest)
+    return items, table, leaks(table, items, k)
+
+
+def contamination(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text",
+                  item_col: str = "item_id", item_text_col: str = "text", k: int = MIN_MATCH,
+                  coverage: float = COVERAGE) -> DataFrame:
+    """One row per input row: id, contaminated, coverage (largest of any item), items (leaked ones, sorted)."""
+    items, table, found = _leaks_of(docs, benchmark, id_col, text_col, item_col, item_text_col, k)
     per = found.groupBy("rid").agg(
         F.max("coverage").alias("coverage"),
         F.array_sort(F.collect_set(F.when(F.col("coverage") >= coverage, F.col("item")))).alias("items"),
@@ -261,9 +277,12 @@ def contamination(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id",
         F.coalesce("items", F.array().cast(f"array<{kind}>")).alias("items"))
 
 
-def drop_leaks(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text", **how) -> DataFrame:
+def drop_leaks(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text",
+               coverage: float = COVERAGE, **how) -> DataFrame:
     """The rows of ``docs`` that are not contaminated, with all their columns."""
-    (own,) = free_names(docs, "__id")
-    leaked = staged(contamination(docs, benchmark, id_col, text_col, **how).where("contaminated").select(
-        F.col(id_col).alias(own)).distinct(), "leaked")
-    return docs.join(leaked, F.col(id_col).eqNullSafe(F.col(own)), "left_anti")
+    own_id, own_sha = free_names(docs, "__id", "__sha")
+    _, table, found = _leaks_of(docs, benchmark, id_col, text_col, digest=True, **how)
+    # a row's verdict depends on its text only, so rows of equal id and text go together
+    leaked = staged(table.join(found.where(F.col("coverage") >= coverage).select("rid"), "rid", "left_semi").select(
+        F.col("id").alias(own_id), F.col("sha").alias(own_sha)).distinct(), "leaked")
+    return docs.join(leaked, F.col(id_col).eqNullSafe(F.col(own_id)) & (text_digest(text_col) == F.col(own_sha)), "left_anti")

@@ -107,3 +107,14 @@ def test_query_against_plain_search(spark):
     grams = lambda t: {tuple(t.split()[i:i + 5]) for i in range(len(t.split()) - 4)}
     for d in got - whole:
         assert any(len(grams(b) & grams(docs[d])) >= 0.5 * len(grams(b)) for b in bench.values())
+
+
+def test_only_contaminated_rows_are_dropped(spark, make_docs, planted):
+    items, texts, _ = planted
+    bench = spark.createDataFrame([*enumerate(items)], "item_id long, text string")
+    rows = [(None, texts["whole"]), (None, texts["clean"]), (None, None), (None, ""), (7, texts["clean"]), (7, texts["reordered"]),
+            (7, texts["reordered"]), (7, texts["a third only"]), (8, texts["whole"]), (9, None)]
+    docs = make_docs([t for _, t in rows], [i for i, _ in rows], CLASHING)
+    kept = drop_leaks(docs, bench)
+    assert kept.columns == docs.columns
+    assert sorted(r["n"] for r in kept.collect()) == [1, 2, 3, 4, 7, 9]
