@@ -12,7 +12,9 @@ frequencies are counted on the executors with partial sums, and only features in
 ``min_docs`` sampled documents and with a ratio of at least ``min_ratio``, either sign, are kept. Scoring reads every text whole.
 
 Edge cases: null counts as empty; an empty text has no feature and gets the bias's score.
-With no labelled row, all weights are zero and every score is 0.5. Texts above 256 KB
+With no labelled row, all weights are zero and every score is 0.5; where no feature was learned (no usable
+label, labels of one class, too few of them), all texts score alike and ``drop_toxic`` keeps them all, unless
+it is given a threshold. Texts above 256 KB
 are read in pieces with the bytes before each as context: bounded memory, the same result.
 An empty table gives an empty result; rows may repeat; other columns are not read.
 """
@@ -164,8 +166,15 @@ def score(docs: DataFrame, model, id_col: str = "doc_id", text_col: str = "text"
         run, f"`{id_col}` {kind}, score double")
 
 
-def drop_toxic(docs: DataFrame, model, threshold: float = THRESHOLD, text_col: str = "text", bits: int = BITS) -> DataFrame:
-    """The rows of ``docs`` that score below the threshold, with all their columns, in one pass without a shuffle."""
+def drop_toxic(docs: DataFrame, model, threshold: float | None = None, text_col: str = "text", bits: int = BITS) -> DataFrame:
+    """The rows of ``docs`` that score below the threshold, with all their columns, in one pass without a shuffle.
+
+    Without a threshold it is THRESHOLD, and a model that tells no texts apart keeps all rows.
+    """
+    if threshold is None:
+        if not np.any(model[1]):
+            return docs
+        threshold = THRESHOLD
     sent = docs.sparkSession.sparkContext.broadcast(model)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

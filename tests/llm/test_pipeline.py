@@ -61,6 +61,16 @@ def test_empty_corpus(spark, make_docs):
     assert docs.count() == 0
 
 
+def test_nothing_learned_keeps_all(spark, odd_docs, tmp_path):
+    stage = dict(corpus_pipeline.STAGES)["toxicity"]
+    cases = {"none": [], "null": [(0, 1, None), (None, 1, 1)], "unknown": [(999, 1, 1)], "toxic": [(0, 1, 1), (3, 0, 1)], "few": [(0, 1, 1), (3, 0, 0)]}
+    for name, rows in cases.items():
+        spark.createDataFrame(rows, "doc_id long, quality int, toxic int").write.parquet(f"{tmp_path}/{name}/labels.parquet")
+        kept = stage(spark, odd_docs, f"{tmp_path}/{name}")
+        assert kept.columns == odd_docs.columns
+        assert sorted(map(repr, kept.collect())) == sorted(map(repr, odd_docs.collect())), name
+
+
 def test_copies_near_copies_and_leaks_are_dropped(spark, make_docs):
     rng = random.Random(31)
     base = prose(rng, 400)
