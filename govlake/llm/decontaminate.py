@@ -31,10 +31,10 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import arrow_out, free_names, pieces, small_batches, sorted_unique, staged, utf8
+from .common import arrow_out, free_names, pieces, small_batches, sorted_unique, staged, text_digest, utf8
 from .quality import KIND, mixed, span_hashes
 
 MIN_MATCH = 5
@@ -178,11 +178,6 @@ def item_tokens(items: DataFrame, id_col: str, text_col: str, k: int) -> DataFra
         "item_row", F.monotonically_increasing_id()), "items")
 
 
-def text_digest(text_col: str) -> Column:
-    """SHA-256 of the text; null counts as empty."""
-    return F.sha2(F.coalesce(F.col(text_col).cast("string"), F.lit("")).cast("binary"), 256)
-
-
 def seed_runs(docs: DataFrame, field: np.ndarray, id_col: str, text_col: str, k: int, digest: bool = False) -> DataFrame:
     """(rid, id, n_runs, run, begin, tokens, seeds): the runs of tokens whose seeds are all in the bit field; run null: none.
 

@@ -25,7 +25,7 @@ Rows with equal fingerprints are one node, so thousands of copies cost one row.
 
 Edge cases: null text counts as empty (fingerprint zero). A null doc_id takes part, its
 component_id is the smallest non-null doc_id of the component (null if there is none).
-Repeated rows stay repeated in the result. An empty table gives an empty result. Columns
+Repeated rows stay repeated in the result; ``keep_one`` keeps one row of each component, whatever its ids. An empty table gives an empty result. Columns
 beside ``id_col`` and ``text_col`` are not read.
 """
 
@@ -38,10 +38,10 @@ from itertools import combinations, repeat
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import arrow_out, cut, free_names, small_batches, staged, utf8
+from .common import arrow_out, cut, free_names, small_batches, staged, text_digest, utf8
 
 LOWER = bytes(b + 32 if 65 <= b <= 90 else b for b in range(256))
 PIVOTS = 16
@@ -73,9 +73,11 @@ def fingerprint(text: bytes, k: int = 3) -> int:
     return int(bits.view(np.uint64)[0])
 
 
-def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", k: int = 3) -> DataFrame:
-    """(id, fp): the fingerprint of each row as a signed long."""
-    schema = docs.select(F.col(id_col).alias("id"), F.lit(0).cast("long").alias("fp")).schema
+def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", k: int = 3, digest: bool = False) -> DataFrame:
+    """(id, fp): the fingerprint of each row as a signed long; with ``digest`` also sha, the digest of the text."""
+    sha = [text_digest(text_col).alias("sha")] if digest else []
+    schema = docs.select(F.col(id_col).alias("id"), F.lit(0).cast("long").alias("fp"), *sha).schema
+    more = [("sha", pa.string())] if digest else []
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
@@ -83,10 +85,10 @@ def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
             data, off = raw.tobytes(), off.tolist()
             fp = [fingerprint(data[off[i]:off[i + 1]], k) for i in range(len(off) - 1)]
             ids = b.column("id")
-            yield arrow_out(pa.schema([("id", ids.type), ("fp", pa.int64())]),
-                            {"id": ids, "fp": np.array(fp, np.uint64).view(np.int64)})
+            yield arrow_out(pa.schema([("id", ids.type), ("fp", pa.int64()), *more]),
+                            {"id": ids, "fp": np.array(fp, np.uint64).view(np.int64), **{n: b.column(n) for n, _ in more}})
 
-    return small_batches(docs).select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text")).mapInArrow(run, schema)
+    return small_batches(docs).select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text"), *sha).mapInArrow(run, schema)
 
 
 def _pivots(seed: int = 9) -> list[int]:
@@ -161,27 +163,40 @@ def components(edges: DataFrame, max_rounds: int = 200) -> DataFrame:
     raise RuntimeError("components did not settle")
 
 
+def _firsts(prints: DataFrame, first: Column, max_bits: int) -> DataFrame:
+    """(fp, label, first): each distinct fingerprint, its component and the smallest ``first`` of its rows."""
+    nodes = staged(prints.groupBy("fp").agg(F.min(first).alias("first")), "nodes")
+    labels = components(links(nodes.select("fp"), max_bits))
+    named = nodes.join(labels, nodes.fp == labels.node, "left").select("fp", "first", F.coalesce("label", "fp").alias("label"))
+    return staged(named, "named")
+
+
 def near_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", k: int = 3, max_bits: int = 2) -> DataFrame:
     """One row per input row: the id, fp (signed long) and component_id."""
     prints = staged(fingerprints(docs, id_col, text_col, k), "prints")
-    nodes = staged(prints.groupBy("fp").agg(F.min("id").alias("first")), "nodes")
-    labels = components(links(nodes.select("fp"), max_bits))
-    named = nodes.join(labels, nodes.fp == labels.node, "left").select("fp", "first", F.coalesce("label", "fp").alias("label"))
-    named = staged(named, "named")
+    named = _firsts(prints, F.col("id"), max_bits)
     tops = named.groupBy("label").agg(F.min("first").alias("component_id"))
     nodes = staged(named.join(tops, "label").select("fp", "component_id"), "tops")
     return prints.join(nodes, "fp").select(F.col("id").alias(id_col), "fp", "component_id")
 
 
 def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", k: int = 3, max_bits: int = 2) -> DataFrame:
-    """The rows of ``docs`` whose id is the smallest of a component, with all their columns.
+    """One row of ``docs`` for each component, with all its columns: the one with the smallest doc_id.
 
-    A document is what a doc_id names: rows that repeat a doc_id stay or go together
-    (they stay if one of them is the smallest of its component). Rows with a null
-    doc_id stay: nothing can name them.
+    Null ids come last; of rows that repeat an id the first by row number stays.
     """
-    (own,) = free_names(docs, "__id")
-    groups = near_groups(docs, id_col, text_col, k, max_bits)
-    keep = staged(groups.where(F.col(id_col).isNull() | (F.col(id_col) == F.col("component_id"))).select(
-        F.col(id_col).alias(own)).distinct(), "keep")
-    return docs.join(keep, F.col(id_col).eqNullSafe(F.col(own)), "left_semi")
+    own_id, own_sha, own_copies = free_names(docs, "__id", "__sha", "__copies")
+    prints = staged(fingerprints(docs, id_col, text_col, k, digest=True).withColumn("rid", F.monotonically_increasing_id()), "prints")
+    place = F.struct(F.col("id").isNull().alias("none"), "id", "rid", "sha")
+    tops = _firsts(prints, place, max_bits).groupBy("label").agg(F.min("first").alias("top")).select(
+        F.col("top.id").alias(own_id), F.col("top.sha").alias(own_sha))
+    # rows of equal id and text are one key: they need a second step to leave one
+    copies = prints.groupBy("id", "sha").agg(F.count("*").alias(own_copies)).where(F.col(own_copies) > 1)
+    keep = staged(tops.join(copies, F.col(own_id).eqNullSafe(F.col("id")) & (F.col(own_sha) == F.col("sha")), "left").select(
+        own_id, own_sha, F.coalesce(own_copies, F.lit(1)).alias(own_copies)), "keep")
+    same = F.col(id_col).eqNullSafe(F.col(own_id)) & (text_digest(text_col) == F.col(own_sha))
+    once = docs.join(keep.where(F.col(own_copies) == 1), same, "left_semi")
+    repeated = keep.where(F.col(own_copies) > 1)
+    if repeated.isEmpty():
+        return once
+    return once.unionByName(docs.join(repeated, same).dropDuplicates([own_id, own_sha]).select(*[f"`{c}`" for c in docs.columns]))

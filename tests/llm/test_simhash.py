@@ -9,6 +9,7 @@ import xxhash
 from govlake.llm import simhash
 from govlake.llm.queries import op9_simhash
 from govlake.llm.simhash import components, fingerprint, keep_one, links, near_groups, pivot_table
+from llm_fixtures import prose
 
 
 def slow_fingerprint(text, k=3):
@@ -107,3 +108,14 @@ def test_query_on_the_small_table(spark):
         first[root[f]] = min(i, first.get(root[f], i))
     got = {(r["doc_id"], r["fingerprint"], r["component_id"]) for r in op9_simhash(spark, "/root/testdata/sf0.001").collect()}
     assert got == {(i, f"{f:016x}", first[root[f]]) for i, f in prints.items()}
+
+
+def test_one_row_of_each_component_is_kept(make_docs, texts_of):
+    rng = random.Random(41)
+    a, b, c = (prose(rng, 200) for _ in range(3))
+    rows = [(None, a), (None, a), (None, a.upper()), (7, b), (7, c), (7, c), (8, c), (9, b), (None, b), (6, c.upper()), (None, None), (None, "")]
+    docs = make_docs([t for _, t in rows], [i for i, _ in rows], ["id", "n"]).coalesce(1)
+    kept = keep_one(docs)
+    assert kept.columns == docs.columns
+    got = Counter((i, (t or "").lower()) for i, t in texts_of(kept))
+    assert got == Counter([(None, a), (7, b), (6, c), (None, "")])
