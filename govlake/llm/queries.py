@@ -12,26 +12,28 @@ from pyspark.sql import functions as F
 from . import language_id, quality, toxicity
 from .bpe import encode_documents
 from .chunk_dedup import chunk_report
-from .common import crc_fold, table
+from .common import crc_fold, staged, table
 from .decontaminate import contamination
 from .exact_dedup import exact_dedup
 from .ftrl import labelled_sample
 from .sharding import shard_rows
 from .simhash import near_groups
 from .suffix_dedup import suffix_dedup
+from .token_alignment import align_documents, alignment_report, summarise
 
 SHARDS = 16
 
 
 VOCABULARY = "byte_bpe_50k.json"
+PIECES = "piece_bpe_32k.model"
 ACCEPT = 0.3
 
 
-def vocabulary_path() -> str:
-    """Where the public vocabulary file lies (driver and executors have the same installation)."""
+def vocabulary_path(name: str = VOCABULARY) -> str:
+    """Where a public vocabulary file lies (driver and executors have the same installation)."""
     import public_tokenizers
 
-    return public_tokenizers.path(VOCABULARY)
+    return public_tokenizers.path(name)
 
 
 def op1_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -94,6 +96,12 @@ def op10_chunk_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chunk_report(table(spark, sf_dir, "documents"))
 
 
+def op11_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    files = vocabulary_path(), vocabulary_path(PIECES)
+    aligned = align_documents(table(spark, sf_dir, "documents"), *files)
+    return alignment_report(staged(summarise(aligned, *files), "aligned"))
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     import corpus_pipeline
 
@@ -111,6 +119,7 @@ QUERIES = {
     "op8_sharding": op8_sharding,
     "op9_simhash": op9_simhash,
     "op10_chunk_dedup": op10_chunk_dedup,
+    "op11_token_alignment": op11_token_alignment,
     "pipeline": pipeline,
 }
 
