@@ -118,10 +118,12 @@ def tokenize(texts: list[str], a: ByteVocabulary, b: PieceModel) -> list[tuple[l
     ids_a, ids_b = iter(a.encode([" " + p for p in flat])), iter(b.encode(flat))
     out = []
     for text, some in zip(texts, parts):
-        of_a = [i for _ in some for i in next(ids_a)]
-        of_b = [i for _ in some for i in next(ids_b)]
+        of_a, of_b = next(ids_a), next(ids_b)
+        for _ in some[1:]:
+            of_a += next(ids_a)
+            of_b += next(ids_b)
         whole = b" " + text.encode()
-        same = text and whole == b"".join([a.of_id[i] for i in of_a]) and whole == b"".join([b.of_id[i] for i in of_b])
+        same = text and all(whole == b"".join(map(c.of_id.__getitem__, ids)) for c, ids in ((a, of_a), (b, of_b)))
         out.append((of_a, of_b) if same else ([], []))
     return out
 
@@ -195,7 +197,7 @@ def _groups(texts: list[str], most: int) -> Iterator[list[str]]:
 def _lists(parts: list[np.ndarray]) -> pa.ListArray:
     ends = np.cumsum([0, *map(len, parts)])
     flat = np.concatenate(parts) if parts else np.zeros(0, np.int32)
-    return pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(flat.astype(np.int32), pa.int32()))
+    return pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(flat.astype(np.int32, copy=False)))
 
 
 def align_documents(docs: DataFrame, vocabulary: str, model: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -231,11 +233,12 @@ class Paths:
 
     def __init__(self, batch: pa.RecordBatch):
         a, b, path = (batch.column(batch.schema.get_field_index(c)) for c in ("a_ids", "b_ids", "path"))
-        self.steps = np.frombuffer(b"".join(path.to_pylist()), np.uint8)
+        paths = path.to_pylist()
+        self.steps = np.frombuffer(b"".join(paths), np.uint8)
         self.a = a.flatten().to_numpy(zero_copy_only=False).astype(np.int64)
         self.b = b.flatten().to_numpy(zero_copy_only=False).astype(np.int64)
         self.n_a, self.n_b = (np.diff(c.offsets.to_numpy()).astype(np.int64) for c in (a, b))
-        self.n_links = np.array([len(p) for p in path.to_pylist()], np.int64)
+        self.n_links = np.array([len(p) for p in paths], np.int64)
         self.rows = len(self.n_a)
         self.ends_group = self.steps == 3
         self.ends_a, self.ends_b = (self.steps & 1) > 0, self.steps >= 2
@@ -279,7 +282,7 @@ class Paths:
         table = [s for some in names for s in some]
         at = np.concatenate([[0], np.cumsum(self.n_a + self.n_b)]).tolist()
         for s, e in zip(at, at[1:]):
-            yield "".join([table[x] for x in order[s:e].tolist()])[:-1]
+            yield "".join(map(table.__getitem__, order[s:e].tolist()))[:-1]
 
 
 @lru_cache(2)
