@@ -16,6 +16,7 @@ from .common import crc_fold, staged, table
 from .decontaminate import contamination
 from .exact_dedup import exact_dedup
 from .ftrl import labelled_sample
+from .periodic_runs import periodic_runs
 from .sharding import shard_rows
 from .simhash import near_groups
 from .suffix_dedup import suffix_dedup
@@ -102,6 +103,29 @@ def op11_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
     return alignment_report(staged(summarise(aligned, *files), "aligned"))
 
 
+def _with_repeats(docs: DataFrame) -> DataFrame:
+    """The documents of op12's contract: one in ten, by crc32 of its id, has its words from some place on repeated from there."""
+    h = F.crc32(F.col("doc_id").cast("string").cast("binary"))
+    words = F.when(h % 10 == 0, F.array_remove(F.split("text", r"[\x20\x09-\x0D]+"), ""))
+    docs = docs.select("doc_id", "text", F.floor(h / 10).alias("g"), words.alias("words")).withColumn("n", F.size("words"))
+    docs = docs.withColumn("a", F.when(F.col("n") > 0, F.expr("int(g % n)")))
+    docs = docs.withColumn("p", F.expr("int(1 + (n - a) div (3 + g % 8))"))
+    tail = F.expr("slice(flatten(array_repeat(slice(words, a + 1, p), int(ceil((n - a) / p)))), 1, n - a)")
+    planted = F.array_join(F.concat(F.expr("slice(words, 1, a)"), tail), " ")
+    return docs.select("doc_id", F.when(F.col("n") > 0, planted).otherwise(F.col("text")).alias("text"))
+
+
+def op12_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = periodic_runs(_with_repeats(table(spark, sf_dir, "documents")))
+    longest = F.array_max(F.transform("runs", lambda r: F.struct(r["length"].alias("length"), (-r["start"]).alias("s"), (-r["period"]).alias("p"))))
+    lines = F.transform("runs", lambda r: F.concat(F.concat_ws(",", r["start"], r["length"], r["period"]), F.lit("\n")))
+    rows = found.select("doc_id", F.size("runs").cast("long").alias("n_runs"), longest.alias("r"), lines.alias("lines"), "collapsed")
+    return rows.select(
+        "doc_id", "n_runs", (-F.col("r.s")).alias("start"), F.col("r.length").alias("length"), (-F.col("r.p")).alias("period"),
+        F.expr("1000 * r.length div -r.p").alias("exponent_milli"), F.sha2(F.array_join("lines", ""), 256).alias("runs_sha256"),
+        F.sha2("collapsed", 256).alias("collapsed_sha256"))
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     import corpus_pipeline
 
@@ -120,6 +144,7 @@ QUERIES = {
     "op9_simhash": op9_simhash,
     "op10_chunk_dedup": op10_chunk_dedup,
     "op11_token_alignment": op11_token_alignment,
+    "op12_periodic_runs": op12_periodic_runs,
     "pipeline": pipeline,
 }
 
