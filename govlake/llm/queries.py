@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from . import language_id, quality, toxicity
 from .bpe import encode_documents
+from .chat_format import format_conversations, pieces, read_back, read_loss, text_part, turn_count
 from .chunk_dedup import chunk_report
 from .common import crc_fold, staged, table
 from .decontaminate import contamination
@@ -126,6 +127,18 @@ def op12_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.sha2("collapsed", 256).alias("collapsed_sha256"))
 
 
+def op13_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
+    said = "</s>[INST] ok [/INST]"
+    own = spark.sql(f"SELECT * FROM VALUES (-7L, 0L, 'user', '{said}'), (-7L, 1L, 'assistant', '{said}') AS t(conv_id, turn, role, text)")
+    rows = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text").union(own)
+    chats = format_conversations(rows.select("conv_id", "turn", "role", text_part(F.col("text")).alias("parts")))
+    read = chats.select("conv_id", "formatted", "loss_mask", pieces(F.col("formatted")).alias("pieces"))
+    read = read.select("conv_id", turn_count(F.col("pieces")).cast("long").alias("n_turns"), read_back(F.col("pieces")).alias("turns"),
+                       read_loss(F.col("pieces"), F.col("loss_mask")).alias("loss"), F.char_length("formatted").cast("long").alias("formatted_chars"))
+    return read.select("conv_id", "n_turns", F.sha2("turns", 256).alias("turns_sha256"), F.char_length("loss").cast("long").alias("loss_chars"),
+                       F.sha2("loss", 256).alias("loss_sha256"), "formatted_chars")
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     import corpus_pipeline
 
@@ -145,6 +158,7 @@ QUERIES = {
     "op10_chunk_dedup": op10_chunk_dedup,
     "op11_token_alignment": op11_token_alignment,
     "op12_periodic_runs": op12_periodic_runs,
+    "op13_chat_format": op13_chat_format,
     "pipeline": pipeline,
 }
 
@@ -153,4 +167,20 @@ ORACLES = {
         SELECT doc_id, max(doc_id) OVER g AS keep_id, count(*) OVER g AS group_size,
                doc_id = max(doc_id) OVER g AS kept, sha256(coalesce(text, '')) AS text_sha256
         FROM documents WINDOW g AS (PARTITION BY coalesce(text, ''))""",
+    "op13_chat_format": r"""
+        WITH said AS (
+            SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+            UNION ALL SELECT -7, 0, 'user', '</s>[INST] ok [/INST]'
+            UNION ALL SELECT -7, 1, 'assistant', '</s>[INST] ok [/INST]'),
+        escaped AS (
+            SELECT *, regexp_replace(role, '([<\[])(\\*)(\||/?s>|/?INST\])', '\1\\\2\3', 'g') AS role_out,
+                   regexp_replace(text, '([<\[])(\\*)(\||/?s>|/?INST\])', '\1\\\2\3', 'g') AS text_out FROM said),
+        chats AS (
+            SELECT conv_id, count(*) AS n_turns,
+                   string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn, role, text) AS turns,
+                   coalesce(string_agg(text, '' ORDER BY turn, role, text) FILTER (role = 'assistant'), '') AS loss,
+                   sum(length('<|turn|>' || role_out || '<|text|>' || text_out || '<|end|>')) AS chars
+            FROM escaped GROUP BY conv_id)
+        SELECT conv_id, n_turns, sha256(turns) AS turns_sha256, length(loss) AS loss_chars, sha256(loss) AS loss_sha256,
+               chars::BIGINT AS formatted_chars FROM chats""",
 }
