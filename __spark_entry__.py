@@ -106,6 +106,7 @@ def _storage_queries() -> dict[str, Callable]:
         return lambda spark, sf_dir: read_fact(spark, _ingested(spark, sf_dir), name)
 
     return {
+        "chain_stream": _validated,
         "ingest_storage_blocks": fact("blocks"),
         "ingest_storage_actions": fact("receipt_actions"),
         "ingest_storage_outcomes": fact("execution_outcomes"),
@@ -114,6 +115,41 @@ def _storage_queries() -> dict[str, Callable]:
     }
 
 
+_VALIDATED: dict = {}
+
+
+def _validated(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """ST3 as a stream: the branched feed lands in five files in order of height; the stream stops after three and goes on."""
+    from govlake.session import checkpoint_dir
+    from govlake.sources.fixtures import branched_blocks
+    from govlake.streaming.chain import HEADER, chain_status, start_chain_validation
+
+    lake = _lake(spark, sf_dir)
+    key = (spark.sparkContext.applicationId, sf_dir)
+    root = f"{checkpoint_dir(spark)}/govlake/{key[0]}/{hashlib.md5(sf_dir.encode()).hexdigest()[:12]}-validated"
+    with _LOCK:
+        if key not in _VALIDATED:
+            feed = branched_blocks(lake.facts.blocks).select("height", "hash", "prev_hash")
+            low, high = (feed.agg(f("height")).scalar() for f in (F.min, F.max))
+            part = F.floor((F.col("height") - low) * 5 / (high - low + 1))
+
+            def run(parts) -> None:
+                for i in parts:
+                    feed.where(part == i).select("height", "hash", "prev_hash").coalesce(1).write.mode("append").parquet(f"{root}/headers")
+                headers = spark.readStream.schema(HEADER).option("maxFilesPerTrigger", 1).parquet(f"{root}/headers")
+                start_chain_validation(spark, headers, root, checkpoint=f"{root}/checkpoint").awaitTermination()
+
+            run(range(3))
+            run(range(3, 5))
+            _VALIDATED[key] = root
+    return chain_status(spark, root).select("height", "hash", "prev_hash", (F.col("status") == "accepted").alias("accepted"))
+
+
+def _branched(lake):
+    from govlake.sources.fixtures import branched_blocks
+    return branched_blocks(lake.facts.blocks)
+
+
 def _decode_join(lake):
     """Actions with their outcomes from the two fact tables."""
     from govlake.functions.json import jstr
@@ -166,6 +202,7 @@ def _proposal_votes(lake):
 
 def _registry() -> dict[str, Callable]:
     from govlake.operators.upsert import upsert_frames
+    from govlake.plans import chain as C
     from govlake.plans import quality as Q
     from govlake.plans import registered_voters as RV
     from govlake.plans.approved_proposals import recent_approved
@@ -200,6 +237,8 @@ def _registry() -> dict[str, Callable]:
         "replay_range": lambda L: upsert_frames(
             L.facts.actions, L.flat.actions.where(F.col("block_height") >= _replay_cut(L.facts.blocks)), ["id"]),
         # monitoring and data quality
+        "accepted_blocks": lambda L: C.accepted_blocks(_branched(L)),
+        "chain_state": lambda L: C.chain_state(_branched(L)),
         "chain_breaks": lambda L: Q.chain_breaks(L.facts.blocks),
         "block_gaps": lambda L: Q.block_gaps(L.facts.blocks),
         "block_age": lambda L: Q.block_age(L.facts.blocks, L.cfg.as_of_column()),

@@ -62,3 +62,18 @@ def global_row_number(df: DataFrame, order_col: str, width: int | Column, name:
     w = Window.partitionBy(BUCKET).orderBy(order_col)
     return d.join(offs.select(BUCKET, "__off"), BUCKET) \
         .withColumn(name, F.row_number().over(w) + F.col("__off")).drop(BUCKET, "__off")
+
+
+def last_marked(df: DataFrame, order_col: str, width: int | Column, mark: Column, value: Column, name: str, inclusive: bool = False) -> DataFrame:
+    """``value`` (never null) of the last marked row before each row (``inclusive``: or of the row itself), exactly.
+
+    Each bucket looks at its own rows; what it inherits is the last marked value of the buckets before it,
+    from one row per bucket.
+    """
+    d = bucketed(df, order_col, width).withColumn("__value", F.when(mark, value))
+    last = d.groupBy(BUCKET).agg(F.max_by("__value", F.when(F.col("__value").isNotNull(), F.col(order_col))).alias("__last"))
+    before = Window.orderBy(BUCKET).rowsBetween(Window.unboundedPreceding, -1)  # one row per bucket
+    carried = last.select(BUCKET, F.last("__last", ignorenulls=True).over(before).alias("__carried"))
+    here = Window.partitionBy(BUCKET).orderBy(order_col).rowsBetween(Window.unboundedPreceding, 0 if inclusive else -1)
+    return d.withColumn("__here", F.last("__value", ignorenulls=True).over(here)).join(carried, BUCKET).withColumn(
+        name, F.coalesce("__here", "__carried")).drop(BUCKET, "__value", "__here", "__carried")

@@ -229,5 +229,23 @@ def facts_from_rows(rows: DataFrame) -> Facts:
     return Facts(blocks, actions, outcomes)
 
 
+# Of every 41 blocks, how many blocks back a block's parent lies where it isn't the one before (0: nowhere).
+BRANCHES = {7: 0, 8: 2, 19: 2, 20: 2, 30: 2, 32: 3}
+LOST = (700, 650)  # of every 700 blocks the one at 650 has no parent, and nothing links around it
+
+
+def branched_blocks(blocks: DataFrame) -> DataFrame:
+    """The fixture's blocks with other parents: orphans, forks, chains that link around them again, and a lost end."""
+    b = blocks.withColumn("b", F.expr(f"height - {FIRST_HEIGHT} - (height - {FIRST_HEIGHT}) div 51"))
+    back = F.lit(1)
+    for place, distance in BRANCHES.items():
+        back = F.when(F.col("b") % 41 == place, distance).otherwise(back)
+    b = b.withColumn("back", F.when(F.col("b") % LOST[0] == LOST[1], 0).otherwise(back))
+    parent = F.expr(f"{FIRST_HEIGHT} + (b - back) + (b - back) div 50")
+    prev = F.when(F.col("back") == 0, F.md5(F.lit("x"))).when(F.col("b") < F.col("back"), F.md5(F.lit("start"))).otherwise(
+        F.md5(parent.cast("string")))
+    return b.withColumn("prev_hash", prev).select(*blocks.columns)
+
+
 def synthetic_facts(events: DataFrame, cfg: ContractConfig = ContractConfig()) -> Facts:
     return facts_from_rows(event_rows(events, cfg))
