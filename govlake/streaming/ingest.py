@@ -25,15 +25,16 @@ except the cursor table.
 from __future__ import annotations
 
 import time
+from concurrent.futures import ThreadPoolExecutor
 
+from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from govlake.config import ContractConfig
 from govlake.operators.flatten import flatten_blocks, flatten_silver
 from govlake.operators.latest import first_per_key
-from govlake.operators.upsert import INGEST_COL, cursor_latest, resume_height, upsert_table
-from govlake.schemas import BLOCKS
+from govlake.operators.upsert import INGEST_COL, SLOTS, KeyIndex, cursor_latest, resume_height, upsert_table
 from govlake.session import checkpoint_dir, ensure_session_conf, path_exists
 from govlake.sources.blockfeed import landing_records, landing_schema
 from govlake.sources.tables import SILVER_PARTITIONS, silver_for_storage, with_bucket
@@ -46,24 +47,36 @@ def _ordered(df: DataFrame, height_col: str) -> DataFrame:
     return df.withColumn(INGEST_COL, F.col(height_col).cast("bigint"))
 
 
-def _stored_blocks(spark: SparkSession, root: str) -> DataFrame:
-    if path_exists(spark, f"{root}/blocks"):
-        return spark.read.parquet(f"{root}/blocks").select("height", "hash")
-    return spark.createDataFrame([], BLOCKS).select("height", "hash")
+def hash_index(spark: SparkSession, root: str) -> KeyIndex:
+    """The hashes of the stored blocks, dealt to folders by hash."""
+    return KeyIndex(spark, f"{root}/blocks", ["hash"], ["hash"], SLOTS)
 
 
-def chain_findings(blocks: DataFrame, stored: DataFrame) -> DataFrame:
+def chain_findings(blocks: DataFrame, index: KeyIndex, root: str) -> DataFrame:
     """ST3: blocks of this batch whose parent is neither in the batch nor stored.
 
-    Distributed anti-joins on the parent hash (no ordered scan); rows are kept in the
-    tables and only reported here. The lowest block of the batch is unchecked when no stored
-    block lies below it: there its parent is not known yet, as at the start of a run.
+    Distributed anti-joins on the parent hash (no ordered scan); of the stored hashes only the folders are read that the
+    batch's parents hash to. Rows are kept in the tables and only reported here; ``streaming.chain`` decides
+    in order. The lowest block of the batch is unchecked when no stored block lies below it: there its parent is not
+    known yet, as at the start of a run.
     """
-    first = blocks.agg(F.min("height").alias("h0"))
+    spark = blocks.sparkSession
     orphans = blocks.join(blocks.select(F.col("hash").alias("parent_hash")), F.col("prev_hash") == F.col("parent_hash"), "left_anti")
-    orphans = orphans.join(stored.select(F.col("hash").alias("stored_hash")), F.col("prev_hash") == F.col("stored_hash"), "left_anti")
-    start = first.join(stored.agg(F.min("height").alias("s0")), F.lit(True)).where("s0 is null or s0 >= h0").select("h0")
-    return orphans.join(start, F.col("height") == F.col("h0"), "left_anti").select("height", "hash", "prev_hash")
+    if path_exists(spark, index.path):
+        parents = index.find(index.entries(blocks.select(F.col("prev_hash").alias("hash"))))
+        orphans = orphans.join(parents.select(F.col("hash").alias("stored_hash")), F.col("prev_hash") == F.col("stored_hash"), "left_anti")
+    lowest = blocks.agg(F.min("height")).first()[0]
+    if not _stored_below(spark, root, lowest):
+        orphans = orphans.where(F.col("height") != lowest)
+    return orphans.select("height", "hash", "prev_hash")
+
+
+def _stored_below(spark: SparkSession, root: str, height: int) -> bool:
+    """Whether a block below the height is stored; the filters leave the partitions and row groups that can hold one."""
+    if not path_exists(spark, f"{root}/blocks"):
+        return False
+    stored = spark.read.schema("height bigint, height_bucket bigint").parquet(f"{root}/blocks")
+    return not stored.where((F.col("height_bucket") <= height) & (F.col("height") < height)).limit(1).isEmpty()
 
 
 CURSOR_SCHEMA = "cursor string, block_num bigint, block_id string, id string"
@@ -118,19 +131,25 @@ def ingest_batch(spark: SparkSession, records: DataFrame, batch_id: int, root: s
 def _store_batch(spark: SparkSession, records: DataFrame, batch_id: int, root: str, cfg: ContractConfig, app_version: str) -> None:
     facts = flatten_blocks(records, cfg)
     blocks = facts.blocks
-    (chain_findings(blocks, _stored_blocks(spark, root)).withColumn("app_version", F.lit(app_version))
+    hashes = hash_index(spark, root)
+    (chain_findings(blocks, hashes, root).withColumn("app_version", F.lit(app_version))
      .withColumn("batch_id", F.lit(batch_id)).write.mode("overwrite")
      .option("partitionOverwriteMode", "dynamic").partitionBy("app_version", "batch_id")
      .parquet(f"{root}/chain_findings"))  # a retried batch replaces its own findings
-    upsert_table(spark, _ordered(with_bucket(facts.actions, "block_height"), "block_height"),
-                 f"{root}/receipt_actions", ["id"], "height_bucket")
-    upsert_table(spark, _ordered(with_bucket(facts.outcomes, "block_height"), "block_height"),
-                 f"{root}/execution_outcomes", ["receipt_id"], "height_bucket")
+    hashes.add_new(hashes.entries(blocks))
     # silver for this batch: a receipt and its outcome arrive in the same block record,
     # so the decoded rows come straight from the records (no join)
-    upsert_table(spark, _ordered(silver_for_storage(flatten_silver(records, cfg)), "block_height"),
-                 f"{root}/silver", ["id"], SILVER_PARTITIONS)
-    upsert_table(spark, _ordered(with_bucket(blocks, "height"), "height"), f"{root}/blocks", ["height"], "height_bucket")
+    silver = silver_for_storage(flatten_silver(records, cfg))
+    tables = [("receipt_actions", with_bucket(facts.actions, "block_height"), "block_height", ["id"], "height_bucket", False),
+              ("execution_outcomes", with_bucket(facts.outcomes, "block_height"), "block_height", ["receipt_id"], "height_bucket", False),
+              ("silver", silver, "block_height", ["id"], SILVER_PARTITIONS, False),
+              ("blocks", with_bucket(blocks, "height"), "height", ["height"], "height_bucket", True)]
+    # the tables don't depend on each other: their jobs share the cluster; all are done before the cursor moves
+    with ThreadPoolExecutor(len(tables)) as pool:
+        jobs = [pool.submit(inheritable_thread_target(spark)(upsert_table), spark, _ordered(rows, height), f"{root}/{name}", keys, parts,
+                            located=located) for name, rows, height, keys, parts, located in tables]
+        for job in jobs:
+            job.result()
     _write_cursor(blocks, root, app_version)  # ST4: the cursor is written last
 
 

@@ -53,3 +53,67 @@ def test_cursor_is_last_processed_not_max(spark):
                                  "app_version string, block_num bigint, block_hash string, processed_order bigint")
     r = cursor_latest(prog).first()
     assert r["block_num"] == 12 and r["cursor"] == "h12"
+
+
+def _files_read(df):
+    return {r[0] for r in df.select(F.input_file_name()).distinct().collect()}
+
+
+def test_a_batch_reads_only_the_index_slots_of_its_keys(spark, tmp_path, monkeypatch):
+    from govlake.operators import upsert
+    path, schema = str(tmp_path / "t"), "k int, v string, p int"
+    upsert_table(spark, spark.createDataFrame([(i, "a", i // 100) for i in range(1000)], schema), path, ["k"], "p")
+    seen = []
+    find = upsert.KeyIndex.find
+    monkeypatch.setattr(upsert.KeyIndex, "find", lambda self, e: seen.append((self, e.collect(), find(self, e))) or seen[-1][2])
+    upsert_table(spark, spark.createDataFrame([(205, "b", 2), (731, "b", 7)], schema), path, ["k"], "p")
+    index, entries, found = seen[0]
+    slots = {e["slot"] for e in entries}
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters" in plan and {r["slot"] for r in found.collect()} <= slots and len(slots) <= 2
+    folders = {f.split("slot=")[1].split("/")[0] for f in _files_read(spark.read.parquet(index.path).where(F.col("slot").isin(list(slots))))}
+    assert folders == {str(s) for s in slots}
+    got = {r["k"]: r["v"] for r in spark.read.parquet(path).collect()}
+    assert len(got) == 1000 and {k for k, v in got.items() if v == "b"} == {205, 731}
+
+
+def test_untouched_partitions_keep_their_files_and_nothing_is_checkpointed(spark, tmp_path):
+    import os
+
+    from govlake.session import checkpoint_dir
+    path, schema = str(tmp_path / "t"), "k int, v string, p int"
+
+    def files():
+        return {os.path.join(d, f) for d, _, fs in os.walk(path) for f in fs if f.endswith(".parquet")}
+
+    def checkpoints():
+        return sum(len(fs) for _, _, fs in os.walk(checkpoint_dir(spark).removeprefix("file:")))
+
+    upsert_table(spark, spark.createDataFrame([(i, "a", i // 100) for i in range(1000)], schema), path, ["k"], "p")
+    before, kept = files(), checkpoints()
+    upsert_table(spark, spark.createDataFrame([(205, "b", 2), (2000, "n", 20)], schema), path, ["k"], "p")
+    assert {f for f in before - files()} == {f for f in before if "/p=2/" in f}
+    assert checkpoints() == kept
+
+
+def test_an_index_is_made_for_a_table_without_one(spark, tmp_path):
+    path, schema = str(tmp_path / "t"), "k int, v string, p int"
+    spark.createDataFrame([(i, "a", 0) for i in range(10)], schema).write.partitionBy("p").parquet(path)
+    upsert_table(spark, spark.createDataFrame([(3, "b", 1)], schema), path, ["k"], "p")
+    got = sorted((r["k"], r["v"], r["p"]) for r in spark.read.parquet(path).collect())
+    assert got == sorted([(i, "a", 0) for i in range(10) if i != 3] + [(3, "b", 1)])
+
+
+def test_a_crash_after_the_index_was_written_loses_nothing(spark, tmp_path, monkeypatch):
+    import pytest
+
+    from govlake.operators import upsert
+    path, schema = str(tmp_path / "t"), "k int, v string, p int"
+    rows = spark.createDataFrame([(i, "a", i // 5) for i in range(10)], schema)
+    with monkeypatch.context() as m:
+        m.setattr(upsert, "_write", lambda *a: (_ for _ in ()).throw(RuntimeError("lost")))
+        with pytest.raises(RuntimeError):
+            upsert_table(spark, rows, path, ["k"], "p")
+    upsert_table(spark, rows, path, ["k"], "p")
+    upsert_table(spark, rows, path, ["k"], "p")
+    assert spark.read.parquet(path).count() == 10
