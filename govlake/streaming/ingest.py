@@ -37,6 +37,7 @@ from govlake.operators.latest import first_per_key
 from govlake.operators.upsert import INGEST_COL, SLOTS, KeyIndex, cursor_latest, resume_height, upsert_table
 from govlake.session import checkpoint_dir, ensure_session_conf, path_exists
 from govlake.sources.blockfeed import landing_records, landing_schema
+from govlake.sources.zones import files_by_height, index_landing
 from govlake.sources.tables import SILVER_PARTITIONS, silver_for_storage, with_bucket
 
 ARRIVAL = "__arrival"
@@ -108,9 +109,11 @@ def last_arrivals(records: DataFrame) -> DataFrame:
 
 def ingest_batch(spark: SparkSession, records: DataFrame, batch_id: int, root: str,
                  cfg: ContractConfig = ContractConfig(), app_version: str = "v1",
-                 start_height: int | None = None) -> None:
+                 start_height: int | None = None, end_height: int | None = None) -> None:
     """One micro-batch (also usable for a bounded replay)."""
     ensure_session_conf(spark)
+    if end_height is not None:
+        records = records.where(F.col("block.header.height") <= end_height)
     if start_height is not None:
         records = records.where(F.col("block.header.height") >= start_height)
     records = records.persist()  # read by several flattens; recomputed from the batch's files on loss
@@ -159,15 +162,26 @@ def resume_start(spark: SparkSession, root: str, app_version: str, explicit: int
     return resume_height(cursors(spark, root), app_version, explicit, configured).first()["start_height"]
 
 
-def replay(spark: SparkSession, landing_dir: str, root: str, start_height: int,
+def _landed(spark: SparkSession, paths: str | list[str], fmt: str) -> DataFrame:
+    return landing_records(spark.read.schema(landing_schema(fmt)).options(**READ_OPTIONS).format(fmt).load(paths), fmt)
+
+
+def zone_log(root: str) -> str:
+    return f"{root}/_zones"
+
+
+def replay(spark: SparkSession, landing_dir: str, root: str, start_height: int | None = None,
            cfg: ContractConfig = ContractConfig(), app_version: str = "replay", fmt: str = "parquet",
-           batch_id: int | None = None) -> None:
-    """Bounded backfill of landed blocks from ``start_height`` into the same upsert sink.
+           batch_id: int | None = None, end_height: int | None = None) -> None:
+    """Bounded backfill of landed blocks of a range of heights (ends inclusive) into the same upsert sink.
 
+    Only files that hold a height of the range are read; the zone log under ``root`` names them.
     The findings of each replay are kept under a ``batch_id`` of its own (default: milliseconds since 1970).
     """
-    records = landing_records(spark.read.schema(landing_schema(fmt)).options(**READ_OPTIONS).format(fmt).load(landing_dir), fmt)
-    ingest_batch(spark, records, time.time_ns() // 1_000_000 if batch_id is None else batch_id, root, cfg, app_version, start_height)
+    files = index_landing(spark, landing_dir, zone_log(root), fmt).files_between(start_height, end_height)
+    if files:
+        ingest_batch(spark, _landed(spark, files, fmt), time.time_ns() // 1_000_000 if batch_id is None else batch_id, root, cfg,
+                     app_version, start_height, end_height)
 
 
 READ_OPTIONS = {"mode": "FAILFAST"}  # a malformed record stops the ingest, it is not skipped
@@ -194,6 +208,29 @@ def start_ingest(spark: SparkSession, landing_dir: str, root: str, cfg: Contract
     return w.start()
 
 
+def start_ordered_ingest(spark: SparkSession, landing_dir: str, root: str, cfg: ContractConfig = ContractConfig(),
+                         app_version: str = "v1", fmt: str = "parquet", lag: int = 0, available_now: bool = True,
+                         checkpoint: str | None = None, files_at_once: int = 64):
+    """The ingest over files in order of height, whatever their order of arrival.
+
+    The stream carries file names and their ranges; Spark reads the blocks of ``files_at_once`` files at a time, lowest first. Files
+    that end within ``lag`` heights of the highest block seen wait for lower ones; a final run with lag 0 takes them.
+    """
+    ensure_session_conf(spark)
+    index_landing(spark, landing_dir, zone_log(root), fmt)
+
+    def store(batch: DataFrame, batch_id: int) -> None:
+        files = [r["file"] for r in batch.orderBy("lowest", "highest", "file").collect()]  # file names only, no data
+        for i in range(0, len(files), files_at_once):
+            ingest_batch(spark, _landed(spark, files[i:i + files_at_once], fmt), batch_id * 1_000_000 + i, root, cfg, app_version)
+
+    ckpt = checkpoint or f"{checkpoint_dir(spark)}/streams/ordered-{app_version}"
+    w = files_by_height(spark, landing_dir, zone_log(root), lag, fmt).writeStream.foreachBatch(store).option(
+        "checkpointLocation", ckpt).queryName(f"govlake-ordered-{app_version}")
+    w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime="10 seconds")
+    return w.start()
+
+
 def progress_report(spark: SparkSession, query) -> DataFrame:
     """ST7: per micro-batch input rows, rate and duration from the query's own progress log.
 
