@@ -4,7 +4,7 @@ import random
 
 import pytest
 
-from govlake.llm.decontaminate import contamination, drop_leaks, tile
+from govlake.llm.decontaminate import contamination, drop_leaks, tile, tokens
 from govlake.llm.queries import op1_decontaminate
 from llm_fixtures import CLASHING, prose
 
@@ -47,10 +47,66 @@ def test_tiles_are_valid_and_greedy():
             assert not used_i & set(range(i, i + n)) and not used_r & {(r, x) for x in range(j, j + n)}
             used_i |= set(range(i, i + n))
             used_r |= {(r, x) for x in range(j, j + n)}
-        want = slow_tiles(item, runs, 3)
-        assert bool(tiles) == bool(want)
-        if want:
-            assert max(t[3] for t in tiles) == want[0]
+        assert [t[3] for t in tiles] == slow_tiles(item, runs, 3)
+
+
+def test_no_match_is_left_between_overlapping_excerpts():
+    """Excerpts of an item that overlap: the coverage is that of the plain greedy algorithm, and nothing of 5 tokens is left."""
+    rng = random.Random(12)
+    for number in range(10_000):
+        item = list(range(rng.randint(5, 40))) if rng.random() < 0.7 else [rng.randrange(9) for _ in range(rng.randint(5, 25))]
+        runs = []
+        for _ in range(rng.randint(1, 4)):
+            a = rng.randrange(len(item))
+            runs.append([99] * rng.randint(0, 1) + item[a:a + rng.randint(1, 20)])
+        tiles = tile(item, runs, 5)
+        used_i, used_r = set(), set()
+        for i, r, j, n in tiles:
+            used_i |= set(range(i, i + n))
+            used_r |= {(r, x) for x in range(j, j + n)}
+        for i in range(len(item) - 4):
+            for r, seq in enumerate(runs):
+                for j in range(len(seq) - 4):
+                    assert (item[i:i + 5] != seq[j:j + 5] or used_i & set(range(i, i + 5))
+                            or used_r & {(r, x) for x in range(j, j + 5)})
+        if number < 1500:
+            assert sum(t[3] for t in tiles) == sum(slow_tiles(item, runs, 5))
+
+
+def hashes(*texts):
+    row, token = tokens(list(texts))
+    return [token[row == r].tolist() for r in range(len(texts))]
+
+
+def test_tokens_of_any_script():
+    a, b, c = hashes("Straße ΑΘΗΝΑ“Москва”\u00a0x—y", "STRASSE αθηνα, МОСКВА x y", None)
+    assert a == b and len(a) == 5 and c == []
+    full, plain = hashes("ＡＢＣ　１２", "abc 12")
+    assert full == plain
+    assert len(hashes("日本語の文 ok")[0]) == 6 and len(hashes("ภาษาไทย")[0]) == 7
+    text = "e\u0301té " * 9 + "漢字 and words " * 40
+    assert hashes(text, "漢字")[0] == hashes(text)[0]
+
+
+def test_slices_cut_no_token(monkeypatch):
+    from govlake.llm import decontaminate
+    text = ("word " * 30 + "w" * 400 + " 漢字かな " + "é" * 90 + "\n") * 5
+    whole = hashes(text, None, text[:50])
+    for size in (1, 7, 64, 1000):
+        monkeypatch.setattr(decontaminate, "PIECE", size)
+        assert hashes(text, None, text[:50]) == whole
+
+
+def test_short_items_and_scripts_without_spaces(spark, make_docs, rows_of):
+    rng = random.Random(3)
+    passage = "今日は天気がとても良いので公園まで歩いて行きました"
+    thai = "วันนี้อากาศดีมากเราไปเดินเล่นที่สวน"
+    bench = spark.createDataFrame([(1, "one two three four"), (2, "alpha beta gamma"), (3, "too short"), (4, passage), (5, thai), (6, "a b c d e")],
+                                  "item_id long, text string")
+    texts = [f"{prose(rng, 20)} One, two; THREE four {prose(rng, 5)}", "one two three", "x alpha beta gamma one two three four",
+             f"前の文。{passage}。次の文", f"ก่อน {thai} หลัง", "too short", "d e a b c", "za b c d ez", prose(rng, 80), "alpha beta delta gamma"]
+    got = {r["doc_id"]: r["items"] for r in rows_of(contamination(make_docs(texts), bench)) if r["contaminated"]}
+    assert got == {0: [1], 2: [1, 2], 3: [4], 4: [5]}
 
 
 @pytest.fixture(scope="module")
@@ -73,7 +129,7 @@ def planted():
 
 def test_planted_passages(spark, make_docs, rows_of, planted):
     items, texts, leaked = planted
-    bench = spark.createDataFrame([*enumerate(items), (90, None), (91, ""), (92, "too short here"), (None, None)], "item_id long, text string")
+    bench = spark.createDataFrame([*enumerate(items), (90, None), (91, ""), (92, "too short"), (None, None)], "item_id long, text string")
     docs = make_docs(list(texts.values()), extra=CLASHING)
     got = {list(texts)[r["doc_id"]]: r for r in rows_of(contamination(docs, bench))}
     assert {n: r["items"] for n, r in got.items() if r["contaminated"]} == leaked
