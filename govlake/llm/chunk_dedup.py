@@ -96,9 +96,13 @@ def chunk_text(text: np.ndarray) -> list[int]:
     return out
 
 
-def chunk_table(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """One row per input row: rid, id, n_bytes and its chunks as parallel arrays (ends, d1, d2), written once."""
-    src = small_batches(docs).select(F.monotonically_increasing_id().alias("rid"), F.col(id_col).alias("id"),
+def chunk_table(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", row_col: str | None = None) -> DataFrame:
+    """One row per input row: rid, id, n_bytes and its chunks as parallel arrays (ends, d1, d2), written once.
+
+    ``row_col``: a column that numbers the rows, where there is one.
+    """
+    rid = F.col(row_col) if row_col else F.monotonically_increasing_id()
+    src = small_batches(docs).select(rid.alias("rid"), F.col(id_col).alias("id"),
                       F.col(text_col).cast("string").alias("text"))
     kind = src.schema["id"].dataType.simpleString()
 
@@ -161,9 +165,12 @@ def _joined(min_run: int):
     return run
 
 
-def chunk_report(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", min_run: int = MIN_RUN) -> DataFrame:
-    """One row per input row: id, n_bytes, n_removed, n_spans, spans (begin, end in bytes), n_chunks, n_copied."""
-    table = chunk_table(docs, id_col, text_col)
+def chunk_report(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", min_run: int = MIN_RUN,
+                 row_col: str | None = None) -> DataFrame:
+    """One row per input row: id (with ``row_col`` that instead), n_bytes, n_removed, n_spans, spans (begin, end in bytes), n_chunks, n_copied."""
+    table = chunk_table(docs, id_col, text_col, row_col)
+    if row_col:
+        table, id_col = table.withColumn("id", F.col("rid")), row_col
     rows = table.select("rid", F.col("id").alias(id_col), "n_bytes", F.size("ends").cast("long").alias("n_chunks"))
     runs = copied_runs(table, min_run)
     none = F.array().cast("array<struct<begin:bigint,end:bigint>>")
@@ -190,15 +197,18 @@ def cut_spans(text: str | None, spans: list) -> str | None:
 def remove_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", min_run: int = MIN_RUN) -> DataFrame:
     """``docs`` with the copied runs cut out of the text; all columns pass through.
 
-    Needs one row per doc_id (rows that repeat an id lose the spans of each).
+    The rows are numbered and written once, so each loses its own runs, whatever ids repeat or are null.
     """
-    own_id, own_spans = free_names(docs, "__id", "__spans")
-    report = staged(chunk_report(docs, id_col, text_col, min_run).where("n_spans > 0").groupBy(F.col(id_col).alias(own_id)).agg(
-        F.flatten(F.collect_list("spans")).alias(own_spans)), "spans")
+    row, own, own_spans = free_names(docs, "__row", "__own", "__spans")
+    docs = docs.withColumn(row, F.monotonically_increasing_id())
+    numbered = staged(docs, "numbered")
+    report = staged(chunk_report(numbered, id_col, text_col, min_run, row).where("n_spans > 0").select(
+        F.col(row).alias(own), F.col("spans").alias(own_spans)), "spans")
 
     @F.pandas_udf("string")
     def kept(text: pd.Series, spans: pd.Series) -> pd.Series:
         return pd.Series([cut_spans(t, [] if s is None else list(s)) for t, s in zip(text, spans)], dtype=object)
 
-    joined = docs.join(report, F.col(id_col).eqNullSafe(F.col(own_id)), "left")
-    return joined.withColumn(text_col, kept(F.col(text_col), F.col(own_spans))).select(*[f"`{c}`" for c in docs.columns])
+    joined = numbered.join(report, F.col(row) == F.col(own), "left")
+    cut = F.when(F.col(own_spans).isNull(), F.col(text_col)).otherwise(kept(F.col(text_col), F.col(own_spans)))
+    return joined.withColumn(text_col, cut).drop(row, own, own_spans)

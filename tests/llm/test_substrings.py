@@ -10,7 +10,7 @@ import pytest
 from govlake.llm import chunk_dedup as C
 from govlake.llm.chunk_dedup import chunk_report, chunk_text, gear, remove_copies
 from govlake.llm.suffix_dedup import repeated_starts, sliding_min, stretches, suffix_dedup
-from llm_fixtures import WORDS, prose
+from llm_fixtures import CLASHING, WORDS, prose
 
 
 def repeated_by_hand(strings, weights, length):
@@ -136,9 +136,30 @@ def test_chunk_dedup_of_odd_documents(odd_docs, make_docs, rows_of, texts_of):
     assert len(rows_of(chunk_report(odd_docs))) == odd_docs.count()
     out = remove_copies(odd_docs)
     assert out.columns == odd_docs.columns and out.count() == odd_docs.count()
+    spans = {(r["doc_id"], r["n_bytes"]): r["spans"] for r in rows_of(chunk_report(docs))}
+    for i, t in texts_of(remove_copies(docs)):
+        before = dict(pairs)[i]
+        data = (before or "").encode()
+        kept = b"".join(data[x:y] for x, y in zip([0, *[s["end"] for s in spans[i, len(data)]]],
+                                                  [*[s["begin"] for s in spans[i, len(data)]], len(data)]))
+        assert t == (None if before is None else kept.decode("utf-8", "ignore"))
     assert chunk_report(make_docs([])).count() == 0
 
 
+def test_each_row_loses_its_own_copies(make_docs):
+    """Null and repeated ids: a third of the rows has no id, clean rows among them stay as they are."""
+    rng = random.Random(30)
+    passage = prose(rng, 60)
+    clean = [prose(rng, 120) + f" {k}" for k in range(8)]
+    texts = [f"{clean[0]} {passage}", f"{passage} {clean[1]}", clean[2], clean[3], f"{clean[4]} {passage} {clean[5]}", clean[6], clean[7], None, ""]
+    ids = [None, None, None, 5, 5, 5, 6, None, 7]
+    out = {r["n"]: r["text"] for r in remove_copies(make_docs(texts, ids, CLASHING).coalesce(1)).collect()}
+    assert [out[n] for n in (0, 2, 3, 5, 6, 7, 8)] == [texts[n] for n in (0, 2, 3, 5, 6, 7, 8)]
+    for n, own in ((1, [clean[1]]), (4, [clean[4], clean[5]])):
+        assert len(out[n]) < len(texts[n]) - 200
+        assert all(c[70:-70] in out[n] for c in own)  # what surrounds the passage stays, but for a chunk's edge
+
+
 def test_planted_passages_are_caught(make_docs, rows_of):
     from llm_fixtures import prose
     rng = random.Random(12)
