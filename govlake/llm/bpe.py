@@ -25,7 +25,6 @@ columns beside ``id_col`` and ``text_col`` are not read.
 from __future__ import annotations
 
 import codecs
-import hashlib
 import heapq
 import json
 from collections.abc import Iterable, Iterator
@@ -342,43 +341,30 @@ def _coders(path: str) -> tuple[Encoder, Decoder]:
     return Encoder(vocab), Decoder(vocab)
 
 
-def encode_documents(docs: DataFrame, vocabulary: str, id_col: str = "doc_id", text_col: str = "text",
-                     with_ids: bool = True) -> DataFrame:
-    """One row per input row: id, n_tokens, ids_sha256, decoded_sha256 and, with_ids, token_ids (binary, u32 LE) and decoded.
+def encode_documents(docs: DataFrame, vocabulary: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """One row per input row: id, n_tokens, token_ids (binary: little-endian unsigned 32-bit integers) and decoded (their text).
 
     ``vocabulary`` is the path of the vocabulary file on the executors.
     """
     kind = docs.select(F.col(id_col).alias(id_col)).schema[0].dataType.simpleString()
-    extra = ", token_ids binary, decoded string" if with_ids else ""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder, decoder = _coders(vocabulary)
         for b in batches:
             ids = b.column(0)
-            out: dict = {id_col: ids, "n_tokens": [], "ids_sha256": [], "decoded_sha256": [], "token_ids": [], "decoded": []}
+            of_ids, of_text = [], []
             rows = encoder.encode_many(value.as_py() or "" for value in b.column(1))
             number, part = next(rows, (-1, b""))
             for row in range(b.num_rows):
-                of_ids, of_text, machine, n = hashlib.sha256(), hashlib.sha256(), decoder.machine(), 0
-                kept_ids, kept_text = [], []
+                machine, kept_ids, kept_text = decoder.machine(), [], []
                 while number == row:
-                    of_ids.update(part)
-                    n += len(part) // 4
-                    text = machine.feed(part)
-                    of_text.update(text.encode())
-                    if with_ids:
-                        kept_ids.append(part)
-                        kept_text.append(text)
+                    kept_ids.append(part)
+                    kept_text.append(machine.feed(part))
                     number, part = next(rows, (-1, b""))
-                text = machine.close()
-                of_text.update(text.encode())
-                for name, x in (("n_tokens", n), ("ids_sha256", of_ids.hexdigest()), ("decoded_sha256", of_text.hexdigest()),
-                                ("token_ids", b"".join(kept_ids)), ("decoded", "".join([*kept_text, text]))):
-                    out[name].append(x)
-            names = [(id_col, ids.type), ("n_tokens", pa.int64()), ("ids_sha256", pa.string()), ("decoded_sha256", pa.string())]
-            if with_ids:
-                names += [("token_ids", pa.binary()), ("decoded", pa.string())]
-            yield arrow_out(pa.schema(names), out)
+                of_ids.append(b"".join(kept_ids))
+                of_text.append("".join([*kept_text, machine.close()]))
+            yield arrow_out(pa.schema([(id_col, ids.type), ("n_tokens", pa.int64()), ("token_ids", pa.binary()), ("decoded", pa.string())]),
+                            {id_col: ids, "n_tokens": [len(x) // 4 for x in of_ids], "token_ids": of_ids, "decoded": of_text})
 
     return small_batches(docs).select(F.col(id_col).alias(id_col), F.col(text_col).cast("string").alias("__text")).mapInArrow(
-        run, f"`{id_col}` {kind}, n_tokens long, ids_sha256 string, decoded_sha256 string{extra}")
+        run, f"`{id_col}` {kind}, n_tokens long, token_ids binary, decoded string")

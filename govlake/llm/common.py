@@ -71,9 +71,9 @@ def text_digest(text_col: str) -> Column:
     return F.sha2(F.coalesce(F.col(text_col).cast("string"), F.lit("")).cast("binary"), 256)
 
 
-def crc_fold(key: Column, n: int) -> Column:
-    """crc32 of the key as text, modulo ``n``: the folds of the query contracts."""
-    return F.pmod(F.crc32(key.cast("string").cast("binary")), F.lit(n))
+def in_fold(key: str, n: int, fold: int) -> Column:
+    """Whether crc32 of the key as text, modulo ``n``, is ``fold``: the folds of the query contracts. A null key is in none."""
+    return F.coalesce(F.pmod(F.crc32(F.col(key).cast("string").cast("binary")), F.lit(n)) == fold, F.lit(False))
 
 
 def hash_sample(df: DataFrame, key: Column, rows: int, total: int, seed: str = "sample") -> DataFrame:
@@ -100,7 +100,7 @@ def pieces(offsets: np.ndarray, limit: int, raw: np.ndarray | None = None) -> It
 
     Short texts travel together; a text above the limit is cut into several
     pieces, so the memory of a task does not depend on the longest text; with ``raw``
-    the cuts are after the last white space of a piece, where there is one. A piece of a
+    the cuts are after the last white space of a piece, else after the next one, so they cut no word. A piece of a
     cut text travels alone.
     """
     rows: list[int] = []
@@ -113,7 +113,8 @@ def pieces(offsets: np.ndarray, limit: int, raw: np.ndarray | None = None) -> It
             take = min(b - a, limit)
             if raw is not None and take < b - a:
                 spaces = np.flatnonzero(raw[a:a + take] <= 32)
-                take = int(spaces[-1]) + 1 if len(spaces) else take
+                ahead = () if len(spaces) else np.flatnonzero(raw[a + take:b] <= 32)
+                take = int(spaces[-1]) + 1 if len(spaces) else take + int(ahead[0]) + 1 if len(ahead) else b - a
             cut_text = offsets[r + 1] - offsets[r] > limit
             if rows and (size + take > limit or cut_text):
                 yield np.array(rows), np.array(begins), np.array(ends)

@@ -65,14 +65,19 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, label_col: str, rows: in
     """(id, text, y) of about ``rows`` labelled documents.
 
     The labels are sampled first, so the join's small side has about ``rows`` rows whatever
-    the size of the corpus, and the texts of other rows are not moved.
+    the size of the corpus, and the texts of other rows are not moved. Where ids repeat, rows of equal id and text
+    count once and the others are sampled anew by id and text, so the bound holds for any skew.
     Several labels of one document count as the largest; null labels and null ids are not used.
     """
     known = labels.select(F.col(id_col).alias("id"), F.col(label_col).cast("int").alias("y")).where(
         "id is not null and y is not null").groupBy("id").agg(F.max("y").alias("y"))
     picked = hash_sample(known, F.col("id"), rows, known.count())
     texts = docs.select(F.col(id_col).alias("id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
-    return texts.join(F.broadcast(picked), "id")
+    met = texts.join(F.broadcast(picked), "id")
+    n = met.count()  # reads ids only
+    if n > picked.count():
+        met = hash_sample(met, F.xxhash64("id", "text"), rows, n, "rows").dropDuplicates(["id", "text"])
+    return met
 
 
 def train(sample: DataFrame, features: Callable[[list[bytes]], list[tuple[np.ndarray, np.ndarray]]], size: int,

@@ -192,8 +192,9 @@ def train(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_
         return PpmModel([], order, {})
     share = sample_bytes // len(languages)
     limits = F.create_map(*[F.lit(x) for lang in languages for x in (lang, min(1.0, share / sizes[lang]))])
-    draw = F.shiftrightunsigned(F.xxhash64(F.lit("ppm"), "id"), 11).cast("double") / float(1 << 53)
-    sample = known.where(draw < F.coalesce(limits[F.col("lang")], F.lit(0.0)))
+    # rows are drawn by id and text, and equal rows count once, so a repeated id or text doesn't break the bound
+    draw = F.shiftrightunsigned(F.xxhash64(F.lit("ppm"), "id", "text"), 11).cast("double") / float(1 << 53)
+    sample = known.where(draw < F.coalesce(limits[F.col("lang")], F.lit(0.0))).dropDuplicates(["lang", "id", "text"])
     got = count_grams(sample, order).toArrow()
     lang = np.array(got.column("lang").to_pylist(), object)
     gram = got.column("gram").to_numpy().view(np.uint64)

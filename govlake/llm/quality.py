@@ -84,7 +84,11 @@ def token_spans(data: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, np.nd
 
 
 def features(raw: np.ndarray, offsets: np.ndarray, bits: int = BITS) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
-    """(row, feature, count) of the texts, in pieces; a text above the piece size comes several times."""
+    """(row, feature, count) of the texts, in pieces; a text above the piece size comes several times.
+
+    The last token of a piece is carried into the next one of the same text, so the pair across the cut counts too.
+    """
+    carried: tuple[int, np.uint64] | None = None
     for rows, begins, ends in pieces(offsets, PIECE, raw):
         data = raw[begins[0]:ends[-1]]
         bounds = np.append(begins, ends[-1]) - begins[0]
@@ -92,12 +96,16 @@ def features(raw: np.ndarray, offsets: np.ndarray, bits: int = BITS) -> Iterator
         if not len(b):
             continue
         of = np.searchsorted(bounds, b, side="right") - 1
-        one = span_hashes(data, b, e)
-        same = of[1:] == of[:-1]
-        two = mixed(one[:-1] * np.uint64(31) + one[1:])[same]
-        twice = same & (one[:-1] == one[1:])  # a pair of equal tokens also counts as "the same again"
+        one = before = span_hashes(data, b, e)
+        of_before = of
+        if carried and carried[0] == rows[0] and begins[0] > offsets[rows[0]]:
+            before, of_before = np.append(carried[1], one), np.append(0, of)
+        carried = (int(rows[-1]), one[-1])
+        same = of_before[1:] == of_before[:-1]
+        two = mixed(before[:-1] * np.uint64(31) + before[1:])[same]
+        twice = same & (before[:-1] == before[1:])  # a pair of equal tokens also counts as "the same again"
         idx = np.concatenate([one, two, np.full(twice.sum(), MIX)]) >> np.uint64(64 - bits)
-        own = np.concatenate([of, of[:-1][same], of[:-1][twice]]).astype(np.uint64)
+        own = np.concatenate([of, of_before[:-1][same], of_before[:-1][twice]]).astype(np.uint64)
         keys, n = np.unique((own << np.uint64(bits)) | idx, return_counts=True)
         yield rows[(keys >> np.uint64(bits)).astype(np.int64)], (keys & np.uint64((1 << bits) - 1)).astype(np.int64), n
 

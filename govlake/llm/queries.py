@@ -13,7 +13,7 @@ from . import language_id, quality, toxicity
 from .bpe import encode_documents
 from .chat_format import format_conversations, pieces, read_back, read_loss, text_part, turn_count
 from .chunk_dedup import chunk_report
-from .common import crc_fold, staged, table
+from .common import in_fold, staged, table
 from .decontaminate import contamination
 from .exact_dedup import exact_dedup
 from .ftrl import labelled_sample
@@ -44,14 +44,14 @@ def op1_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op2_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
-    held_out = crc_fold(F.col("doc_id"), 4) == 2
-    model = language_id.train(docs.where(~held_out))
-    pred = language_id.predict(docs, model)
-    return pred.select("doc_id", (crc_fold(F.col("doc_id"), 4) == 2).alias("held_out"), "lang_pred", "score", "bits_per_byte")
+    held_out = in_fold("doc_id", 4, 2)
+    pred = language_id.predict(docs, language_id.train(docs.where(~held_out)))
+    return pred.select("doc_id", held_out.alias("held_out"), "lang_pred", "score", "bits_per_byte")
 
 
 def op3_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return encode_documents(table(spark, sf_dir, "documents"), vocabulary_path(), with_ids=False)
+    coded = encode_documents(table(spark, sf_dir, "documents"), vocabulary_path())
+    return coded.select("doc_id", "n_tokens", F.sha2("token_ids", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
 
 
 def _scored(scores: DataFrame, held_out) -> DataFrame:
@@ -60,7 +60,7 @@ def _scored(scores: DataFrame, held_out) -> DataFrame:
 
 def op4_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
-    held_out = crc_fold(F.col("doc_id"), 5) == 0
+    held_out = in_fold("doc_id", 5, 0)
     model = quality.fit(labelled_sample(docs, labels.where(~held_out), "quality", quality.SAMPLE_ROWS))
     return _scored(quality.score(docs, model), held_out)
 
@@ -71,7 +71,7 @@ def op6_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
-    held_out = crc_fold(F.col("doc_id"), 4) == 2
+    held_out = in_fold("doc_id", 4, 2)
     return _scored(toxicity.score(docs, toxicity.learn(docs, labels.where(~held_out))), held_out)
 
 

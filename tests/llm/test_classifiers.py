@@ -9,7 +9,7 @@ import pytest
 
 from govlake.llm import quality, toxicity
 from govlake.llm.ftrl import Ftrl, labelled_sample
-from govlake.llm.queries import op4_quality, op7_toxicity
+from govlake.llm.queries import op2_language_id, op4_quality, op7_toxicity
 
 
 def test_ftrl_matches_the_update_rule():
@@ -106,3 +106,57 @@ def test_quality_held_out_accuracy(spark):
 
 def test_toxicity_held_out_accuracy(spark):
     assert held_out(spark, op7_toxicity, "toxic", 4, 2) > 0.95
+
+
+def test_word_features_do_not_depend_on_the_piece_size(monkeypatch):
+    text = ("alpha beta beta " * 40 + "w" * 300 + " gamma, gamma! " * 20).encode()
+    raw, off = np.frombuffer(b"first text " + text + b"last one", np.uint8), np.array([0, 11, 11 + len(text), 19 + len(text)])
+    def counted():
+        out = Counter()
+        for row, f, n in quality.features(raw, off):
+            for k in zip(row.tolist(), f.tolist(), n.tolist()):
+                out[k[:2]] += k[2]
+        return out
+    whole = counted()
+    for size in (5, 64, 333):
+        monkeypatch.setattr(quality, "PIECE", size)
+        assert counted() == whole
+
+
+def test_sample_bound_holds_for_repeated_ids(spark):
+    """One id holds a third of the rows, with texts of its own and with copies of one text."""
+    rows = [(i, f"text {i}") for i in range(2000)] + [(5, f"other {i}") for i in range(1500)] + [(7, "same")] * 1500
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    labels = spark.createDataFrame([(i, i % 2) for i in range(2000)], "doc_id long, toxic int")
+    for most in (300, 1000, 6000):
+        got = labelled_sample(docs, labels, "toxic", most).collect()
+        assert len(got) <= 1.25 * most and len(got) > 0.4 * min(most, 3501)
+        assert len({(r["id"], r["text"]) for r in got}) == len(got)
+
+
+def test_whole_scores_against_plain_python(spark, make_docs, rows_of):
+    """The score of each text from its features by hand and the model's weights."""
+    rng = np.random.default_rng(3)
+    words = ["river", "stone", "light", "!!", "?", "the", "of"]
+    texts = [" ".join(rng.choice(words, rng.integers(0, 30))) for _ in range(40)] + ["", None, "x" * 500]
+    idx = np.arange(1 << quality.BITS)
+    weights = rng.normal(size=len(idx)).astype(np.float32)
+    got = {r["doc_id"]: r["score"] for r in rows_of(quality.score(make_docs(texts), (idx, weights, 0.25)))}
+    for i, t in enumerate(texts):
+        pairs = [(f, n) for _, fs, ns in quality.features(*_bytes(t)) for f, n in zip(fs, ns)]
+        val = np.log1p([n for _, n in pairs])
+        x = float(sum(weights[f] * v for (f, _), v in zip(pairs, val)) / max(np.sqrt((val ** 2).sum()), 1e-12)) + 0.25
+        assert got[i] == pytest.approx(1 / (1 + np.exp(-x)), abs=1e-6)
+
+
+def _bytes(text):
+    raw = np.frombuffer((text or "").encode(), np.uint8)
+    return raw, np.array([0, len(raw)])
+
+
+def test_null_ids_are_in_no_fold(spark, make_docs, tmp_path):
+    docs = make_docs(["river stone light " * 9, "a b c"], [None, 3])
+    docs.write.parquet(f"{tmp_path}/documents.parquet")
+    spark.createDataFrame([(3, 1, 0)], "doc_id long, quality int, toxic int").write.parquet(f"{tmp_path}/labels.parquet")
+    for query in (op2_language_id, op4_quality, op7_toxicity):
+        assert {r["doc_id"]: r["held_out"] for r in query(spark, str(tmp_path)).collect()}[None] is False
