@@ -2,7 +2,7 @@
 
 ``STAGES`` lists (name, function). A function takes (spark, docs, sf_dir) and returns a
 DataFrame that is written as Parquet and read again as the next one's ``docs``. All but the
-last return the columns of ``docs``; the last returns one row of token counts and digests per document that is left.
+last return the columns of ``docs``; the last returns the encoded corpus: one row per document that is left, with its token ids.
 Stages with a classifier or a benchmark read ``labels`` and ``benchmark`` of ``sf_dir``.
 
 Nulls, empty and very long texts, repeated rows, empty tables and extra columns are handled as
@@ -46,8 +46,8 @@ def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Token count and digests of each document that is left."""
-    return encode_documents(docs, vocabulary_path(), with_ids=False)
+    """Token ids of each document that is left, with their number and the text they decode to."""
+    return encode_documents(docs, vocabulary_path())
 
 
 STAGES = [
