@@ -6,10 +6,9 @@ active delegation, reward on principal, one-hop delegated sums.
 
 Reward maths is exact integer arithmetic in DECIMAL(38,0):
   floor(P / 1e21) * 1e21 * (num / den) * (floor(now_ns/1e9) - floor(t_ns/1e9)) * 1e9
-  = (P div 1e21) * seconds * num * (1e30 / den)
-which is an integer whenever den divides 1e30 (the contract uses den = 1e30).
-Other denominators fall back to a DOUBLE quotient, as the reference's own
-NUMERIC division would round there too.
+  = (P div 1e21) * seconds * q * 10^(30 - scale)
+where q / 10^scale is the quotient as NUMERIC rounds it (``functions.numeric``). The quotient is taken once a
+rate, the product is made of two limbs a number; a reward of more than 38 digits is NULL.
 """
 
 from __future__ import annotations
@@ -19,6 +18,7 @@ from pyspark.sql import functions as F
 
 from govlake.config import ContractConfig
 from govlake.functions.json import jnum, jstr
+from govlake.functions.numeric import quotient, scaled_product
 from govlake.functions.time import epoch_ns, floor_div
 from govlake.operators.decode import calls, successful
 from govlake.plans.common import on_contracts
@@ -26,7 +26,7 @@ from govlake.plans.common import on_contracts
 METHODS = ["new", "storage_deposit", "on_lockup_update", "on_lockup_deployed"]
 TEN_POW_21 = 10 ** 21
 TEN_POW_9 = 10 ** 9
-TEN_POW_30 = 10 ** 30
+TEN_POW_30 = 10 ** 30  # the contract's denominator
 RECENT_APPROVALS = 10
 
 COLUMNS = ["id", "receipt_id", "registered_date", "registered_at", "registered_voter_id", "hos_contract_address",
@@ -51,19 +51,21 @@ def growth_config(silver: DataFrame, cfg: ContractConfig) -> DataFrame:
 
 
 def _divides(den: F.Column) -> F.Column:
-    """Whether 10^30 is a multiple of the denominator; other rates go through DOUBLE and are flagged by this column."""
+    """Whether 10^30 is a multiple of the denominator; the quotient of other rates is rounded, which this column flags."""
     ten30 = F.lit(str(TEN_POW_30)).cast("decimal(38,0)")
     return F.when(den != 0, F.pmod(ten30, den.cast("decimal(38,0)")) == 0)
 
 
 def _growth_by_contract(silver: DataFrame, cfg: ContractConfig) -> DataFrame:
-    """The rates of each view contract as one row: at most two rows, whatever the size of the feed, so it is broadcast.
+    """The different rates of each view contract with how often each was given, as one row a contract.
 
-    Voters of one contract share a join key; broadcasting keeps them where they are.
+    Voters of one contract share a join key: AQE broadcasts these few rows by their measured size, which keeps the voters where they
+    are. The list holds a contract's different rates, not its calls.
     """
     rates = growth_config(silver, cfg).where(F.col("gc_contract").isin(*cfg.view_contracts))
-    return F.broadcast(rates.groupBy("gc_contract").agg(F.collect_list(
-        F.struct("growth_rate_numerator_ns", "growth_rate_denominator_ns")).alias("rates")))
+    num, den = F.col("growth_rate_numerator_ns"), F.col("growth_rate_denominator_ns")
+    each = rates.groupBy("gc_contract", num, den).agg(F.count(F.lit(1)).cast("int").alias("times")).withColumn("growth_quotient", quotient(num, den))
+    return each.groupBy("gc_contract").agg(F.collect_list(F.struct(num, den, "growth_quotient", "times")).alias("rates"))
 
 
 REG, DEP, LOCK = "on_lockup_deployed", "storage_deposit", "on_lockup_update"
@@ -152,15 +154,11 @@ def participation(pvh: DataFrame, recent: DataFrame) -> DataFrame:
         (s.cast("double") / F.lit(float(RECENT_APPROVALS))).alias("proposal_participation_rate"))
 
 
-def reward(principal, num, den, now_ns, since_ns):
+def reward(principal, rate, now_ns, since_ns):
+    """``rate``: struct(q, scale) of the growth rate."""
     units = floor_div(principal, TEN_POW_21)
     secs = (floor_div(now_ns, TEN_POW_9) - floor_div(since_ns, TEN_POW_9)).cast("decimal(38,0)")
-    base = F.try_multiply(F.try_multiply(units, secs), num.cast("decimal(38,0)"))
-    exact = _divides(den)
-    factor = (F.lit(str(TEN_POW_30)).cast("decimal(38,0)") / den.cast("decimal(38,0)")).cast("decimal(38,0)")
-    approx = (base.cast("double") * (F.lit(1e30) / den.cast("double"))).cast("decimal(38,0)")
-    return F.when(den == 0, F.lit(None).cast("decimal(38,0)")) \
-        .when(exact, F.try_multiply(base, factor)).otherwise(approx)
+    return scaled_product(F.try_multiply(units, secs).cast("decimal(38,0)"), rate["q"], F.lit(30) - rate["scale"])
 
 
 def voter_stages(silver: DataFrame, cfg: ContractConfig, pvh: DataFrame, de: DataFrame,
@@ -182,6 +180,8 @@ def voter_stages(silver: DataFrame, cfg: ContractConfig, pvh: DataFrame, de: Dat
     now_ns = epoch_ns(cfg.as_of_column())
     tj = (rv.join(_growth_by_contract(silver, cfg), F.col("receiver_id") == F.col("gc_contract"), "left")
           .select("*", F.explode_outer("rates").alias("rate")).select("*", "rate.*").drop("rates", "rate")
+          # a rate that was given several times repeats its voters, as in the reference
+          .withColumn("times", F.explode(F.sequence(F.lit(1), F.coalesce("times", F.lit(1))))).drop("times")
           .join(pp, "registered_voter_id", "left")
           .join(ld, F.col("registered_voter_id") == F.col("delegator_id"), "left"))
     zero = F.lit(0).cast("decimal(38,0)")
@@ -197,8 +197,7 @@ def voter_stages(silver: DataFrame, cfg: ContractConfig, pvh: DataFrame, de: Dat
     since = F.when(F.col("has_locked_unlocked_near"), F.col("lockup_update_at_ns")) \
         .otherwise(F.col("registered_at_ns").cast("decimal(38,0)"))
     tj = tj.withColumn("extra_venear_on_principal",
-                       reward(F.col("principal_balance"), F.col("growth_rate_numerator_ns"),
-                              F.col("growth_rate_denominator_ns"), now_ns, since))
+                       reward(F.col("principal_balance"), F.col("growth_quotient"), now_ns, since))
     return tj
 
 
