@@ -119,12 +119,15 @@ def _storage_queries() -> dict[str, Callable]:
     from govlake.operators.upsert import resume_height
     from govlake.sources.tables import read_fact
     from govlake.streaming.ingest import cursors
+    from govlake.streaming.progress import ProcessedRanges
 
     def fact(name):
         return lambda spark, sf_dir: read_fact(spark, _ingested(spark, sf_dir), name)
 
     return {
         "chain_stream": _validated,
+        "processed_ranges": lambda spark, sf_dir: ProcessedRanges(spark, _ingested(spark, sf_dir)).processed(),
+        "silent_gaps": lambda spark, sf_dir: ProcessedRanges(spark, _ingested(spark, sf_dir)).silent_gaps(),
         "replayed_heights": _replayed,
         "ingest_storage_blocks": fact("blocks"),
         "ingest_storage_actions": fact("receipt_actions"),

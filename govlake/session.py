@@ -28,15 +28,15 @@ def build_session(master: str | None = None, app: str = "govlake",
                   shuffle_partitions: int | None = None, extra: dict | None = None) -> SparkSession:
     """Local session used by tests and bench.py (a cluster job gets its own)."""
     master = master or f"local[{os.environ.get('BENCH_CPUS', '8')}]"
+    shared = os.environ.get("GOVLAKE_CHECKPOINT_DIR") or (tempfile.mkdtemp(prefix="govlake-ckpt-") if is_local(master) else None)
     b = (SparkSession.builder.master(master).appName(app)
-         .config("spark.checkpoint.dir", os.environ.get("GOVLAKE_CHECKPOINT_DIR")
-                 or tempfile.mkdtemp(prefix="govlake-ckpt-"))
          .config("spark.ui.enabled", "false")
          .config("spark.ui.showConsoleProgress", "false")
          .config("spark.driver.memory", os.environ.get("GOVLAKE_DRIVER_MEMORY", "8g"))
          .config("spark.sql.shuffle.partitions", str(shuffle_partitions or 8))
          .config("spark.sql.execution.arrow.pyspark.enabled", "true"))
-    for k, v in {**TUNING_CONF, **REQUIRED_CONF, **(extra or {})}.items():
+    folder = {"spark.checkpoint.dir": shared} if shared else {}  # on a cluster without one, checkpoint_dir raises
+    for k, v in {**folder, **TUNING_CONF, **REQUIRED_CONF, **(extra or {})}.items():
         b = b.config(k, v)
     spark = b.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
@@ -87,6 +87,12 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     return fs.exists(p)
 
 
+def list_folder(spark: SparkSession, path: str) -> list[str]:
+    """Names of the folders in a folder; none when it isn't there."""
+    fs, p = _file_system(spark, path)
+    return [s.getPath().getName() for s in fs.listStatus(p) if s.isDirectory()] if fs.exists(p) else []
+
+
 def delete_path(spark: SparkSession, path: str) -> None:
     fs, p = _file_system(spark, path)
     if fs.exists(p) and not fs.delete(p, True):

@@ -47,6 +47,7 @@ def _file_system(path: str):
 
 def _parquet_range(system, path: str) -> tuple[int, int] | None:
     """Lowest and highest height of a Parquet file; None when it holds no block."""
+    import pyarrow as pa
     import pyarrow.compute as pc
     import pyarrow.parquet as pq
     with system.open_input_file(path) as f:
@@ -55,12 +56,15 @@ def _parquet_range(system, path: str) -> tuple[int, int] | None:
         ranges = []
         for g in range(file.num_row_groups):
             stats = file.metadata.row_group(g).column(names.index(HEIGHT)).statistics
-            if stats is not None and stats.has_min_max:
-                ranges.append((stats.min, stats.max))
+            if stats is not None and stats.has_min_max and stats.has_null_count:
+                missing, ends = stats.null_count, (stats.min, stats.max)
             else:
-                heights = file.read_row_group(g, [HEIGHT]).column("block").combine_chunks().field("header").field("height")
-                low, high = pc.min_max(heights).as_py().values()
-                ranges += [(low, high)] if low is not None else []
+                block = pa.chunked_array(file.read_row_group(g, [HEIGHT]).column("block")).combine_chunks()
+                heights = pc.struct_field(block, ["header", "height"])
+                missing, ends = heights.null_count, tuple(pc.min_max(heights).as_py().values())
+            if missing:
+                raise ValueError(f"block record without height in {path}")
+            ranges += [ends] if ends[0] is not None else []
     return (min(r[0] for r in ranges), max(r[1] for r in ranges)) if ranges else None
 
 
@@ -126,9 +130,12 @@ def index_landing(spark: SparkSession, landing: str, log: str, fmt: str = "parqu
     elif new := zones.new_files():
         from govlake.sources.blockfeed import landing_schema
         rows = spark.read.schema(landing_schema(fmt)).option("mode", "FAILFAST").format(fmt).load(list(new)).groupBy(
-            F.col("_metadata.file_path").alias("file")).agg(F.min(HEIGHT).alias("low"), F.max(HEIGHT).alias("high"))
+            F.col("_metadata.file_path").alias("file")).agg(F.min(HEIGHT).alias("low"), F.max(HEIGHT).alias("high"),
+            F.count_if(F.col(HEIGHT).isNull()).alias("missing")).collect()  # one row per new file
+        if bad := [r["file"] for r in rows if r["missing"]]:
+            raise ValueError(f"block record without height in {bad[0]}")
         from urllib.parse import unquote, urlparse
-        ranges = {unquote(urlparse(r["file"]).path): (r["low"], r["high"]) for r in rows.collect()}  # one row per new file
+        ranges = {unquote(urlparse(r["file"]).path): (r["low"], r["high"]) for r in rows}
         found = {f: ranges.get(urlparse(f).path, (None, None)) for f in new}
         zones.append([Zone(f, low, high, new[f]) for f, (low, high) in sorted(found.items()) if low is not None])
     return zones

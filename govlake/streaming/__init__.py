@@ -1,5 +1,5 @@
 """Structured Streaming ingest of the block feed."""
 
 from govlake.streaming.ingest import (  # noqa: F401
-    ingest_batch, progress_report, replay, resume_start, start_ingest,
+    ingest_batch, replay, resume_start, start_ingest, start_ordered_ingest,
 )

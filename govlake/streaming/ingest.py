@@ -32,11 +32,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from govlake.config import ContractConfig
-from govlake.operators.flatten import flatten_blocks, flatten_silver
+from govlake.operators.flatten import flatten_blocks, flatten_silver, ns_to_block_time
 from govlake.operators.latest import first_per_key
 from govlake.operators.upsert import INGEST_COL, SLOTS, KeyIndex, cursor_latest, resume_height, upsert_table
 from govlake.session import checkpoint_dir, ensure_session_conf, path_exists
 from govlake.sources.blockfeed import landing_records, landing_schema
+from govlake.streaming.progress import BatchMetrics, ProcessedRanges, observed
 from govlake.sources.zones import files_by_height, index_landing
 from govlake.sources.tables import SILVER_PARTITIONS, silver_for_storage, with_bucket
 
@@ -153,6 +154,7 @@ def _store_batch(spark: SparkSession, records: DataFrame, batch_id: int, root: s
                             located=located) for name, rows, height, keys, parts, located in tables]
         for job in jobs:
             job.result()
+    ProcessedRanges(spark, root).add(app_version, blocks.select("height"))
     _write_cursor(blocks, root, app_version)  # ST4: the cursor is written last
 
 
@@ -198,16 +200,26 @@ def start_ingest(spark: SparkSession, landing_dir: str, root: str, cfg: Contract
     """
     ensure_session_conf(spark)
     ckpt = checkpoint or f"{checkpoint_dir(spark)}/streams/{app_version}"
+    name = f"govlake-ingest-{app_version}"
     start = None if path_exists(spark, f"{ckpt}/offsets") else resume_start(spark, root, app_version, start_height, configured_start)
     src = landing_records(spark.readStream.schema(landing_schema(fmt)).options(**READ_OPTIONS).format(fmt)
                           .option("maxFilesPerTrigger", max_files_per_trigger).load(landing_dir), fmt)
+    src = observe_records(src, name)
     w = (src.writeStream.foreachBatch(
         lambda df, bid: ingest_batch(spark, df, bid, root, cfg, app_version, start))
-        .option("checkpointLocation", ckpt).queryName(f"govlake-ingest-{app_version}"))
+        .option("checkpointLocation", ckpt).queryName(name))
     w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime="10 seconds")
+    BatchMetrics.listen(spark, root, name, app_version, None if cfg.as_of is None else cfg.as_of_column())
     return w.start()
 
 
+def observe_records(records: DataFrame, name: str) -> DataFrame:
+    """M3: block records with the figures of their batch observed on the way (``streaming.progress``)."""
+    h = F.col("block.header")
+    named = records.withColumns({"height": h["height"], "hash": h["hash"], "timestamp": ns_to_block_time(h["timestamp_nanosec"])})
+    return observed(named, name).drop("height", "hash", "timestamp")
+
+
 def start_ordered_ingest(spark: SparkSession, landing_dir: str, root: str, cfg: ContractConfig = ContractConfig(),
                          app_version: str = "v1", fmt: str = "parquet", lag: int = 0, available_now: bool = True,
                          checkpoint: str | None = None, files_at_once: int = 64):
@@ -229,16 +241,3 @@ def start_ordered_ingest(spark: SparkSession, landing_dir: str, root: str, cfg:
         "checkpointLocation", ckpt).queryName(f"govlake-ordered-{app_version}")
     w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime="10 seconds")
     return w.start()
-
-
-def progress_report(spark: SparkSession, query) -> DataFrame:
-    """ST7: per micro-batch input rows, rate and duration from the query's own progress log.
-
-    ``recentProgress`` is the bounded history Spark keeps on the driver
-    (spark.sql.streaming.numRecentProgressUpdates), not data.
-    """
-    rows = [(p["batchId"], p["numInputRows"], float(p.get("inputRowsPerSecond") or 0.0),
-             float(p.get("processedRowsPerSecond") or 0.0), int(p["durationMs"].get("triggerExecution", 0)))
-            for p in query.recentProgress]
-    return spark.createDataFrame(rows, "batch_id long, input_rows long, input_rows_per_second double, "
-                                       "processed_rows_per_second double, trigger_ms long")

@@ -12,9 +12,6 @@ def test_stream_equals_batch_and_replay_is_idempotent(spark, tmp_path):
     nested_blocks(ev).repartitionByRange(3, "block.header.height").write.parquet(d + "/landing")
     q = start_ingest(spark, d + "/landing", d + "/lake", max_files_per_trigger=1, checkpoint=d + "/ck1")
     q.awaitTermination()
-    from govlake.streaming import progress_report
-    prog = progress_report(spark, q).collect()
-    assert sum(r["input_rows"] for r in prog) == 100 and len(prog) >= 3
     want = GovLake.from_events(spark, "/root/testdata/sf0.001").facts
     got = read_facts(spark, d + "/lake")
     for name in ["blocks", "actions", "outcomes"]:
