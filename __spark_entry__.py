@@ -126,6 +126,7 @@ def _storage_queries() -> dict[str, Callable]:
 
     return {
         "chain_stream": _validated,
+        "block_gauges": _gauged,
         "processed_ranges": lambda spark, sf_dir: ProcessedRanges(spark, _ingested(spark, sf_dir)).processed(),
         "silent_gaps": lambda spark, sf_dir: ProcessedRanges(spark, _ingested(spark, sf_dir)).silent_gaps(),
         "replayed_heights": _replayed,
@@ -167,6 +168,28 @@ def _validated(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chain_status(spark, root).select("height", "hash", "prev_hash", (F.col("status") == "accepted").alias("accepted"))
 
 
+def _gauged(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """ST5-ST7 as a stream: the blocks land in four files in order of height; the stream stops after two and goes on."""
+    from govlake.session import checkpoint_dir
+    from govlake.streaming.gauges import block_gauges, start_gauges
+
+    lake = _lake(spark, sf_dir)
+    key = (spark.sparkContext.applicationId, sf_dir, "gauges")
+    root = f"{checkpoint_dir(spark)}/govlake/{key[0]}/{hashlib.md5(sf_dir.encode()).hexdigest()[:12]}-gauged"
+    with _LOCK:
+        if key not in _VALIDATED:
+            blocks = lake.facts.blocks.select("height", "timestamp")
+            low, high = (blocks.agg(f("height")).scalar() for f in (F.min, F.max))
+            part = F.floor((F.col("height") - low) * 4 / (high - low + 1))
+            for parts in (range(2), range(2, 4)):
+                for i in parts:
+                    blocks.where(part == i).coalesce(1).write.mode("append").parquet(f"{root}/landed")
+                stream = spark.readStream.schema(blocks.schema).option("maxFilesPerTrigger", 1).parquet(f"{root}/landed")
+                start_gauges(spark, stream, root, checkpoint=f"{root}/checkpoint").awaitTermination()
+            _VALIDATED[key] = root
+    return block_gauges(spark, root, lake.cfg.as_of_column())
+
+
 def _branched(lake):
     from govlake.sources.fixtures import branched_blocks
     return branched_blocks(lake.facts.blocks)
