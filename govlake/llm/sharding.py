@@ -15,8 +15,8 @@ Only the cell counts (at most ``MAX_CELLS`` numbers) reach the driver. Same rows
 
 Edge cases: rows may repeat and hold nulls anywhere; rows that are equal in all columns are
 interchangeable and share a cell. Fewer rows than shards leave shards empty; an empty table
-gives an empty result. All input columns pass through; an input column named as an output
-column is an error.
+gives an empty result. All input columns pass through; where one is named as an output column, that one's name
+gets an underscore (``shard_``).
 """
 
 from __future__ import annotations
@@ -87,10 +87,9 @@ def communication_matrix(counts: dict[int, int], shards: int, seed: int) -> list
 def shard_rows(rows: DataFrame, shards: int, seed: int = 17, rows_per_cell: int = ROWS_PER_CELL) -> DataFrame:
     """``rows`` with two more columns: ``shard`` (int, from 0) and ``slot`` (long, gapless from 0 in each shard)."""
     spark = rows.sparkSession
-    if clash := {"shard", "slot"} & {c.lower() for c in rows.columns}:
-        raise ValueError(f"input has columns named {sorted(clash)}")
     cols = [F.col(f"`{c}`") for c in rows.columns]
-    cell, first, second, place, sub, to = free_names(rows, "__cell", "__first", "__second", "__place", "__sub", "__to")
+    own, slot, cell, first, second, place, sub, to = free_names(
+        rows, "shard", "slot", "__cell", "__first", "__second", "__place", "__sub", "__to")
     mixed = [F.xxhash64(F.lit(seed + i), *cols) for i in range(3)]
     n = rows.count()
     cells = min(max(n // rows_per_cell, MIN_CELLS), MAX_CELLS)
@@ -105,10 +104,10 @@ def shard_rows(rows: DataFrame, shards: int, seed: int = 17, rows_per_cell: int
     shard = F.filter(F.col(to), lambda b: b["to"] >= F.col(place))[0]["shard"]
     # permute again inside each shard
     again = F.pmod(F.xxhash64(F.lit(seed), second), F.lit(max(1, cells // shards))).cast("int")
-    dealt = staged(dealt.select(*cols, second, shard.alias("shard"), again.alias(sub)), "dealt")
-    sizes = dealt.groupBy("shard", sub).agg(F.count("*").alias("n"))
-    before = F.sum("n").over(Window.partitionBy("shard").orderBy(sub)) - F.col("n")
-    offsets = sizes.select("shard", sub, before.alias(to))
-    order = F.row_number().over(Window.partitionBy("shard", sub).orderBy(F.xxhash64(F.lit(seed + 9), second), second))
-    out = dealt.withColumn(place, order).join(F.broadcast(offsets), ["shard", sub])
-    return out.select(*cols, "shard", (F.col(to) + F.col(place) - 1).alias("slot"))
+    dealt = staged(dealt.select(*cols, second, shard.alias(own), again.alias(sub)), "dealt")
+    sizes = dealt.groupBy(own, sub).agg(F.count("*").alias("n"))
+    before = F.sum("n").over(Window.partitionBy(own).orderBy(sub)) - F.col("n")
+    offsets = sizes.select(own, sub, before.alias(to))
+    order = F.row_number().over(Window.partitionBy(own, sub).orderBy(F.xxhash64(F.lit(seed + 9), second), second))
+    out = dealt.withColumn(place, order).join(F.broadcast(offsets), [own, sub])
+    return out.select(*cols, own, (F.col(to) + F.col(place) - 1).alias(slot))

@@ -30,8 +30,11 @@ def test_rows_survive_with_exact_sizes(odd_docs, make_docs, rows_of):
     by_hand(rows_of(shard_rows(many, 16)), 16)
     by_hand(rows_of(shard_rows(make_docs(["a", "b"]), 16)), 16)
     assert shard_rows(make_docs([]), 16).count() == 0
-    with pytest.raises(ValueError):
-        shard_rows(many.withColumnRenamed("lang", "slot"), 4)
+    named = make_docs([str(i) for i in range(9)], extra=["shard", "SLOT", "slot_", "to", "cell"])
+    out = shard_rows(named, 4)
+    assert out.columns == [*named.columns, "shard_", "slot__"]
+    assert sorted((r["shard_"], r["slot__"]) for r in rows_of(out)) == sorted((i % 4, i // 4) for i in range(9))
+    assert sorted(r["shard"] for r in rows_of(out)) == list(range(9))
 
 
 def test_matrix_has_the_right_margins():
