@@ -47,7 +47,7 @@ MIN_MATCH = 5
 SHORT_ITEM = 3
 COVERAGE = 0.8
 FIELD_BITS = (24, 30)
-PIECE = 1 << 20
+PIECE = 1 << 18
 MODULUS = (1 << 61) - 1
 RADIX = 1_000_003
 
