@@ -154,11 +154,16 @@ def participation(pvh: DataFrame, recent: DataFrame) -> DataFrame:
         (s.cast("double") / F.lit(float(RECENT_APPROVALS))).alias("proposal_participation_rate"))
 
 
-def reward(principal, rate, now_ns, since_ns):
-    """``rate``: struct(q, scale) of the growth rate."""
+def unit_seconds(principal, now_ns, since_ns):
+    """Whole units of the principal times whole seconds."""
     units = floor_div(principal, TEN_POW_21)
     secs = (floor_div(now_ns, TEN_POW_9) - floor_div(since_ns, TEN_POW_9)).cast("decimal(38,0)")
-    return scaled_product(F.try_multiply(units, secs).cast("decimal(38,0)"), rate["q"], F.lit(30) - rate["scale"])
+    return F.try_multiply(units, secs).cast("decimal(38,0)")
+
+
+def reward(units, rate):
+    """``units``: unit seconds; ``rate``: struct(q, scale) of the growth rate."""
+    return scaled_product(units, rate["q"], F.lit(30) - rate["scale"])
 
 
 def voter_stages(silver: DataFrame, cfg: ContractConfig, pvh: DataFrame, de: DataFrame,
@@ -196,8 +201,9 @@ def voter_stages(silver: DataFrame, cfg: ContractConfig, pvh: DataFrame, de: Dat
     )
     since = F.when(F.col("has_locked_unlocked_near"), F.col("lockup_update_at_ns")) \
         .otherwise(F.col("registered_at_ns").cast("decimal(38,0)"))
-    tj = tj.withColumn("extra_venear_on_principal",
-                       reward(F.col("principal_balance"), F.col("growth_quotient"), now_ns, since))
+    # a column of its own: now_ns may be a subquery, which the product's lambdas can't hold
+    tj = tj.withColumn("unit_seconds", unit_seconds(F.col("principal_balance"), now_ns, since))
+    tj = tj.withColumn("extra_venear_on_principal", reward(F.col("unit_seconds"), F.col("growth_quotient"))).drop("unit_seconds")
     return tj
 
 
