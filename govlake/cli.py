@@ -1,9 +1,10 @@
 """Command-line driver (replaces the reference's start/init commands).
 
-    python -m govlake.cli ingest  --landing DIR --root DIR [--app-version v1] [--start-height N] [--continuous]
-    python -m govlake.cli replay  --landing DIR --root DIR --start-height N [--app-version replay]
+    python -m govlake.cli ingest  --landing DIR --root DIR [--app-version v1] [--start-height N] [--ordered [--lag N]] [--continuous]
+    python -m govlake.cli replay  --landing DIR --root DIR --start-height N [--end-height N] [--app-version replay]
     python -m govlake.cli sql     --root DIR "SELECT ... FROM proposals" [--out DIR] [--as-of TS]
-    python -m govlake.cli report  --root DIR chain_breaks|block_gaps|block_rate|range_summary|coverage|decode_quality
+    python -m govlake.cli report  --root DIR chain_breaks|chain_state|block_gaps|block_rate|range_summary|coverage|decode_quality|
+                                             newest_blocks|processed_ranges|silent_gaps|batch_metrics
 
 ``sql`` registers the seven views (plus blocks, receipt_actions,
 execution_outcomes and the ``safe_json_parse`` SQL function) over the tables
@@ -41,11 +42,14 @@ def main(argv=None) -> int:
     ing.add_argument("--configured-start", type=int, default=None)
     ing.add_argument("--format", default="parquet")
     ing.add_argument("--max-files-per-trigger", type=int, default=8)
+    ing.add_argument("--ordered", action="store_true", help="files in order of height, not of arrival")
+    ing.add_argument("--lag", type=int, default=0, help="with --ordered: heights below the highest that may still land")
     ing.add_argument("--continuous", action="store_true", help="keep running (default: process what is there)")
     rep = sub.add_parser("replay")
     rep.add_argument("--landing", required=True)
     rep.add_argument("--root", required=True)
     rep.add_argument("--start-height", type=int, required=True)
+    rep.add_argument("--end-height", type=int, default=None)
     rep.add_argument("--app-version", default="replay")
     rep.add_argument("--format", default="parquet")
     q = sub.add_parser("sql")
@@ -55,8 +59,8 @@ def main(argv=None) -> int:
     q.add_argument("--show", type=int, default=20)
     r = sub.add_parser("report")
     r.add_argument("--root", required=True)
-    r.add_argument("name", choices=["chain_breaks", "block_gaps", "block_rate", "range_summary", "coverage",
-                                    "decode_quality", "newest_blocks"])
+    r.add_argument("name", choices=["chain_breaks", "chain_state", "block_gaps", "block_rate", "range_summary", "coverage",
+                                    "decode_quality", "newest_blocks", "processed_ranges", "silent_gaps", "batch_metrics"])
     r.add_argument("--out", default=None)
     a = p.parse_args(argv)
 
@@ -70,14 +74,17 @@ def main(argv=None) -> int:
         size_shuffle_partitions(spark, [getattr(a, "landing", None) or a.root])
     cfg = _cfg(a)
     if a.cmd == "ingest":
-        from govlake.streaming import start_ingest
+        from govlake.streaming import start_ingest, start_ordered_ingest
+        if a.ordered:
+            start_ordered_ingest(spark, a.landing, a.root, cfg, a.app_version, a.format, a.lag, not a.continuous).awaitTermination()
+            return 0
         qy = start_ingest(spark, a.landing, a.root, cfg, a.app_version, a.format, a.max_files_per_trigger,
                           a.start_height, available_now=not a.continuous, configured_start=a.configured_start)
         qy.awaitTermination()
         return 0
     if a.cmd == "replay":
         from govlake.streaming import replay
-        replay(spark, a.landing, a.root, a.start_height, cfg, a.app_version, a.format)
+        replay(spark, a.landing, a.root, a.start_height, cfg, a.app_version, a.format, end_height=a.end_height)
         return 0
     from govlake.plans.catalog import GovLake
     lake = GovLake.from_tables(spark, a.root, cfg)
@@ -89,11 +96,16 @@ def main(argv=None) -> int:
         df = spark.sql(a.statement)
     else:
         from govlake.plans import quality as Q
+        from govlake.plans.chain import chain_state
+        from govlake.streaming.progress import ProcessedRanges, batch_metrics
         f = lake.facts
         df = {"chain_breaks": lambda: Q.chain_breaks(f.blocks), "block_gaps": lambda: Q.block_gaps(f.blocks),
               "block_rate": lambda: Q.block_rate(f.blocks), "range_summary": lambda: Q.range_summary(f.blocks),
               "coverage": lambda: Q.coverage(f.actions), "decode_quality": lambda: Q.decode_quality(f.actions),
-              "newest_blocks": lambda: Q.newest_blocks(f.blocks)}[a.name]()
+              "newest_blocks": lambda: Q.newest_blocks(f.blocks), "chain_state": lambda: chain_state(f.blocks),
+              "processed_ranges": lambda: ProcessedRanges(spark, a.root).processed(),
+              "silent_gaps": lambda: ProcessedRanges(spark, a.root).silent_gaps(),
+              "batch_metrics": lambda: batch_metrics(spark, a.root)}[a.name]()
     if a.out:
         df.write.mode("overwrite").parquet(a.out)
     else:
