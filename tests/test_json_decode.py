@@ -81,3 +81,20 @@ def test_result_json_shapes(spark):
         ("SuccessValue", '{"x":1}'),
         ("SuccessValue", FALLBACK),
     ]
+
+
+def test_a_document_is_parsed_once_or_twice(spark):
+    df = spark.createDataFrame([("e30=", ["{}"])], "b string, logs array<string>")
+    from govlake.functions.json import log_event_docs
+    for col in (safe_json(b64_text("b")), log_event_docs("logs"), args_json_text("b")):
+        plan = df.select(col.alias("c"))._jdf.queryExecution().optimizedPlan().toString()
+        assert plan.count("parseJson") == 2, plan  # in brackets, and as a member where the text holds a bracket
+        assert plan.count("unbase64") <= 1, plan
+
+
+def test_strict_parse_of_texts_with_and_without_brackets(spark):
+    good = ['{"a":1}', '{"a":"]"}', '{"a":[1,[2]]}', '[]', '"]"', ' 1 ', 'null', '{"a":"\\u005d"}']
+    bad = ['1]', ']', '{"a":1}] {}', '1],[2', '"a" "b"', '1 2', '1,2', '{"a":1}}', '{"a":1', '{"a":[1}', ' ', '"', '1}', '1] ', '{"a":1}\x00']
+    rows = spark.createDataFrame([(i, t) for i, t in enumerate(good + bad)], "i int, t string")
+    got = [r[0] for r in rows.select(parse_json_strict("t").isNotNull(), "i").orderBy("i").collect()]
+    assert got == [True] * len(good) + [False] * len(bad)
