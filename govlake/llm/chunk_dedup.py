@@ -14,7 +14,8 @@ first and last chunk it cuts through loses everything between them.
 
 How it runs at scale: digests of chunks are counted with partial aggregation; only digests that
 occur twice or more come back, through an equi-join on the digest (Spark splits a hot
-digest's rows); copies are then gathered per document, which a document's length bounds. Texts
+digest's rows); copies are then gathered per document, which a document's length bounds. The shuffle files of the
+count are deleted before the join writes its own (``common.staged``), so the disk holds one of them at a time. Texts
 are moved only by ``remove_copies``.
 
 Edge cases: null text counts as empty (no chunk). Null doc_id: such rows take part and sort
