@@ -36,15 +36,15 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import arrow_out, small_batches
+from .common import arrow_out, freed, small_batches
 from .language_id import ExactTable
 
 # Fixed value: the split pattern of byte-level BPE vocabularies.
 SPLIT = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 
 SLICE_CHARS = 1 << 16
-GROUP_PIECES = 200_000
-CACHE_PIECES = 500_000
+GROUP_PIECES = 50_000
+CACHE_PIECES = 100_000
 CACHE_PIECE_BYTES = 64
 
 
@@ -367,4 +367,4 @@ def encode_documents(docs: DataFrame, vocabulary: str, id_col: str = "doc_id", t
                             {id_col: ids, "n_tokens": [len(x) // 4 for x in of_ids], "token_ids": of_ids, "decoded": of_text})
 
     return small_batches(docs).select(F.col(id_col).alias(id_col), F.col(text_col).cast("string").alias("__text")).mapInArrow(
-        run, f"`{id_col}` {kind}, n_tokens long, token_ids binary, decoded string")
+        freed(run), f"`{id_col}` {kind}, n_tokens long, token_ids binary, decoded string")

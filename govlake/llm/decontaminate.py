@@ -40,7 +40,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import arrow_out, free_names, small_batches, sorted_unique, staged, text_digest
+from .common import arrow_out, free_names, freed, small_batches, sorted_unique, staged, text_digest
 from .quality import mixed, span_hashes
 
 MIN_MATCH = 5
@@ -293,7 +293,7 @@ def seed_runs(docs: DataFrame, field: np.ndarray, id_col: str, text_col: str, k:
                              **{n: b.column(n) for n, _ in more}})
 
     nested = "array<array<long>>"
-    return staged(src.mapInArrow(run, f"rid long, id {kind}, begins array<long>, tokens {nested}, seeds {nested}"
+    return staged(src.mapInArrow(freed(run), f"rid long, id {kind}, begins array<long>, tokens {nested}, seeds {nested}"
                                     + (", sha string" if digest else "")), "runs")
 
 

@@ -41,7 +41,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import arrow_out, cut, free_names, small_batches, staged, text_digest, utf8
+from .common import arrow_out, cut, free_names, freed, small_batches, staged, text_digest, utf8
 
 LOWER = bytes(b + 32 if 65 <= b <= 90 else b for b in range(256))
 PIVOTS = 16
@@ -88,7 +88,7 @@ def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
             yield arrow_out(pa.schema([("id", ids.type), ("fp", pa.int64()), *more]),
                             {"id": ids, "fp": np.array(fp, np.uint64).view(np.int64), **{n: b.column(n) for n, _ in more}})
 
-    return small_batches(docs).select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text"), *sha).mapInArrow(run, schema)
+    return small_batches(docs).select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text"), *sha).mapInArrow(freed(run), schema)
 
 
 def _pivots(seed: int = 9) -> list[int]:

@@ -28,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import arrow_out, pieces, small_batches, sorted_unique, utf8
+from .common import arrow_out, freed, pieces, small_batches, sorted_unique, utf8
 from .ftrl import Ftrl, dense, labelled_sample, train
 from .language_id import grams
 
@@ -38,6 +38,8 @@ SAMPLE_ROWS = 10_000
 MIN_DOCS = 6
 MIN_RATIO = 1.0
 PIECE = 1 << 18
+COUNTED = 1 << 16  # bytes of text whose features are counted together (a text is not cut)
+EMITTED = 1 << 18  # features whose counts leave a task together
 THRESHOLD = 0.3
 SOLVER = Ftrl(alpha=0.05, l1=1.0, l2=1.0, epochs=3)
 SHARDS = 4
@@ -82,17 +84,22 @@ def document_counts(sample: DataFrame, bits: int = BITS) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         every = np.ones(1 << bits, bool)
+        counts = np.zeros(2 << bits, np.int32)  # of the whole task: other, then toxic
         for b in batches:
             raw, off = utf8(b, "text")
             y = b.column("y").to_numpy(zero_copy_only=False) > 0
-            row, feature = present(raw, off, every, bits)
-            toxic = y[row]
-            keys, place = np.unique(feature, return_inverse=True)
-            yield arrow_out(pa.schema([("feature", pa.int64()), ("toxic", pa.int64()), ("other", pa.int64())]),
-                            {"feature": keys, "toxic": np.bincount(place[toxic], minlength=len(keys)),
-                             "other": np.bincount(place[~toxic], minlength=len(keys))})
-
-    part = small_batches(sample).select("text", "y").mapInArrow(run, "feature long, toxic long, other long")
+            begins = np.flatnonzero(np.diff(off[:-1] // COUNTED, prepend=-1))
+            for i, j in zip(begins, np.append(begins[1:], len(y))):
+                row, feature = present(raw[off[i]:off[j]], off[i:j + 1] - off[i], every, bits)
+                np.add.at(counts, (y[i:j][row].astype(np.int64) << bits) | feature, np.int32(1))
+        other, toxic = counts.reshape(2, -1)
+        for at in range(0, 1 << bits, EMITTED):
+            keys = np.flatnonzero((other[at:at + EMITTED] + toxic[at:at + EMITTED]) > 0) + at
+            if len(keys):
+                yield arrow_out(pa.schema([("feature", pa.int64()), ("toxic", pa.int64()), ("other", pa.int64())]),
+                                {"feature": keys, "toxic": toxic[keys].astype(np.int64), "other": other[keys].astype(np.int64)})
+
+    part = small_batches(sample).select("text", "y").mapInArrow(freed(run), "feature long, toxic long, other long")
     return part.groupBy("feature").agg(F.sum("toxic").alias("toxic"), F.sum("other").alias("other"))
 
 
@@ -163,7 +170,7 @@ def score(docs: DataFrame, model, id_col: str = "doc_id", text_col: str = "text"
             yield arrow_out(pa.schema([(id_col, ids.type), ("score", pa.float64())]), {id_col: ids, "score": of(b, "__text")})
 
     return small_batches(docs).select(F.col(id_col), F.col(text_col).cast("string").alias("__text")).mapInArrow(
-        run, f"`{id_col}` {kind}, score double")
+        freed(run), f"`{id_col}` {kind}, score double")
 
 
 def drop_toxic(docs: DataFrame, model, threshold: float | None = None, text_col: str = "text", bits: int = BITS) -> DataFrame:
@@ -182,4 +189,4 @@ def drop_toxic(docs: DataFrame, model, threshold: float | None = None, text_col:
         for b in batches:
             yield b.filter(pa.array(of(b, text_col) < threshold))
 
-    return small_batches(docs).mapInArrow(run, docs.schema)
+    return small_batches(docs).mapInArrow(freed(run), docs.schema)
